@@ -73,7 +73,7 @@ def normalize_date_chain(c, order: Sequence[str]) -> Column:
 
 def strict_date(text) -> Column:
     """Calendar-checked DATE from a normalized ``YYYY-MM-DD`` string (NULL if impossible)."""
-    return F.try_to_date(_col(text), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(_col(text), "yyyy-MM-dd")
 
 
 def parse_mixed_date(c) -> Column:
@@ -84,8 +84,8 @@ def parse_mixed_date(c) -> Column:
     s = _col(c).cast("string")
     jp = F.regexp_extract(s, r"^(\d{4}年\d{2}月\d{2}日)", 1)
     return F.coalesce(
-        F.try_to_date(F.nullif(jp, F.lit("")), F.lit("yyyy年MM月dd日")),
-        F.try_to_date(F.substring(s, 1, 10), F.lit("yyyy-MM-dd")),
+        F.try_to_date(F.nullif(jp, F.lit("")), "yyyy年MM月dd日"),
+        F.try_to_date(F.substring(s, 1, 10), "yyyy-MM-dd"),
     )
 
 
@@ -94,20 +94,20 @@ def parse_mixed_date_iso_first(c) -> Column:
     s = _col(c).cast("string")
     jp = F.regexp_extract(s, r"(\d{4}年\d{2}月\d{2}日)", 1)
     return F.coalesce(
-        F.try_to_date(F.substring(s, 1, 10), F.lit("yyyy-MM-dd")),
-        F.try_to_date(F.nullif(jp, F.lit("")), F.lit("yyyy年MM月dd日")),
+        F.try_to_date(F.substring(s, 1, 10), "yyyy-MM-dd"),
+        F.try_to_date(F.nullif(jp, F.lit("")), "yyyy年MM月dd日"),
     )
 
 
 def parse_iso_only(c) -> Column:
     """``SAFE.PARSE_DATE('%Y-%m-%d', x)`` on the whole text."""
-    return F.try_to_date(_col(c).cast("string"), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(_col(c).cast("string"), "yyyy-MM-dd")
 
 
 def parse_iso_or_slash(c) -> Column:
     """ISO or ``yyyy/MM/dd`` (page-analysis date column)."""
     s = _col(c).cast("string")
-    return F.coalesce(F.try_to_date(s, F.lit("yyyy-MM-dd")), F.try_to_date(s, F.lit("yyyy/MM/dd")))
+    return F.coalesce(F.try_to_date(s, "yyyy-MM-dd"), F.try_to_date(s, "yyyy/MM/dd"))
 
 
 def iso_text(d) -> Column:
@@ -154,7 +154,7 @@ def explicit_dates(spark: SparkSession, raw: str, col: str = "d") -> DataFrame:
     df = spark.range(1).select(tok).where(F.col("token") != "")
     digits = F.regexp_replace(F.regexp_replace("token", "-", ""), "/", "")
     return df.select("token", F.when(digits.rlike(r"^\d{8}$"),
-                                     F.try_to_date(digits, F.lit("yyyyMMdd"))).alias(col))
+                                     F.try_to_date(digits, "yyyyMMdd")).alias(col))
 
 
 def target_month(d) -> Column:

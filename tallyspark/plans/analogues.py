@@ -186,21 +186,19 @@ def affi_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One daily-total report file per (day, event type).
 
-    File name carries the target date and a generation stamp; ``n_cols`` is 41
-    for the error type (a non-daily report shape the scan must skip); the
-    signup type writes clicks as ``n.0`` (not an integer: skipped).
+    The path carries the target date and a generation stamp
+    (``<type>/RPP日次12h_<target>_<yyyymmdd>_<hhmm>.csv``); ``n_cols`` is 41 for
+    the error type (a non-daily report shape the scan must skip); the signup
+    type writes clicks as ``n.0`` (not an integer: the file is skipped).
     """
     e = _event_day(spark, sf_dir)
     g = e.groupBy("d", "event_type").agg(
         F.max("ts").alias("last_ts"),
         F.count_if(F.col("value") < 2).alias("n_low"),
         F.sum(F.when(F.col("value") < 2, F.floor(F.col("value") * 10))).cast("bigint").alias("cost_low"))
-    stamp = F.date_format("last_ts", "yyyyMMdd_HHmm")
     return g.select(
-        F.concat(F.lit("RPP日次12h_"), F.date_format("d", "yyyyMMdd"), F.lit("_"), stamp,
-                 F.lit("_"), F.col("event_type"), F.lit(".csv")).alias("file_name"),
-        F.date_format("d", "yyyyMMdd").alias("ymd"),
-        F.date_format("last_ts", "yyyyMMddHHmm").alias("stamp"),
+        F.concat(F.col("event_type"), F.lit("/RPP日次12h_"), F.date_format("d", "yyyyMMdd"), F.lit("_"),
+                 F.date_format("last_ts", "yyyyMMdd_HHmm"), F.lit(".csv")).alias("path"),
         F.when(F.col("event_type") == "error", 41).otherwise(42).alias("n_cols"),
         F.when(F.col("event_type") == "signup", F.concat(F.col("n_low").cast("string"), F.lit(".0")))
          .otherwise(F.col("n_low").cast("string")).alias("clicks_text"),
@@ -208,6 +206,36 @@ def daily_a(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("cost_low").cast("string")).alias("cost_text"))
 
 
+def li_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as raw report rows for the dedup rules.
+
+    Even line numbers spell the date as a jp range, odd ones as ISO; line 1
+    pads its order number with blanks; ``flag`` R rows play the target table.
+    """
+    li = read(spark, sf_dir, "lineitem").withColumn("d", F.to_date("l_shipdate"))
+    return li.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_no"),
+        F.when(F.col("l_linenumber") % 2 == 0, jp_range_text("d")).otherwise(iso_text("d")).alias("date_text"),
+        F.when(F.col("l_linenumber") == 1, F.concat(F.lit(" "), F.col("l_orderkey").cast("string"), F.lit(" ")))
+         .otherwise(F.col("l_orderkey").cast("string")).alias("order_no"),
+        F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("item"),
+        F.col("l_returnflag").alias("flag"))
+
+
+def report_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report-folder listing: one file per event (its time is the file's mtime).
+
+    Error events stand for files without a date in the name.
+    """
+    e = _event_day(spark, sf_dir)
+    name = F.when(F.col("event_type") == "error",
+                  F.concat(F.lit("rpp_reports/RPP商品別12h_summary_"), F.col("event_id").cast("string"), F.lit(".csv"))
+                  ).otherwise(F.concat(F.lit("rpp_reports/RPP商品別12h_"), F.date_format("d", "yyyyMMdd"), F.lit("_"),
+                                       F.date_format("ts", "HHmmss"), F.lit("_"), F.col("event_id").cast("string"),
+                                       F.lit(".csv")))
+    return e.select(name.alias("path"), F.col("ts").alias("mtime"))
+
+
 def vrd_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _event_day(spark, sf_dir)
     return e.groupBy(F.col("d").alias("report_date"),

@@ -115,9 +115,7 @@ SELECT d, event_type, max(ts) AS last_ts,
        CAST(sum(CASE WHEN value < 2 THEN floor(value * 10) END) AS BIGINT) AS cost_low
 FROM ev GROUP BY d, event_type"""),
     "daily_a": (("daily_g",), """
-SELECT 'RPP日次12h_' || strftime(d, '%Y%m%d') || '_' || strftime(last_ts, '%Y%m%d_%H%M') || '_' || event_type || '.csv' AS file_name,
-       strftime(d, '%Y%m%d') AS ymd,
-       strftime(last_ts, '%Y%m%d%H%M') AS stamp,
+SELECT event_type || '/RPP日次12h_' || strftime(d, '%Y%m%d') || '_' || strftime(last_ts, '%Y%m%d_%H%M') || '.csv' AS path,
        CASE WHEN event_type = 'error' THEN 41 ELSE 42 END AS n_cols,
        CASE WHEN event_type = 'signup' THEN CAST(n_low AS VARCHAR) || '.0' ELSE CAST(n_low AS VARCHAR) END AS clicks_text,
        CASE WHEN COALESCE(cost_low, 0) = 0 THEN '' ELSE CAST(cost_low AS VARCHAR) END AS cost_text
@@ -223,3 +221,339 @@ SELECT DISTINCT strftime(report_date, '%Y-%m-%d') AS report_date FROM pl_a ORDER
     "distinct_skus_ordered": with_ctes("""
 SELECT DISTINCT sku FROM item_a ORDER BY sku LIMIT 10""", "item_a"),
 }
+
+
+# ---- second batch: dates, casts, guard, quality, loads, upsert, alerts ---------
+
+PAT = {
+    "rpp_range": r"(\d{4})年(\d{2})月(\d{2})日",
+    "jp_range": r"(\d{4})年(\d{1,2})月(\d{1,2})日",
+    "datetime_jp": r"(\d{4})/(\d{1,2})/(\d{1,2})",
+    "simple": r"^(\d{4})-(\d{2})-(\d{2})$",
+}
+
+
+def nd(x: str, fmt: str) -> str:
+    p = PAT[fmt]
+    return (f"CASE WHEN {x} IS NOT NULL AND trim({x}) <> '' AND regexp_matches({x}, '{p}') THEN "
+            f"regexp_extract({x}, '{p}', 1) || '-' || lpad(regexp_extract({x}, '{p}', 2), 2, '0') || '-' || "
+            f"lpad(regexp_extract({x}, '{p}', 3), 2, '0') END")
+
+
+def nchain(x: str, order) -> str:
+    return "COALESCE(" + ", ".join(nd(x, f) for f in order) + ")"
+
+
+EXISTING = ("rpp_range", "datetime_jp", "simple")
+NEW_RPP = ("rpp_range", "datetime_jp", "simple")
+EXPANSION = ("jp_range", "rpp_range", "datetime_jp", "simple")
+REFRESH = ("rpp_range", "simple")
+
+
+def mixed(x: str) -> str:
+    return (f"COALESCE(CAST(try_strptime(NULLIF(regexp_extract({x}, '^(\\d{{4}}年\\d{{2}}月\\d{{2}}日)', 1), ''), "
+            f"'%Y年%m月%d日') AS DATE), CAST(try_strptime(substr({x}, 1, 10), '%Y-%m-%d') AS DATE))")
+
+
+def iso_first(x: str) -> str:
+    return (f"COALESCE(CAST(try_strptime(substr({x}, 1, 10), '%Y-%m-%d') AS DATE), "
+            f"CAST(try_strptime(NULLIF(regexp_extract({x}, '(\\d{{4}}年\\d{{2}}月\\d{{2}}日)', 1), ''), "
+            f"'%Y年%m月%d日') AS DATE))")
+
+
+def iso_or_slash(x: str) -> str:
+    return (f"COALESCE(CAST(try_strptime({x}, '%Y-%m-%d') AS DATE), "
+            f"CAST(try_strptime({x}, '%Y/%m/%d') AS DATE))")
+
+
+def iso_only(x: str) -> str:
+    return f"CAST(try_strptime({x}, '%Y-%m-%d') AS DATE)"
+
+
+def sint(x: str) -> str:
+    return f"CASE WHEN regexp_matches({x}, '^\\s*[+-]?\\d+\\s*$') THEN TRY_CAST(trim({x}) AS BIGINT) END"
+
+
+def iso(x: str) -> str:
+    return f"strftime({x}, '%Y-%m-%d')"
+
+
+CTES.update({
+    "spell": (("ev",), f"""
+SELECT event_id AS row_no,
+  CASE event_id % 6
+    WHEN 0 THEN {JP} || '～' || {JP}
+    WHEN 1 THEN strftime(d, '%Y-%m-%d')
+    WHEN 2 THEN CAST(year(d) AS VARCHAR) || '/' || CAST(month(d) AS VARCHAR) || '/' || CAST(day(d) AS VARCHAR)
+                || ' ' || CAST(hour(ts) AS VARCHAR) || ':' || lpad(CAST(minute(ts) AS VARCHAR), 2, '0')
+    WHEN 3 THEN CAST(year(d) AS VARCHAR) || '年' || CAST(month(d) AS VARCHAR) || '月' || CAST(day(d) AS VARCHAR) || '日'
+    WHEN 4 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+    ELSE CASE WHEN event_type = 'error' THEN '合計' ELSE strftime(d, '%Y/%m/%d') END
+  END AS text
+FROM ev"""),
+    "casts": ((), """
+SELECT event_id AS row_no,
+  CASE event_id % 5
+    WHEN 0 THEN CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR)
+    WHEN 1 THEN format('{:,.2f}', value * 100)
+    WHEN 2 THEN chr(65279) || CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR) || '%'
+    WHEN 3 THEN CASE WHEN event_type = 'error' THEN 'abc' ELSE CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR) || 'd' END
+    ELSE ' ' || CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR) || ' '
+  END AS text
+FROM events"""),
+    "kw_hist": (("kw_a",), "SELECT * FROM kw_a WHERE d < DATE '2024-01-25'"),
+    "kw_new": (("kw_a",), "SELECT * FROM kw_a WHERE d >= DATE '2024-01-25'"),
+    "base_rows": (("kw_hist",), f"""
+SELECT sku, kw, {sdbl('guide')} AS g, {iso_first('date_text')} AS bd, row_no
+FROM kw_hist
+WHERE guide IS NOT NULL AND guide <> '' AND {sdbl('guide')} IS NOT NULL
+  AND {iso_first('date_text')} >= DATE '2024-01-31' - 30"""),
+    "base": (("base_rows",), """
+SELECT sku, kw, g AS prior, bd AS prior_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY sku, kw ORDER BY bd DESC, row_no DESC) AS rn FROM base_rows)
+WHERE rn = 1"""),
+    "flagged": (("kw_new", "base"), f"""
+SELECT n.*, b.prior, {sdbl("replace(n.guide, ',', '')")} AS nv
+FROM kw_new n LEFT JOIN base b ON trim(n.sku) = b.sku AND trim(n.kw) = b.kw"""),
+    "spk": (("flagged",), """
+SELECT *, COALESCE(nv IS NOT NULL AND NOT isnan(nv) AND prior IS NOT NULL AND NOT isnan(prior)
+                   AND prior >= 40 AND nv > prior * 3.0 AND nv - prior > 150, false) AS spike
+FROM flagged"""),
+    "present": (("shohin_a", "kw_a", "rppexp_a", "item_a"), f"""
+SELECT DISTINCT 'raw_shohin_betsu' AS tbl, {mixed('date_text')} AS d FROM shohin_a
+UNION SELECT DISTINCT 'raw_keyword', {mixed('date_text')} FROM kw_a
+UNION SELECT DISTINCT 'raw_rppexp', CAST(try_strptime(substr(date_text, 1, 10), '%Y-%m-%d') AS DATE) FROM rppexp_a
+UNION SELECT DISTINCT 'raw_item', {iso_or_slash('date_text')} FROM item_a"""),
+    "status": (("present",), """
+SELECT strftime(g.d, '%Y-%m-%d') AS d, g.tbl, p.tbl IS NOT NULL AS present
+FROM (SELECT CAST(x AS DATE) AS d, t.tbl
+      FROM generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) s(x),
+           (VALUES ('raw_shohin_betsu'), ('raw_keyword'), ('raw_rppexp'), ('raw_item')) t(tbl)) g
+LEFT JOIN present p ON g.d = p.d AND g.tbl = p.tbl"""),
+    "dtot_v": (("daily_a",), f"""
+SELECT regexp_extract(base, '_(\\d{{8}})_(\\d{{8}})_(\\d{{4}})\\.csv$', 1) AS ymd,
+       regexp_extract(base, '_(\\d{{8}})_(\\d{{8}})_(\\d{{4}})\\.csv$', 2)
+         || regexp_extract(base, '_(\\d{{8}})_(\\d{{8}})_(\\d{{4}})\\.csv$', 3) AS stamp,
+       path, {sint("COALESCE(NULLIF(clicks_text, ''), '0')")} AS clicks,
+       {sint("COALESCE(NULLIF(cost_text, ''), '0')")} AS cost
+FROM (SELECT *, regexp_extract(path, '[^/]*$', 0) AS base FROM daily_a)
+WHERE regexp_matches(base, '_(\\d{{8}})_(\\d{{8}})_(\\d{{4}})\\.csv$') AND n_cols = 42"""),
+    "dtot": (("dtot_v",), """
+SELECT ymd, clicks, cost FROM (
+  SELECT *, row_number() OVER (PARTITION BY ymd ORDER BY stamp DESC, path DESC) AS rn
+  FROM dtot_v WHERE clicks IS NOT NULL AND cost IS NOT NULL) WHERE rn = 1"""),
+    "zero": (("dtot",), """
+SELECT strftime(CAST(x AS DATE), '%Y-%m-%d') AS d, CAST(b.clicks AS DOUBLE) AS clicks, CAST(b.cost AS DOUBLE) AS cost,
+       COALESCE(b.clicks = 0 AND b.cost = 0, false) AS is_zero, b.clicks IS NOT NULL AS known
+FROM generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) s(x)
+LEFT JOIN dtot b ON strftime(CAST(x AS DATE), '%Y%m%d') = b.ymd"""),
+    "li": ((), f"""
+SELECT l_orderkey * 10 + l_linenumber AS row_no,
+       CASE WHEN l_linenumber % 2 = 0 THEN {JP} || '～' || {JP} ELSE strftime(d, '%Y-%m-%d') END AS date_text,
+       CASE WHEN l_linenumber = 1 THEN ' ' || CAST(l_orderkey AS VARCHAR) || ' ' ELSE CAST(l_orderkey AS VARCHAR) END AS order_no,
+       'p' || CAST(l_partkey AS VARCHAR) AS item, l_returnflag AS flag
+FROM (SELECT *, CAST(l_shipdate AS DATE) AS d FROM lineitem)"""),
+    "li_t": (("li",), "SELECT * FROM li WHERE flag = 'R'"),
+    "li_r": (("li",), "SELECT * FROM li WHERE flag <> 'R'"),
+    "fb_rows": (("kw_a",), """
+SELECT k.*, e.ts, k.kw || '_w' || CAST(weekofyear(k.d) AS VARCHAR) AS file
+FROM kw_a k JOIN events e ON e.event_id = k.row_no WHERE k.kw <> 'error'"""),
+    "fb_ranked": (("fb_rows",), """
+SELECT file, row_number() OVER (ORDER BY mtime, file) AS file_rank
+FROM (SELECT file, max(ts) AS mtime FROM fb_rows GROUP BY file)"""),
+    "up_target": (("kw_a",), "SELECT CAST(row_no AS VARCHAR) AS row_no, date_text, sku, kw, guide, clicks FROM kw_a"),
+    "up_staged": (("kw_a",), """
+SELECT CAST(k.row_no + 1000000 AS VARCHAR) AS row_no, strftime(k.d, '%Y-%m-%d') AS date_text, k.sku, k.kw,
+       CAST(CAST(e.value AS DECIMAL(10,2)) * 11 AS VARCHAR) AS guide
+FROM kw_a k JOIN events e ON e.event_id = k.row_no
+WHERE k.d >= DATE '2024-01-17' AND k.d <= DATE '2024-01-30'"""),
+    "listing": (("ev",), """
+SELECT CASE WHEN event_type = 'error'
+            THEN 'rpp_reports/RPP商品別12h_summary_' || CAST(event_id AS VARCHAR) || '.csv'
+            ELSE 'rpp_reports/RPP商品別12h_' || strftime(d, '%Y%m%d') || '_' || strftime(ts, '%H%M%S') || '_'
+                 || CAST(event_id AS VARCHAR) || '.csv' END AS path,
+       ts AS mtime
+FROM ev"""),
+    "latest": (("listing",), """
+SELECT d8, path, strftime(mtime, '%Y-%m-%d %H:%M:%S.%f') AS mtime FROM (
+  SELECT *, row_number() OVER (PARTITION BY d8 ORDER BY mtime DESC, path DESC) AS rn FROM (
+    SELECT *, NULLIF(regexp_extract(regexp_extract(path, '[^/\\\\]*$', 0), '_(\\d{8})_', 1), '') AS d8 FROM listing)
+  WHERE d8 IS NOT NULL) WHERE rn = 1"""),
+    "alert_sets": (("status",), """
+SELECT d, list_sort(list_distinct(list(label))) AS labels,
+       list_sort(list_distinct(list(regexp_extract(label, '^[^(\\s]*', 0)))) AS names
+FROM (SELECT d, tbl AS label FROM status WHERE NOT present) GROUP BY d"""),
+    "alert_sets2": (("alert_sets",), "SELECT *, substr(md5(array_to_string(names, '|')), 1, 8) AS digest FROM alert_sets"),
+    "alert_led": (("alert_sets2",), """
+SELECT DISTINCT target, digest FROM (
+  SELECT d AS target, digest, CAST(d AS TIMESTAMP) + INTERVAL 1 DAY + INTERVAL 15 HOUR + INTERVAL 30 MINUTE AS sent_at
+  FROM alert_sets2 WHERE d >= '2024-01-25')
+WHERE sent_at >= TIMESTAMP '{now}' - INTERVAL 7 DAY"""),
+})
+
+
+def _alert_sql(now: str, order: str) -> str:
+    exempt = ("len(s.names) > 0 AND list_has_all(['raw_shohin_betsu', 'raw_keyword'], s.names) "
+              "AND COALESCE(z.is_zero, false)")
+    early = f"hour(TIMESTAMP '{now}') < 15"
+    if order == "hour_first":
+        case = (f"CASE WHEN len(s.names) = 0 THEN 'complete' WHEN {early} THEN 'hold' "
+                f"WHEN {exempt} THEN 'exempt_zero_delivery' WHEN l.target IS NOT NULL THEN 'already_sent' ELSE 'send' END")
+    else:
+        case = (f"CASE WHEN len(s.names) = 0 THEN 'complete' WHEN {exempt} THEN 'exempt_zero_delivery' "
+                f"WHEN {early} THEN 'hold' WHEN l.target IS NOT NULL THEN 'already_sent' ELSE 'send' END")
+    body = f"""
+SELECT s.d, array_to_string(s.labels, ',') AS missing, s.digest, {case} AS decision
+FROM alert_sets2 s LEFT JOIN zero z ON s.d = z.d LEFT JOIN alert_led l ON s.d = l.target AND s.digest = l.digest"""
+    return with_ctes(body, "alert_sets2", "zero", "alert_led").replace("{now}", now)
+
+
+def _missing_sql(not_in: bool) -> str:
+    parts, names = [], []
+    specs = [("raw_item", "item_a", iso_or_slash), ("raw_shohin_betsu", "shohin_a", mixed),
+             ("raw_keyword", "kw_a", mixed)]
+    for tbl, src, parse in specs:
+        names.append(src)
+        if not_in:
+            present = (f"SELECT DISTINCT {iso_only('date_text')} AS pd FROM {src} "
+                       f"WHERE date_text IS NOT NULL AND date_text <> ''")
+        else:
+            present = f"SELECT DISTINCT {parse('date_text')} AS pd FROM {src} WHERE {parse('date_text')} IS NOT NULL"
+        m = (f"SELECT '{tbl}' AS tbl, strftime(md, '%Y-%m-%d') AS missing_date, 'missing' AS state FROM spine "
+             f"WHERE md NOT IN ({present})")
+        parts.append(f"m_{tbl} AS ({m})")
+    body_parts = []
+    for tbl, _, _ in specs:
+        body_parts.append(f"SELECT * FROM m_{tbl}")
+        body_parts.append(f"SELECT '{tbl}', NULL, 'none' WHERE NOT EXISTS (SELECT 1 FROM m_{tbl})")
+    spine = ("spine AS (SELECT CAST(x AS DATE) AS md FROM "
+             "generate_series(DATE '2024-01-24', DATE '2024-01-30', INTERVAL 1 DAY) s(x))")
+    head = with_ctes("", *names)
+    return head + ",\n" + spine + ",\n" + ",\n".join(parts) + "\n" + "\nUNION ALL ".join(body_parts)
+
+
+PROFILE_COLS = [("line_id", "bigint"), ("sku", "string"), ("sku_system", "string"), ("product_name", "string"),
+                ("order_date", "string"), ("amount", "string"), ("qty", "string"), ("discount", "decimal(4,2)"),
+                ("tax", "decimal(4,2)"), ("returnflag", "string"), ("priority", "string")]
+
+
+def _profile_sql() -> str:
+    parts = []
+    for c, t in PROFILE_COLS:
+        parts.append(f"""SELECT '{c}' AS "column", '{t}' AS type, CAST(count(*) AS BIGINT) AS rows,
+  CAST(count(*) FILTER (WHERE v IS NOT NULL AND trim(v) <> '') AS BIGINT) AS non_blank,
+  CAST(count(DISTINCT v) AS BIGINT) AS distinct_values,
+  CAST(count(*) FILTER (WHERE {sdbl('v')} IS NOT NULL) AS BIGINT) AS numeric,
+  min(v) AS min_value, max(v) AS max_value
+FROM (SELECT CAST({c} AS VARCHAR) AS v FROM orders_a)""")
+    return with_ctes("\n" + "\nUNION ALL\n".join(parts), "orders_a")
+
+
+SQL.update({
+    "parse_dates": with_ctes(f"""
+SELECT row_no, text,
+  {nchain('text', NEW_RPP)} AS norm_new,
+  {nchain('text', EXISTING)} AS norm_existing,
+  {nchain('text', EXPANSION)} AS norm_expansion,
+  {nchain('text', REFRESH)} AS norm_refresh,
+  {iso(mixed('text'))} AS mixed,
+  {iso(iso_first('text'))} AS mixed_iso_first,
+  {iso(iso_or_slash('text'))} AS iso_or_slash
+FROM spell""", "spell"),
+    "safe_casts": with_ctes(f"""
+SELECT row_no, text, {sdbl('text')} AS as_double,
+  {sdbl("replace(text, ',', '')")} AS comma_float,
+  {sdbl("replace(replace(text, '%', ''), chr(65279), '')")} AS pct_value,
+  CAST({sint("regexp_replace(text, '\\.\\d*$', '')")} AS DOUBLE) AS as_int
+FROM casts""", "casts"),
+    "baseline_latest": with_ctes("SELECT sku, kw, prior, strftime(prior_date, '%Y-%m-%d') AS prior_date FROM base", "base"),
+    "spike_guard": with_ctes("""
+SELECT row_no, date_text, sku, kw, CASE WHEN spike THEN '' ELSE guide END AS guide FROM spk""", "spk"),
+    "spike_report": with_ctes("""
+SELECT row_no, sku, kw, prior, nv AS new_value, nv / prior AS ratio FROM spk WHERE spike
+ORDER BY nv / prior DESC, row_no LIMIT 10""", "spk"),
+    "spike_summary": with_ctes("""
+SELECT count(*) AS new_rows, count(prior) AS with_baseline, count(*) FILTER (WHERE spike) AS spikes,
+       count(DISTINCT CASE WHEN spike THEN trim(sku) || chr(1) || trim(kw) END) AS spike_keys
+FROM spk""", "spk"),
+    "missing_dates": _missing_sql(False),
+    "missing_dates_not_in": _missing_sql(True),
+    "completeness_status": with_ctes("SELECT * FROM status", "status"),
+    "completeness_verdict": with_ctes("""
+SELECT d, CAST(count(*) FILTER (WHERE NOT present) AS BIGINT) AS n_missing,
+       COALESCE(string_agg(tbl, ',' ORDER BY tbl) FILTER (WHERE NOT present), '') AS missing_list,
+       count(*) FILTER (WHERE NOT present) = 0 AS complete
+FROM status GROUP BY d""", "status"),
+    "data_age": with_ctes("\n" + "\nUNION ALL\n".join(f"""
+SELECT '{tbl}' AS tbl, newest, CAST(DATE '2024-01-31' - nd AS BIGINT) AS age_days,
+  CASE WHEN newest IS NULL THEN 'no_data' WHEN nd IS NULL THEN 'data_check_failed'
+       WHEN DATE '2024-01-31' - nd >= 2 THEN 'data_stale' ELSE 'ok' END AS state
+FROM (SELECT newest, CAST(try_strptime(newest, '%Y-%m-%d') AS DATE) AS nd FROM (
+  SELECT max(CASE WHEN regexp_matches(substr({col}, 1, 10), '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN substr({col}, 1, 10) END) AS newest
+  FROM {src}))""" for tbl, src, col in [("raw_affi", "affi_a", "occurred"), ("raw_rppexp", "rppexp_a", "date_text"),
+                                        ("raw_item", "item_a", "date_text")]), "affi_a", "rppexp_a", "item_a"),
+    "freshness": """
+SELECT tbl, strftime(m, '%Y-%m-%d %H:%M:%S') AS modified,
+       CAST((epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(m)) // 60000000 AS BIGINT) AS age_minutes,
+       CASE WHEN epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(m) > CAST(129600000000 AS BIGINT) THEN 'stale' ELSE 'fresh' END AS state
+FROM (SELECT 'raw_' || event_type AS tbl,
+             max(CASE WHEN event_type = 'error' THEN ts - INTERVAL 2 DAY ELSE ts END) AS m
+      FROM events GROUP BY 1)""",
+    "zero_delivery": with_ctes("SELECT * FROM zero", "zero"),
+    "maturation_uplift": """
+WITH p AS (SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS d, hour(ts) AS h FROM events WHERE event_type = 'purchase'),
+f AS (SELECT d, count(*) AS frozen FROM p WHERE h < 12 GROUP BY d),
+m AS (SELECT d, count(*) AS matured FROM p GROUP BY d),
+j AS (SELECT COALESCE(f.d, m.d) AS d, COALESCE(frozen, 0) AS fz, COALESCE(matured, 0) AS mt FROM f FULL JOIN m ON f.d = m.d)
+SELECT d, CAST(fz AS BIGINT) AS frozen, CAST(mt AS BIGINT) AS matured, CAST(mt - fz AS BIGINT) AS diff,
+       CAST(mt - fz AS DOUBLE) / NULLIF(CAST(fz AS DOUBLE), 0) * 100 AS uplift_pct,
+       CAST(mt - fz AS DOUBLE) / NULLIF(CAST(mt AS DOUBLE), 0) * 100 AS short_pct
+FROM j""",
+    "dedup_by_date": with_ctes(f"""
+SELECT row_no, nd AS date_text FROM (SELECT row_no, {nchain('date_text', NEW_RPP)} AS nd FROM li_r)
+WHERE nd IS NOT NULL AND nd NOT IN (
+  SELECT DISTINCT {nchain('date_text', EXISTING)} FROM li_t WHERE {nchain('date_text', EXISTING)} IS NOT NULL)""",
+                               "li_r", "li_t"),
+    "dedup_by_key": with_ctes("""
+SELECT row_no, trim(order_no) AS order_no FROM li_r
+WHERE trim(order_no) NOT IN (SELECT DISTINCT order_no FROM li_t)""", "li_r", "li_t"),
+    "dedup_by_composite": with_ctes(f"""
+SELECT row_no, nd AS date_text, item FROM (
+  SELECT row_no, {nchain('date_text', EXPANSION)} AS nd, trim(item) AS item FROM li_r) r
+WHERE nd IS NOT NULL AND NOT EXISTS (SELECT 1 FROM li_t t WHERE t.date_text = r.nd AND t.item = r.item)""",
+                                    "li_r", "li_t"),
+    "first_writer_wins": with_ctes(f"""
+, r AS (SELECT fb_rows.row_no, fb_rows.file, fb_ranked.file_rank, {nchain('fb_rows.date_text', NEW_RPP)} AS nd
+        FROM fb_rows JOIN fb_ranked USING (file)),
+ex AS (SELECT DISTINCT {nchain('date_text', EXISTING)} AS nd FROM kw_a WHERE kw = 'error' AND d <= DATE '2024-01-07'),
+r3 AS (SELECT * FROM r WHERE nd IS NOT NULL AND nd NOT IN (SELECT nd FROM ex WHERE nd IS NOT NULL)),
+w AS (SELECT nd, min(file_rank) AS win FROM r3 GROUP BY nd)
+SELECT r3.row_no, r3.file, r3.nd AS date_text FROM r3 JOIN w ON r3.nd = w.nd AND r3.file_rank = w.win""",
+                                   "fb_rows", "fb_ranked", "kw_a").replace("\n, r AS", ",\nr AS"),
+    "replace_by_date": with_ctes(f"""
+, sd AS (SELECT DISTINCT {iso_only('substr(date_text, 1, 10)')} AS sd FROM up_staged)
+SELECT * FROM up_target t WHERE NOT EXISTS (SELECT 1 FROM sd WHERE sd.sd = {mixed('t.date_text')})
+UNION ALL
+SELECT row_no, date_text, sku, kw, guide, NULL AS clicks FROM up_staged""", "up_target", "up_staged")
+        .replace("\n, sd AS", ",\nsd AS"),
+    "upsert_plan": with_ctes(f"""
+SELECT count(DISTINCT sd) AS n_dates, strftime(min(sd), '%Y-%m-%d') AS first_date,
+       strftime(max(sd), '%Y-%m-%d') AS last_date, count(*) AS rows
+FROM (SELECT {iso_only('substr(date_text, 1, 10)')} AS sd FROM up_staged)""", "up_staged"),
+    "latest_per_date": with_ctes("SELECT * FROM latest", "latest"),
+    "refresh_window_files": with_ctes("""
+SELECT * FROM latest WHERE d8 IN (
+  SELECT strftime(DATE '2024-01-31' - CAST(i AS INTEGER), '%Y%m%d') FROM range(1, 15) t(i))""", "latest"),
+    "target_month": """
+SELECT strftime(od, '%Y-%m-%d') AS order_date,
+       strftime(CASE WHEN day(od) = 1 THEN od - 1 ELSE od END, '%Y-%m') AS target_month
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS od FROM orders)""",
+    "trailing_window": """
+WITH a AS (SELECT max(CAST(o_orderdate AS DATE)) + 1 AS as_of FROM orders)
+SELECT strftime(as_of - CAST(i AS INTEGER), '%Y-%m-%d') AS d FROM a, range(1, 15) t(i)""",
+    "column_profile": _profile_sql(),
+    "column_probe": with_ctes("""
+SELECT sku, sku_system FROM orders_a ORDER BY sku NULLS FIRST, sku_system NULLS FIRST LIMIT 5""", "orders_a"),
+    "alert_policy": _alert_sql("2024-01-31 16:00:00", "hour_first"),
+    "alert_policy_files": _alert_sql("2024-01-31 10:00:00", "exempt_first"),
+})

@@ -10,7 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tallyspark.functions import dates as D
+from tallyspark.functions import numbers as N
+from tallyspark.operators import alerts as AL
+from tallyspark.operators import dedup as DD
+from tallyspark.operators import guard as G
+from tallyspark.operators import quality as QL
 from tallyspark.operators import reports as R
+from tallyspark.operators import upsert as U
+from tallyspark.operators.profile import column_profile as _column_profile
 from tallyspark.plans import analogues as A
 
 # Fixed parameters shared with the oracle SQL.
@@ -21,6 +32,13 @@ PNL_DAY = "1998-03-05"
 UNIT_SKU, UNIT_FROM = "Red-plate", "1998-01-01"
 RAW_FROM = "2024-01-14"
 AS_OF = "2024-01-31"
+NEW_FROM = "2024-01-25"          # keyword rows from this day on are the new batch
+WINDOW_FROM, WINDOW_TO = "2024-01-17", "2024-01-30"   # re-fetched (matured) days
+LOADED_UNTIL = "2024-01-07"      # days already loaded before the file batch
+NOW = "2024-01-31 16:00:00"
+NOW_EARLY = "2024-01-31 10:00:00"
+FRESH_NOW = "2024-01-31 12:00:00"
+LEDGER_FROM = "2024-01-25"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +101,283 @@ def distinct_skus_ordered(spark, d):
     return R.distinct_topk(A.item_a(spark, d), "sku", 10, descending=False)
 
 
+
+# ---- dates and numbers (F1-F6) ------------------------------------------------
+
+def _date_spellings(spark, d):
+    e = A.read(spark, d, "events").withColumn("d", F.to_date("ts"))
+    k = F.col("event_id") % 6
+    text = (F.when(k == 0, D.jp_range_text("d"))
+            .when(k == 1, D.iso_text("d"))
+            .when(k == 2, F.concat(F.concat_ws("/", F.year("d").cast("string"), F.month("d").cast("string"),
+                                       F.dayofmonth("d").cast("string")),
+                           F.lit(" "), F.hour("ts").cast("string"), F.lit(":"),
+                           F.lpad(F.minute("ts").cast("string"), 2, "0")))
+            .when(k == 3, F.concat(F.year("d").cast("string"), F.lit("年"), F.month("d").cast("string"),
+                                   F.lit("月"), F.dayofmonth("d").cast("string"), F.lit("日")))
+            .when(k == 4, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+            .when(F.col("event_type") == "error", F.lit("合計"))
+            .otherwise(F.date_format("d", "yyyy/MM/dd")))
+    return e.select(F.col("event_id").alias("row_no"), text.alias("text"))
+
+
+def parse_dates(spark, d):
+    t = _date_spellings(spark, d)
+    return t.select(
+        "row_no", "text",
+        D.normalize_date_chain("text", D.new_rows_order("rpp_range")).alias("norm_new"),
+        D.normalize_date_chain("text", D.EXISTING_VALUES_ORDER).alias("norm_existing"),
+        D.normalize_date_chain("text", D.EXPANSION_ORDER).alias("norm_expansion"),
+        D.normalize_date_chain("text", D.REFRESH_ORDER).alias("norm_refresh"),
+        D.iso_text(D.parse_mixed_date("text")).alias("mixed"),
+        D.iso_text(D.parse_mixed_date_iso_first("text")).alias("mixed_iso_first"),
+        D.iso_text(D.parse_iso_or_slash("text")).alias("iso_or_slash"))
+
+
+def safe_casts(spark, d):
+    e = A.read(spark, d, "events")
+    k = F.col("event_id") % 5
+    plain = F.col("value").cast("decimal(10,2)").cast("string")
+    text = (F.when(k == 0, plain)
+            .when(k == 1, F.format_number(F.col("value") * 100, 2))
+            .when(k == 2, F.concat(F.lit("\ufeff"), plain, F.lit("%")))
+            .when(k == 3, F.when(F.col("event_type") == "error", F.lit("abc")).otherwise(F.concat(plain, F.lit("d"))))
+            .otherwise(F.concat(F.lit(" "), plain, F.lit(" "))))
+    t = e.select(F.col("event_id").alias("row_no"), text.alias("text"))
+    return t.select("row_no", "text", N.safe_double("text").alias("as_double"),
+                    N.comma_float("text").alias("comma_float"),
+                    N.safe_double(N.strip_pct_bom("text")).alias("pct_value"),
+                    N.safe_bigint(F.regexp_replace("text", r"\.\d*$", "")).cast("double").alias("as_int"))
+
+
+# ---- spike guard (W1, F7, Q10, A12) --------------------------------------------
+
+def _kw_split(spark, d):
+    kw = A.kw_a(spark, d)
+    new_from = F.to_date(F.lit(NEW_FROM))
+    return kw.where(F.col("d") < new_from).drop("d"), kw.where(F.col("d") >= new_from).drop("d")
+
+
+def _guard(spark, d):
+    hist, new = _kw_split(spark, d)
+    return G.spike_guard(new, hist, AS_OF, sku="sku", kw="kw", guide="guide", date_col="date_text",
+                         tiebreak=["row_no"])
+
+
+def baseline_latest(spark, d):
+    hist, _ = _kw_split(spark, d)
+    b = G.guideline_baseline(hist, AS_OF, sku="sku", kw="kw", guide="guide", date_col="date_text",
+                             tiebreak=["row_no"])
+    return b.select("sku", "kw", "prior", D.iso_text("prior_date").alias("prior_date"))
+
+
+def spike_guard(spark, d):
+    guarded, _ = _guard(spark, d)
+    return guarded.select("row_no", "date_text", "sku", "kw", "guide")
+
+
+def spike_report(spark, d):
+    _, spikes = _guard(spark, d)
+    top = G.spike_sample(spikes, 10, [F.desc("ratio"), F.asc("row_no")])
+    return top.select("row_no", "sku", "kw", "prior", "new_value", "ratio")
+
+
+def spike_summary(spark, d):
+    hist, new = _kw_split(spark, d)
+    return G.guard_summary(new, hist, AS_OF, sku="sku", kw="kw", guide="guide", date_col="date_text",
+                           tiebreak=["row_no"])
+
+
+# ---- completeness, age, freshness (Q1-Q4, Q11) ----------------------------------
+
+def _report_tables(spark, d):
+    return {
+        "raw_shohin_betsu": (A.shohin_a(spark, d), "date_text", D.parse_mixed_date),
+        "raw_keyword": (A.kw_a(spark, d), "date_text", D.parse_mixed_date),
+        "raw_rppexp": (A.rppexp_a(spark, d), "date_text", lambda c: D.parse_iso_only(F.substring(c, 1, 10))),
+        "raw_item": (A.item_a(spark, d), "date_text", D.parse_iso_or_slash),
+    }
+
+
+def missing_dates(spark, d):
+    t = _report_tables(spark, d)
+    return QL.missing_dates(spark, {k: t[k] for k in ("raw_item", "raw_shohin_betsu", "raw_keyword")}, AS_OF, 7)
+
+
+def missing_dates_not_in(spark, d):
+    t = _report_tables(spark, d)
+    return QL.missing_dates(spark, {k: t[k] for k in ("raw_item", "raw_shohin_betsu", "raw_keyword")}, AS_OF, 7,
+                            null_semantics="not_in")
+
+
+def _status(spark, d):
+    return QL.completeness(spark, _report_tables(spark, d), "2024-01-01", AS_OF)
+
+
+def completeness_status(spark, d):
+    return _status(spark, d)
+
+
+def completeness_verdict(spark, d):
+    return QL.completeness_verdict(_status(spark, d))
+
+
+def data_age(spark, d):
+    return QL.data_age({"raw_affi": (A.affi_a(spark, d), "occurred"),
+                        "raw_rppexp": (A.rppexp_a(spark, d), "date_text"),
+                        "raw_item": (A.item_a(spark, d), "date_text")}, AS_OF, 2)
+
+
+def freshness(spark, d):
+    e = A.read(spark, d, "events")
+    lag = F.when(F.col("event_type") == "error", F.col("ts") - F.expr("INTERVAL 2 DAYS")).otherwise(F.col("ts"))
+    listing = e.select(F.concat(F.lit("raw_"), F.col("event_type")).alias("tbl"), lag.alias("modified"))
+    return QL.freshness(listing, FRESH_NOW, 36)
+
+
+def _daily_totals(spark, d):
+    return QL.daily_totals_latest(A.daily_a(spark, d))
+
+
+def zero_delivery(spark, d):
+    dates = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit("2024-01-01")),
+                                                       F.to_date(F.lit(AS_OF)))).alias("d"))
+    z = QL.zero_delivery(_daily_totals(spark, d), dates)
+    return z.select("d", F.col("clicks").cast("double").alias("clicks"),
+                    F.col("cost").cast("double").alias("cost"), "is_zero", "known")
+
+
+def maturation_uplift(spark, d):
+    e = A.read(spark, d, "events").where(F.col("event_type") == "purchase")
+    e = e.select(D.iso_text(F.to_date("ts")).alias("d"), F.lit(1).alias("orders"), F.hour("ts").alias("h"))
+    return QL.maturation_uplift(e.where(F.col("h") < 12), e, ["d"], "orders")
+
+
+# ---- incremental loads (J1-J3, J10) ---------------------------------------------
+
+def _li_split(spark, d):
+    r = A.li_rows(spark, d)
+    return r.where(F.col("flag") == "R"), r.where(F.col("flag") != "R")
+
+
+def dedup_by_date(spark, d):
+    target, rows = _li_split(spark, d)
+    return DD.dedup_by_date(rows, target, "date_text", "rpp_range").select("row_no", "date_text")
+
+
+def dedup_by_key(spark, d):
+    target, rows = _li_split(spark, d)
+    return DD.dedup_by_key(rows, target, "order_no").select("row_no", "order_no")
+
+
+def dedup_by_composite(spark, d):
+    target, rows = _li_split(spark, d)
+    return DD.dedup_by_composite(rows, target, "date_text", "item").select("row_no", "date_text", "item")
+
+
+def _file_batch(spark, d):
+    kw = A.kw_a(spark, d)
+    e = A.read(spark, d, "events").select(F.col("event_id").alias("row_no"), "ts")
+    rows = (kw.where(F.col("kw") != "error").join(e, "row_no")
+            .withColumn("file", F.concat(F.col("kw"), F.lit("_w"), F.weekofyear("d").cast("string"))))
+    files = rows.groupBy("file").agg(F.max("ts").alias("mtime"))
+    # the file listing is metadata (one row per file), so one ordered window over it is fine
+    ranked = files.withColumn("file_rank", F.row_number().over(Window.orderBy("mtime", "file")))
+    rows = rows.join(ranked.select("file", "file_rank"), "file")
+    target = kw.where((F.col("kw") == "error") & (F.col("d") <= F.to_date(F.lit(LOADED_UNTIL))))
+    return rows, target
+
+
+def first_writer_wins(spark, d):
+    rows, target = _file_batch(spark, d)
+    out = DD.first_writer_wins(rows, target, "date_text", "file_rank")
+    return out.select("row_no", "file", "date_text")
+
+
+# ---- replace-by-date upsert (K3, K4, J7) -----------------------------------------
+
+def _upsert_inputs(spark, d):
+    kw = A.kw_a(spark, d)
+    target = kw.select("row_no", "date_text", "sku", "kw", "guide", "clicks")
+    lo, hi = F.to_date(F.lit(WINDOW_FROM)), F.to_date(F.lit(WINDOW_TO))
+    e = A.read(spark, d, "events").select(F.col("event_id").alias("row_no"), "value")
+    staged = (kw.where((F.col("d") >= lo) & (F.col("d") <= hi)).join(e, "row_no")
+              .select((F.col("row_no") + 1000000).alias("row_no"), D.iso_text("d").alias("date_text"),
+                      "sku", "kw", (F.col("value").cast("decimal(10,2)") * 11).cast("string").alias("guide")))
+    return target, staged
+
+
+def replace_by_date(spark, d):
+    target, staged = _upsert_inputs(spark, d)
+    new, _ = U.replace_by_date(target.withColumn("row_no", F.col("row_no").cast("string")),
+                               staged.withColumn("row_no", F.col("row_no").cast("string")), "date_text")
+    return new
+
+
+def upsert_plan(spark, d):
+    _, staged = _upsert_inputs(spark, d)
+    return U.upsert_plan(staged, "date_text")
+
+
+# ---- file listings (S10, S18, F17, F19) ------------------------------------------
+
+def latest_per_date(spark, d):
+    from tallyspark.sources.files import latest_file_per_date
+    return latest_file_per_date(A.report_listing(spark, d)).select(
+        "d8", "path", F.date_format("mtime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mtime"))
+
+
+def refresh_window_files(spark, d):
+    from tallyspark.sources.files import window_files
+    wanted = D.trailing_window(spark, AS_OF, 14)
+    return window_files(A.report_listing(spark, d), wanted, today=None).select(
+        "d8", "path", F.date_format("mtime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mtime"))
+
+
+def target_month(spark, d):
+    o = A.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("od")).distinct()
+    return o.select(D.iso_text("od").alias("order_date"), D.target_month("od").alias("target_month"))
+
+
+def trailing_window(spark, d):
+    o = A.read(spark, d, "orders").agg(F.date_add(F.max(F.to_date("o_orderdate")), 1).alias("as_of"))
+    return o.select(F.explode(F.sequence(F.date_sub("as_of", 14), F.date_sub("as_of", 1))).alias("d")) \
+            .select(D.iso_text("d").alias("d"))
+
+
+# ---- profile (S17, R9, P12) -----------------------------------------------------
+
+def column_profile(spark, d):
+    return _column_profile(A.orders_a(spark, d))
+
+
+def column_probe(spark, d):
+    return R.project_by_name(A.orders_a(spark, d))
+
+
+# ---- alert policy (Q7-Q9) ---------------------------------------------------------
+
+def _alert_inputs(spark, d):
+    status = _status(spark, d)
+    missing = status.where(~F.col("present")).select("d", F.col("tbl").alias("label"))
+    sets = AL.missing_sets(missing)
+    zero = zero_delivery(spark, d).select("d", "is_zero")
+    ledger = (sets.where(F.col("d") >= LEDGER_FROM)
+              .select(F.col("d").alias("target"), "digest",
+                      (F.to_timestamp(F.col("d")) + F.expr("INTERVAL 1 DAYS 15 HOURS 30 MINUTES")).alias("sent_at")))
+    return sets, zero, ledger
+
+
+def alert_policy(spark, d):
+    sets, zero, ledger = _alert_inputs(spark, d)
+    return AL.alerts_due(sets, zero, ledger, NOW)
+
+
+def alert_policy_files(spark, d):
+    sets, zero, ledger = _alert_inputs(spark, d)
+    return AL.alerts_due(sets, zero, ledger, NOW_EARLY, order="exempt_first")
+
+
 QUERIES: dict[str, Query] = {
     "unmatched_sku_all": unmatched_sku_all,
     "match_status_day": match_status_day,
@@ -96,4 +391,32 @@ QUERIES: dict[str, Query] = {
     "distinct_dates_topk": distinct_dates_topk,
     "distinct_report_dates": distinct_report_dates,
     "distinct_skus_ordered": distinct_skus_ordered,
+    "parse_dates": parse_dates,
+    "safe_casts": safe_casts,
+    "baseline_latest": baseline_latest,
+    "spike_guard": spike_guard,
+    "spike_report": spike_report,
+    "spike_summary": spike_summary,
+    "missing_dates": missing_dates,
+    "missing_dates_not_in": missing_dates_not_in,
+    "completeness_status": completeness_status,
+    "completeness_verdict": completeness_verdict,
+    "data_age": data_age,
+    "freshness": freshness,
+    "zero_delivery": zero_delivery,
+    "maturation_uplift": maturation_uplift,
+    "dedup_by_date": dedup_by_date,
+    "dedup_by_key": dedup_by_key,
+    "dedup_by_composite": dedup_by_composite,
+    "first_writer_wins": first_writer_wins,
+    "replace_by_date": replace_by_date,
+    "upsert_plan": upsert_plan,
+    "latest_per_date": latest_per_date,
+    "refresh_window_files": refresh_window_files,
+    "target_month": target_month,
+    "trailing_window": trailing_window,
+    "column_profile": column_profile,
+    "column_probe": column_probe,
+    "alert_policy": alert_policy,
+    "alert_policy_files": alert_policy_files,
 }
