@@ -44,7 +44,9 @@ def guideline_baseline(history: DataFrame, as_of, *, sku: str = SKU, kw: str = K
     rows = (history.where(non_blank(guide) & g.isNotNull()
                           & (d >= F.date_sub(as_date(as_of), lookback_days)))
             .select(F.col(sku).alias("_b_sku"), F.col(kw).alias("_b_kw"), g.alias("_g"), d.alias("_d"),
-                    *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tiebreak)]))
+                    # a history without the tie-break column (e.g. the raw table) ranks below new rows
+                    *[(F.col(c) if c in history.columns else F.lit(None)).alias(f"_t{i}")
+                      for i, c in enumerate(tiebreak)]))
     order = F.struct("_d", *[f"_t{i}" for i in range(len(tiebreak))])
     return (rows.groupBy("_b_sku", "_b_kw")
             .agg(F.max_by("_g", order).alias("prior"), F.max("_d").alias("prior_date"))
@@ -123,6 +125,8 @@ def spike_guard_files(spark: SparkSession, rows: DataFrame, history: DataFrame,
     """
     if ranks is None:
         ranks = [r[0] for r in rows.select(file_rank).distinct().orderBy(file_rank).collect()]
+    if not ranks:
+        return None if sink is not None else rows
     state = guideline_baseline(history, as_of, sku=sku, kw=kw, guide=guide, date_col=date_col,
                                lookback_days=lookback_days, tiebreak=tiebreak)
     state = state.select(sku, kw, "prior", F.col("prior_date").alias("_d"),

@@ -7,6 +7,7 @@ selection is planned like any other query and never loops on the driver.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +19,13 @@ def list_files(spark: SparkSession, glob_path: str, recursive: bool = False) ->
     r = spark.read.format("binaryFile")
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    df = r.load(glob_path).select("path", F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
+    try:
+        df = r.load(glob_path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "path string, mtime timestamp, size bigint, name string")
+    df = df.select("path", F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
     return df.withColumn("name", base_name("path"))
 
 

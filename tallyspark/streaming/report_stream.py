@@ -21,7 +21,8 @@ from tallyspark.sources.sinks import append_raw
 
 def report_file_stream(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
     """Streaming (path, modificationTime, length, content) of new report files."""
-    return (spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    return (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob)
             .option("maxFilesPerTrigger", 1000).load(folder))
 
 
