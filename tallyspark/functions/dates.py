@@ -53,22 +53,43 @@ def is_blank(c) -> Column:
     return c.isNull() | (F.regexp_replace(c.cast("string"), r"(?U)\s+", "") == F.lit(""))
 
 
-def normalize_date(c, fmt: str) -> Column:
-    """One spelling -> ``YYYY-MM-DD`` string, NULL when it does not match or is blank."""
-    if fmt not in PATTERNS:
-        raise ValueError(f"unknown date format {fmt!r}")
-    s = _col(c).cast("string")
-    pat = PATTERNS[fmt]
-    y = F.regexp_extract(s, pat, 1)
-    m = F.regexp_extract(s, pat, 2)
-    d = F.regexp_extract(s, pat, 3)
-    text = F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
-    return F.when(~is_blank(s) & s.rlike(pat), text)
+def _normalize_one(s: Column, fmt: str) -> Column:
+    """One spelling with one regex pass: the whole match, then fixed positions or a split.
+
+    Every spelling needs digits, so blank text never matches (no separate
+    blank check is needed).
+    """
+    m = F.regexp_extract(s, PATTERNS[fmt], 0)
+    if fmt == "simple":
+        return F.nullif(m, F.lit(""))
+    if fmt == "rpp_range":   # fixed width: YYYY年MM月DD日
+        return F.when(m != "", F.concat_ws("-", F.substring(m, 1, 4), F.substring(m, 6, 2), F.substring(m, 9, 2)))
+    parts = F.split(m, "[年月日/]")
+    return F.when(m != "", F.concat_ws("-", parts.getItem(0), F.lpad(parts.getItem(1), 2, "0"),
+                                       F.lpad(parts.getItem(2), 2, "0")))
 
 
 def normalize_date_chain(c, order: Sequence[str]) -> Column:
-    """First spelling in ``order`` that matches wins (``a or b or c``)."""
-    return F.coalesce(*[normalize_date(c, f) for f in order])
+    """First spelling in ``order`` that matches wins (``a or b or c``); no match -> NULL.
+
+    The text is bound once to a lambda variable (``transform`` over a
+    one-element array): the chain refers to it several times, and without the
+    binding the optimizer would inline whatever expression produced the text
+    at every reference (and again into any filter pushed below it).
+    """
+    for f in order:
+        if f not in PATTERNS:
+            raise ValueError(f"unknown date format {f!r}")
+
+    def body(s: Column) -> Column:
+        return F.coalesce(*[_normalize_one(s, f) for f in order])
+
+    return F.element_at(F.transform(F.array(_col(c).cast("string")), body), 1)
+
+
+def normalize_date(c, fmt: str) -> Column:
+    """One spelling -> ``YYYY-MM-DD`` string, NULL when it does not match or is blank."""
+    return normalize_date_chain(c, (fmt,))
 
 
 def strict_date(text) -> Column:
@@ -117,9 +138,7 @@ def iso_text(d) -> Column:
 
 def jp_range_text(d) -> Column:
     """DATE -> ``YYYY年MM月DD日～YYYY年MM月DD日`` (a one-day report range)."""
-    d = _col(d)
-    one = F.concat(F.year(d).cast("string"), F.lit("年"), F.lpad(F.month(d).cast("string"), 2, "0"),
-                   F.lit("月"), F.lpad(F.dayofmonth(d).cast("string"), 2, "0"), F.lit("日"))
+    one = F.date_format(_col(d), "yyyy'年'MM'月'dd'日'")
     return F.concat(one, F.lit("～"), one)
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import EXISTING_VALUES_ORDER, new_rows_order, normalize_date_chain
@@ -26,16 +26,25 @@ from tallyspark.functions.text import ustrip
 NORM = "__norm__"
 
 
+def non_null(c: Column) -> Column:
+    """Generator that yields ``c`` once, or nothing when it is NULL.
+
+    A ``where(c IS NOT NULL)`` on a computed column is pushed below the
+    projection and evaluates the (regex-heavy) expression a second time; a
+    generator evaluates it once and drops the row in the same step.
+    """
+    return F.explode(F.filter(F.array(c), lambda x: x.isNotNull()))
+
+
 def existing_dates(target: DataFrame, date_col: str,
                    order: Sequence[str] = EXISTING_VALUES_ORDER) -> DataFrame:
     """Distinct normalized dates already in the target (column ``__norm__``)."""
-    return (target.select(normalize_date_chain(date_col, order).alias(NORM))
-            .where(F.col(NORM).isNotNull()).distinct())
+    return target.select(non_null(normalize_date_chain(date_col, order)).alias(NORM)).distinct()
 
 
 def normalize_rows(rows: DataFrame, date_col: str, order: Sequence[str]) -> DataFrame:
     """P5 + P6: normalize the date, drop rows whose date does not parse, write ISO back."""
-    n = rows.withColumn(NORM, normalize_date_chain(date_col, order)).where(F.col(NORM).isNotNull())
+    n = rows.select("*", non_null(normalize_date_chain(date_col, order)).alias(NORM))
     return n.withColumn(date_col, F.col(NORM))
 
 
