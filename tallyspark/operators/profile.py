@@ -20,17 +20,22 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """(column, type, rows, non_blank, distinct_values, numeric, min_value, max_value) per column."""
     cols = list(columns or df.columns)
     types = dict(df.dtypes)
+    # shuffle key is (position, value) only; names and types are looked up after
     pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
-                 F.col(c).cast("string").alias("value"))
-        for i, c in enumerate(cols)])).alias("p")).select("p.*")
-    per_value = pairs.groupBy("pos", "column", "type", "value").agg(F.count(F.lit(1)).alias("n"))
+        F.struct(F.lit(i).alias("pos"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)]))
+        .alias("p")).select("p.*")
+    per_value = pairs.groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n"))
     blank = F.col("value").isNull() | (F.trim("value") == "")
-    return (per_value.groupBy("pos", "column", "type")
-            .agg(F.sum("n").cast("bigint").alias("rows"),
-                 F.sum(F.when(~blank, F.col("n")).otherwise(0)).cast("bigint").alias("non_blank"),
-                 F.count("value").cast("bigint").alias("distinct_values"),
-                 F.sum(F.when(safe_double("value").isNotNull(), F.col("n")).otherwise(0)).cast("bigint")
-                  .alias("numeric"),
-                 F.min("value").alias("min_value"), F.max("value").alias("max_value"))
-            .orderBy("pos").drop("pos"))
+    agg = (per_value.groupBy("pos")
+           .agg(F.sum("n").cast("bigint").alias("rows"),
+                F.sum(F.when(~blank, F.col("n")).otherwise(0)).cast("bigint").alias("non_blank"),
+                F.count("value").cast("bigint").alias("distinct_values"),
+                F.sum(F.when(safe_double("value").isNotNull(), F.col("n")).otherwise(0)).cast("bigint")
+                 .alias("numeric"),
+                F.min("value").alias("min_value"), F.max("value").alias("max_value")))
+    names = F.array(*[F.lit(c) for c in cols])
+    tps = F.array(*[F.lit(types[c]) for c in cols])
+    return agg.select(F.element_at(names, F.col("pos") + 1).alias("column"),
+                      F.element_at(tps, F.col("pos") + 1).alias("type"),
+                      "rows", "non_blank", "distinct_values", "numeric", "min_value", "max_value",
+                      "pos").orderBy("pos").drop("pos")
