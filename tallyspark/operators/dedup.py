@@ -97,7 +97,8 @@ def dedup_by_composite(rows: DataFrame, target: DataFrame | None, date_col: str,
     n = normalize_rows(rows, date_col, order).drop(NORM).withColumn(item_col, ustrip(item_col))
     if target is not None:
         t = target.select(F.col(date_col).alias("__d__"), F.col(item_col).alias("__i__")).distinct()
-        n = n.join(t, (ustrip(n[date_col]) == t["__d__"]) & (n[item_col] == t["__i__"]), "left_anti")
+        # the normalized date is built from regex groups: it has no blanks to strip
+        n = n.join(t, (n[date_col] == t["__d__"]) & (n[item_col] == t["__i__"]), "left_anti")
     if file_rank is not None:
         w = n.groupBy(date_col, item_col).agg(F.min(file_rank).alias("__win__"))
         n = n.join(w, (n[date_col] == w[date_col]) & (n[item_col] == w[item_col])

@@ -544,6 +544,11 @@ FROM (SELECT {iso_only('substr(date_text, 1, 10)')} AS sd FROM up_staged)""", "u
     "refresh_window_files": with_ctes("""
 SELECT * FROM latest WHERE d8 IN (
   SELECT strftime(DATE '2024-01-31' - CAST(i AS INTEGER), '%Y%m%d') FROM range(1, 15) t(i))""", "latest"),
+    "backfill_range": with_ctes("""
+SELECT path, target_date FROM (
+  SELECT path, split_part(replace(replace(regexp_extract(path, '[^/\\\\]*$', 0), 'RPP日次12h_', ''), '.csv', ''), '_', 1)
+         AS target_date FROM daily_a)
+WHERE target_date >= strftime(DATE '2024-01-31' - 7, '%Y%m%d')""", "daily_a"),
     "target_month": """
 SELECT strftime(od, '%Y-%m-%d') AS order_date,
        strftime(CASE WHEN day(od) = 1 THEN od - 1 ELSE od END, '%Y-%m') AS target_month

@@ -334,6 +334,12 @@ def refresh_window_files(spark, d):
         "d8", "path", F.date_format("mtime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mtime"))
 
 
+def backfill_range(spark, d):
+    from tallyspark.sources.files import backfill_files
+    sel = backfill_files(A.daily_a(spark, d), "RPP日次12h_", AS_OF, 7)
+    return sel.select("path", "target_date")
+
+
 def target_month(spark, d):
     o = A.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("od")).distinct()
     return o.select(D.iso_text("od").alias("order_date"), D.target_month("od").alias("target_month"))
@@ -413,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "upsert_plan": upsert_plan,
     "latest_per_date": latest_per_date,
     "refresh_window_files": refresh_window_files,
+    "backfill_range": backfill_range,
     "target_month": target_month,
     "trailing_window": trailing_window,
     "column_profile": column_profile,

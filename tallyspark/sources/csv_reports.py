@@ -82,7 +82,13 @@ def read_lines(spark: SparkSession, paths, encoding: str = "UTF-8") -> DataFrame
     return lines_from_binary(bf, encoding)
 
 
+# charsets Spark decodes without the legacy Java charset list
+_STANDARD_CHARSETS = {"UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"}
+
+
 def lines_from_binary(bf: DataFrame, encoding: str = "UTF-8", content: str = "content") -> DataFrame:
+    if encoding.upper() not in _STANDARD_CHARSETS:
+        bf.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")   # MS932 / cp932 reports
     text = F.decode(F.col(content), encoding)
     text = F.regexp_replace(text, "^\ufeff", "")
     text = F.regexp_replace(text, "(\r\n|\n|\r)$", "")
