@@ -39,14 +39,17 @@ def guideline_baseline(history: DataFrame, as_of, *, sku: str = SKU, kw: str = K
     Returns (sku, kw, prior, prior_date).  ``tiebreak`` columns order rows that
     share a date (later wins); the source system left such ties arbitrary.
     """
-    d = parse_mixed_date_iso_first(date_col)
-    g = safe_double(guide)
-    rows = (history.where(non_blank(guide) & g.isNotNull()
-                          & (d >= F.date_sub(as_date(as_of), lookback_days)))
-            .select(F.col(sku).alias("_b_sku"), F.col(kw).alias("_b_kw"), g.alias("_g"), d.alias("_d"),
+    lo = F.date_sub(as_date(as_of), lookback_days)
+    # price and date are parsed once; the filter runs inside the generator, so
+    # it is not pushed below the projection and evaluated a second time
+    cand = F.struct(safe_double(guide).alias("_g"), parse_mixed_date_iso_first(date_col).alias("_d"))
+    kept = F.explode(F.filter(F.array(cand), lambda x: x["_g"].isNotNull() & (x["_d"] >= lo))).alias("_c")
+    rows = (history.where(non_blank(guide))
+            .select(F.col(sku).alias("_b_sku"), F.col(kw).alias("_b_kw"), kept,
                     # a history without the tie-break column (e.g. the raw table) ranks below new rows
                     *[(F.col(c) if c in history.columns else F.lit(None)).alias(f"_t{i}")
-                      for i, c in enumerate(tiebreak)]))
+                      for i, c in enumerate(tiebreak)])
+            .select("_b_sku", "_b_kw", "_c._g", "_c._d", *[f"_t{i}" for i in range(len(tiebreak))]))
     order = F.struct("_d", *[f"_t{i}" for i in range(len(tiebreak))])
     return (rows.groupBy("_b_sku", "_b_kw")
             .agg(F.max_by("_g", order).alias("prior"), F.max("_d").alias("prior_date"))

@@ -24,15 +24,19 @@ DateParser = Callable[[str], Column]
 
 def present_dates(tables: Mapping[str, tuple[DataFrame, str, DateParser]], lo=None, hi=None) -> DataFrame:
     """U1 + A8: distinct (tbl, d) over all tables, optionally inside [lo, hi]."""
-    out = None
-    for name, (df, col, parse) in tables.items():
-        d = parse(col)
-        part = df.select(F.lit(name).alias("tbl"), d.alias("d")).where(F.col("d").isNotNull())
+    def keep(x):
+        c = x.isNotNull()
         if lo is not None:
-            part = part.where(F.col("d") >= as_date(lo))
+            c = c & (x >= as_date(lo))
         if hi is not None:
-            part = part.where(F.col("d") <= as_date(hi))
-        part = part.distinct()
+            c = c & (x <= as_date(hi))
+        return c
+
+    out = None
+    for name, (df, col, parse) in tables.items():
+        # parse once and filter inside the generator (a pushed-down filter would re-parse)
+        part = df.select(F.lit(name).alias("tbl"),
+                         F.explode(F.filter(F.array(parse(col)), keep)).alias("d")).distinct()
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -62,8 +66,9 @@ def missing_dates(spark: SparkSession, tables: Mapping[str, tuple[DataFrame | No
             miss = spark.sql(f"SELECT missing_date FROM {v_spine} "
                              f"WHERE missing_date NOT IN (SELECT pd FROM {v_present})")
         else:
-            present = (df.select(parse(col).alias("pd")).where(F.col("pd").isNotNull())
-                       .where(F.col("pd") >= F.date_sub(as_date(as_of), days_back)).distinct())
+            lo = F.date_sub(as_date(as_of), days_back)
+            present = df.select(F.explode(F.filter(F.array(parse(col)),
+                                                   lambda x: x.isNotNull() & (x >= lo))).alias("pd")).distinct()
             miss = spine.join(present, spine.missing_date == present.pd, "left_anti")
         m = miss.select(F.lit(name).alias("tbl"), iso_text("missing_date").alias("missing_date"),
                         F.lit("missing").alias("state"))
