@@ -50,10 +50,11 @@ def guideline_baseline(history: DataFrame, as_of, *, sku: str = SKU, kw: str = K
                     *[(F.col(c) if c in history.columns else F.lit(None)).alias(f"_t{i}")
                       for i, c in enumerate(tiebreak)])
             .select("_b_sku", "_b_kw", "_c._g", "_c._d", *[f"_t{i}" for i in range(len(tiebreak))]))
-    order = F.struct("_d", *[f"_t{i}" for i in range(len(tiebreak))])
-    return (rows.groupBy("_b_sku", "_b_kw")
-            .agg(F.max_by("_g", order).alias("prior"), F.max("_d").alias("prior_date"))
-            .withColumnRenamed("_b_sku", sku).withColumnRenamed("_b_kw", kw))
+    ts = [f"_t{i}" for i in range(len(tiebreak))]
+    order = F.struct("_d", *ts)
+    best = F.max_by(F.struct(F.col("_g").alias("prior"), F.col("_d").alias("prior_date"), *ts), order)
+    return (rows.groupBy("_b_sku", "_b_kw").agg(best.alias("_b"))
+            .select(F.col("_b_sku").alias(sku), F.col("_b_kw").alias(kw), "_b.*"))
 
 
 def _flag(new: DataFrame, baseline: DataFrame, sku: str, kw: str, guide: str,
@@ -133,7 +134,7 @@ def spike_guard_files(spark: SparkSession, rows: DataFrame, history: DataFrame,
     state = guideline_baseline(history, as_of, sku=sku, kw=kw, guide=guide, date_col=date_col,
                                lookback_days=lookback_days, tiebreak=tiebreak)
     state = state.select(sku, kw, "prior", F.col("prior_date").alias("_d"),
-                         *[F.lit(None).cast(rows.schema[c].dataType).alias(f"_t{i}")
+                         *[F.col(f"_t{i}").cast(rows.schema[c].dataType).alias(f"_t{i}")
                            for i, c in enumerate(tiebreak)])
     lo = F.date_sub(as_date(as_of), lookback_days)
     outs = []

@@ -113,3 +113,59 @@ def test_sequential_files_see_accepted_not_blanked(spark):
     # brute force: one batch with the wrong (non-sequential) baseline would blank a's 350
     one, _ = G.spike_guard(rows, h, "2026-07-15", tiebreak=["seq"])
     assert {(r[SKU], r[DATE]): r[GUIDE] for r in one.collect()}[("a", "2026-07-12")] == ""
+
+
+def _brute_force(hist, rows, as_of, lookback=30):
+    """Plain-Python fold over files in order (the source system's sequence of loads)."""
+    import datetime as dt
+    import re
+
+    def pdate(t):
+        m = re.match(r"^(\d{4}-\d{2}-\d{2})", t)
+        if m:
+            return dt.date.fromisoformat(m.group(1))
+        m = re.search(r"(\d{4})年(\d{2})月(\d{2})日", t)
+        return dt.date(int(m.group(1)), int(m.group(2)), int(m.group(3))) if m else None
+
+    def num(v, commas):
+        v = v.replace(",", "") if commas else v
+        try:
+            return float(v.strip()) if re.fullmatch(r"\s*[+-]?(\d+\.?\d*|\.\d+)\s*", v) else None
+        except ValueError:
+            return None
+
+    lo = dt.date.fromisoformat(as_of) - dt.timedelta(days=lookback)
+    table = [dict(r) for r in hist]
+    out = {}
+    for rank in sorted({r["file_rank"] for r in rows}):
+        base = {}
+        for r in table:
+            g, d = num(r["guide"], False), pdate(r["date_text"])
+            if r["guide"] and g is not None and d is not None and d >= lo:
+                k = (r["sku"], r["kw"])
+                if k not in base or (d, r["row_no"]) > base[k][0]:
+                    base[k] = ((d, r["row_no"]), g)
+        batch = [dict(r) for r in rows if r["file_rank"] == rank]
+        for r in batch:
+            prior = base.get((r["sku"].strip(), r["kw"].strip()), (None, None))[1]
+            new = num(r["guide"], True)
+            if new is not None and prior is not None and prior >= 40 and new > prior * 3 and new - prior > 150:
+                r["guide"] = ""
+            out[r["row_no"]] = r["guide"]
+        table.extend(batch)
+    return out
+
+
+def test_sequential_guard_matches_brute_force(spark):
+    from tallyspark.plans import analogues as A
+    kw = A.kw_a(spark, "/root/testdata/sf0.001")
+    hist = kw.where("d < date'2024-01-25'").drop("d", "clicks", "ctr")
+    rows = (kw.where("d >= date'2024-01-25'")
+            .withColumn("file_rank", F.datediff("d", F.to_date(F.lit("2024-01-24"))))
+            .drop("d", "clicks", "ctr"))
+    got = G.spike_guard_files(spark, rows, hist, "2024-01-31", sku="sku", kw="kw", guide="guide",
+                              date_col="date_text", tiebreak=["row_no"], checkpoint_every=2)
+    got = {r.row_no: r.guide for r in got.collect()}
+    want = _brute_force([r.asDict() for r in hist.collect()], [r.asDict() for r in rows.collect()], "2024-01-31")
+    assert got == want
+    assert sum(1 for v in want.values() if v == "") > 0       # some spikes were blanked
