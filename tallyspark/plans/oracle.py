@@ -549,6 +549,22 @@ SELECT path, target_date FROM (
   SELECT path, split_part(replace(replace(regexp_extract(path, '[^/\\\\]*$', 0), 'RPP日次12h_', ''), '.csv', ''), '_', 1)
          AS target_date FROM daily_a)
 WHERE target_date >= strftime(DATE '2024-01-31' - 7, '%Y%m%d')""", "daily_a"),
+    "file_presence": """
+WITH l AS (
+  SELECT CASE WHEN event_type = 'click' THEN 'RPPキーワード別12h_'
+              WHEN event_type = 'view' THEN 'RPP商品別12h_'
+              WHEN event_type = 'purchase' THEN 'RPPEXP商品別_'
+              WHEN event_type = 'signup' AND dayofweek(ts) <> 0 THEN '店舗カルテ_商品ページ分析_'
+              ELSE 'other_' END || strftime(ts, '%Y%m%d_%H%M') || '.csv' AS name,
+         CAST(ts AS DATE) AS d
+  FROM events),
+k AS (SELECT * FROM (VALUES ('KW実績', '^RPPキーワード別12h_.*\\.csv$'), ('商品別RPP', '^RPP商品別12h_.*\\.csv$'),
+                            ('RPP費用', '^RPPEXP商品別_.*\\.csv$'), ('カルテ', '^店舗カルテ_商品ページ分析_.*\\.csv$')) t(label, pat)),
+hits AS (SELECT DISTINCT l.d, k.label FROM l JOIN k ON regexp_matches(l.name, k.pat)
+         WHERE l.d BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'),
+grid AS (SELECT CAST(x AS DATE) AS d, k.label FROM generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) s(x), k)
+SELECT strftime(grid.d, '%Y-%m-%d') AS d, grid.label, hits.label IS NOT NULL AS present
+FROM grid LEFT JOIN hits ON grid.d = hits.d AND grid.label = hits.label""",
     "target_month": """
 SELECT strftime(od, '%Y-%m-%d') AS order_date,
        strftime(CASE WHEN day(od) = 1 THEN od - 1 ELSE od END, '%Y-%m') AS target_month

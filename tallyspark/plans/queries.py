@@ -340,6 +340,28 @@ def backfill_range(spark, d):
     return sel.select("path", "target_date")
 
 
+# The four report kinds that must be downloaded every day.
+REQUIRED_KINDS = {
+    "KW実績": r"^RPPキーワード別12h_.*\.csv$",
+    "商品別RPP": r"^RPP商品別12h_.*\.csv$",
+    "RPP費用": r"^RPPEXP商品別_.*\.csv$",
+    "カルテ": r"^店舗カルテ_商品ページ分析_.*\.csv$",
+}
+
+
+def file_presence(spark, d):
+    from tallyspark.sources.files import required_files
+    e = A.read(spark, d, "events")
+    prefix = (F.when(F.col("event_type") == "click", "RPPキーワード別12h_")
+              .when(F.col("event_type") == "view", "RPP商品別12h_")
+              .when(F.col("event_type") == "purchase", "RPPEXP商品別_")
+              .when((F.col("event_type") == "signup") & (F.dayofweek("ts") != 1), "店舗カルテ_商品ページ分析_")
+              .otherwise("other_"))
+    listing = e.select(F.concat(prefix, F.date_format("ts", "yyyyMMdd_HHmm"), F.lit(".csv")).alias("name"),
+                       F.col("ts").alias("mtime"))
+    return required_files(spark, listing, REQUIRED_KINDS, "2024-01-01", AS_OF)
+
+
 def target_month(spark, d):
     o = A.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("od")).distinct()
     return o.select(D.iso_text("od").alias("order_date"), D.target_month("od").alias("target_month"))
@@ -420,6 +442,7 @@ QUERIES: dict[str, Query] = {
     "latest_per_date": latest_per_date,
     "refresh_window_files": refresh_window_files,
     "backfill_range": backfill_range,
+    "file_presence": file_presence,
     "target_month": target_month,
     "trailing_window": trailing_window,
     "column_profile": column_profile,

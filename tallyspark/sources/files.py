@@ -105,3 +105,24 @@ def new_since(listing: DataFrame, ledger: DataFrame, start, path: str = "path",
     st = F.to_timestamp(F.lit(start)) if isinstance(start, str) else start
     fresh = listing.where((F.col(mtime) >= st) & (F.col(size) > 0))
     return fresh.join(ledger.select(F.col(path).alias("_seen")), F.col(path) == F.col("_seen"), "left_anti")
+
+
+def required_files(spark: SparkSession, listing: DataFrame, required: dict[str, str], date_from, date_to,
+                   mtime: str = "mtime", name: str = "name") -> DataFrame:
+    """Q5 (S8 + J9): per day, does each required report kind have a file modified that day?
+
+    ``required`` maps a label to a regex on the file name.  The listing is
+    reduced to distinct (label, day) pairs before anything else, and the
+    (day x label) grid is built with generators, not a join.
+    """
+    kinds = F.array(*[F.struct(F.lit(k).alias("label"), F.lit(v).alias("pat")) for k, v in required.items()])
+    hits = (listing.select(F.to_date(mtime).alias("d"), F.col(name).alias("_n"))
+            .where((F.col("d") >= as_date(date_from)) & (F.col("d") <= as_date(date_to)))
+            .select("d", F.explode(F.filter(kinds, lambda k: F.regexp_like(F.col("_n"), k["pat"]))).alias("k"))
+            .select("d", F.col("k.label").alias("label")).distinct()
+            .withColumn("present", F.lit(True)))
+    grid = (spark.range(1).select(F.explode(F.sequence(as_date(date_from), as_date(date_to))).alias("d"))
+            .select("d", F.explode(F.array(*[F.lit(k) for k in required])).alias("label")))
+    return (grid.join(hits, ["d", "label"], "left")
+            .select(F.date_format("d", "yyyy-MM-dd").alias("d"), "label",
+                    F.coalesce("present", F.lit(False)).alias("present")))
