@@ -33,7 +33,22 @@ MONEY = "decimal(18,2)"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cores when the scan is narrower than the session.
+
+    A file with a single row group is read by one task, and everything up to
+    the first shuffle (regex parsing, decimal parsing) would run on one core.
+    On a cluster the scan already has thousands of splits and this is a no-op;
+    column pruning and filters still reach the scan (both pass through a
+    repartition).
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
 def _sku_from_name(c: str) -> Column:
