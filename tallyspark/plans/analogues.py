@@ -57,6 +57,11 @@ def _sku_from_name(c: str) -> Column:
 
 
 def orders_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _order_lines(spark, sf_dir).drop("order_day")
+
+
+def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines plus the typed order day (filters on it reach the orders scan)."""
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag")
@@ -78,6 +83,7 @@ def orders_a(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").cast("decimal(4,2)").alias("tax"),
         F.col("l_returnflag").alias("returnflag"),
         F.col("o_orderpriority").alias("priority"),
+        F.to_date("o_orderdate").alias("order_day"),
     )
 
 
@@ -110,9 +116,9 @@ def pl_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     [valid_from, valid_to); ``valid_to`` comes from ``lead`` over the master,
     so no line fans out to more than one version.
     """
-    lines = orders_a(spark, sf_dir).select(
+    lines = _order_lines(spark, sf_dir).select(
         F.lower("sku_system").alias("k"), "sku", "product_name",
-        F.to_date("order_date").alias("report_date"),
+        F.col("order_day").alias("report_date"),
         safe_decimal("amount").alias("amt"), safe_decimal("qty").alias("q"),
         "discount", "tax", "returnflag", "priority")
     w = Window.partitionBy("mk").orderBy("valid_from")
