@@ -45,10 +45,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     column pruning and filters still reach the scan (both pass through a
     repartition).
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view (e.g. Spark Connect): leave the scan as it is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 def _sku_from_name(c: str) -> Column:
