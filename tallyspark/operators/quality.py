@@ -79,7 +79,7 @@ def missing_dates(spark: SparkSession, tables: Mapping[str, tuple[DataFrame | No
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.orderBy("tbl", "missing_date")     # O6: a handful of rows
 
 
 def completeness(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, str, DateParser]],
