@@ -162,9 +162,32 @@ def header_at(lines: DataFrame, pos: int = 0) -> DataFrame:
                                                    F.lit(pos).alias("header_pos"))
 
 
-def read_header_csvs(spark: SparkSession, paths, encoding: str = "UTF-8", sep: str = ",") -> DataFrame:
-    """S1 for many small files with possibly different headers (line path)."""
+def quoted_line_breaks(lines: DataFrame) -> DataFrame:
+    """Files with a quoted field that spans lines (a line with an odd number of quotes).
+
+    The line-level readers split on every line break, so such a file would be
+    mis-parsed; it belongs on the ``multiLine`` path (``read_report_csv``).
+    """
+    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    return lines.where(quotes % 2 == 1).select("path").distinct()
+
+
+def read_header_csvs(spark: SparkSession, paths, encoding: str = "UTF-8", sep: str = ",",
+                     on_quoted_newline: str = "raise") -> DataFrame:
+    """S1 for many small files with possibly different headers (line path).
+
+    A file with a quoted line break raises (``on_quoted_newline="raise"``) or is
+    left out (``"skip"``; list them with ``quoted_line_breaks``) -- never
+    mis-parsed.
+    """
     lines = read_lines(spark, paths, encoding)
+    bad = quoted_line_breaks(lines)
+    if on_quoted_newline == "raise":
+        found = [r.path for r in bad.limit(5).collect()]
+        if found:
+            raise ValueError(f"quoted line breaks, read these with read_report_csv(multi_line=True): {found}")
+    elif on_quoted_newline == "skip":
+        lines = lines.join(bad, "path", "left_anti")
     return parse_with_headers(lines, header_at(lines, 0), sep)
 
 

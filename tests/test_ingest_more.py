@@ -109,3 +109,14 @@ def test_mtimes_freshness_and_clean_writer(spark, tmpdir_path):
     out = f"{tmpdir_path}/clean"
     write_clean(spark.createDataFrame([("2026-07-13", "a")], "d string, v string"), out, partition_by="d")
     assert spark.read.parquet(out).count() == 1
+
+
+def test_quoted_line_break_is_refused_not_misparsed(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/q/ok.csv", ["a,b", '"x,y",1'])
+    _write(f"{tmpdir_path}/q/bad.csv", ["a,b", '"line one', 'line two",2'])
+    with pytest.raises(ValueError):
+        C.read_header_csvs(spark, f"{tmpdir_path}/q/*.csv")
+    rows = C.read_header_csvs(spark, f"{tmpdir_path}/q/*.csv", on_quoted_newline="skip")
+    assert [(r.a, r.b) for r in rows.collect()] == [("x,y", "1")]
+    ml = C.read_report_csv(spark, f"{tmpdir_path}/q/bad.csv", multi_line=True)
+    assert [(r.a.replace("\r", ""), r.b) for r in ml.collect()] == [("line one\nline two", "2")]
