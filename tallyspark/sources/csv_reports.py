@@ -133,27 +133,34 @@ def _split_header(text: str, sep: str = ",") -> list[str]:
 
 def parse_with_headers(lines: DataFrame, headers: DataFrame, sep: str = ",",
                        keep_meta: bool = True) -> DataFrame:
-    """Parse data lines by their own file's header.
+    """Parse data lines by their own file's header (U2), in one pass over the lines.
 
     ``headers`` has (path, header, header_pos); data lines are those after the
-    header.  Files sharing a header are parsed together; the distinct header
-    texts (a handful -- report layouts, not rows) are read on the driver to
-    build the schemas, and the variants are unioned by name.
+    header.  The distinct header texts (a handful -- report layouts, not rows)
+    are read on the driver only to know the output columns; each line is
+    parsed once positionally and zipped with its file's header names into a
+    map, so files of every layout share one scan.  A column a file does not
+    have comes out as '' (``unionByName(allowMissingColumns=True)`` semantics).
     """
-    variants = [r[0] for r in headers.select("header").distinct().collect()]
-    out = None
-    for v in sorted(variants):
-        names = mangle_duplicates(_split_header(v, sep))
-        files = headers.where(F.col("header") == v).select("path", "header_pos")
-        data = (lines.join(files, "path").where((F.col("pos") > F.col("header_pos")) & (F.col("line") != "")))
-        cols = parse_fields("line", names, sep)
-        meta = [F.col("path").alias("source_file"), F.col("mtime").alias("source_mtime"),
-                F.col("pos").alias("source_line")] if keep_meta else []
-        part = data.select(*cols, *meta)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
+    variants = sorted(r[0] for r in headers.select("header").distinct().collect())
+    if not variants:
         raise ValueError("no header found in any file")
-    return out.na.fill("", [c for c in out.columns if c not in ("source_file", "source_mtime", "source_line")])
+    names_of = {v: mangle_duplicates(_split_header(v, sep)) for v in variants}
+    width = max(len(n) for n in names_of.values())
+    columns: list[str] = []
+    for v in variants:
+        columns += [n for n in names_of[v] if n not in columns]
+    # header text -> its column names, as a literal map (layouts, not data)
+    layout = F.create_map(*[x for v in variants for x in (F.lit(v), F.array(*[F.lit(n) for n in names_of[v]]))])
+    files = headers.select("path", "header_pos", layout[F.col("header")].alias("_names"))
+    data = lines.join(files, "path").where((F.col("pos") > F.col("header_pos")) & (F.col("line") != ""))
+    rec = F.from_csv(F.col("line"), _positional(width), {"sep": sep, "mode": "PERMISSIVE"})
+    fields = F.array(*[rec.getField(f"_c{i}") for i in range(width)])
+    cells = F.map_from_arrays(F.col("_names"), F.slice(fields, 1, F.size("_names")))
+    parsed = data.select(cells.alias("_m"), "path", "mtime", "pos")
+    meta = [F.col("path").alias("source_file"), F.col("mtime").alias("source_mtime"),
+            F.col("pos").alias("source_line")] if keep_meta else []
+    return parsed.select(*[blank_na(F.col("_m").getItem(c)).alias(c) for c in columns], *meta)
 
 
 def header_at(lines: DataFrame, pos: int = 0) -> DataFrame:

@@ -120,3 +120,14 @@ def test_quoted_line_break_is_refused_not_misparsed(spark, tmpdir_path):
     assert [(r.a, r.b) for r in rows.collect()] == [("x,y", "1")]
     ml = C.read_report_csv(spark, f"{tmpdir_path}/q/bad.csv", multi_line=True)
     assert [(r.a.replace("\r", ""), r.b) for r in ml.collect()] == [("line one\nline two", "2")]
+
+
+def test_two_layouts_one_pass(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/v/a.csv", ["日付,x", "2026-07-13,1", "2026-07-14,NA"])
+    _write(f"{tmpdir_path}/v/b.csv", ["y,日付", "9,2026-07-15"])
+    df = C.read_header_csvs(spark, f"{tmpdir_path}/v/*.csv")
+    assert sorted(c for c in df.columns if not c.startswith("source_")) == ["x", "y", "日付"]
+    got = sorted((r["日付"], r.x, r.y) for r in df.collect())
+    assert got == [("2026-07-13", "1", ""), ("2026-07-14", "", ""), ("2026-07-15", "", "9")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan binaryFile") == 1 or "Scan binaryFile" in plan
