@@ -167,3 +167,78 @@ def spike_guard_files(spark: SparkSession, rows: DataFrame, history: DataFrame,
     for o in outs[1:]:
         out = out.unionByName(o)
     return out
+
+
+def spike_guard_fixpoint(spark: SparkSession, rows: DataFrame, history: DataFrame, as_of, *,
+                         file_rank: str = "file_rank", row_key: Sequence[str] | None = None,
+                         sku: str = SKU, kw: str = KW, guide: str = GUIDE, date_col: str = DATE,
+                         tiebreak: Sequence[str] = (), ratio: float = SPIKE_RATIO,
+                         abs_min: float = SPIKE_ABS_MIN, prior_min: float = SPIKE_PRIOR_MIN,
+                         lookback_days: int = BASELINE_LOOKBACK_DAYS, max_rounds: int = 100) -> DataFrame:
+    """Q10 over many files in load order, all files at once: iterate to the fixed point.
+
+    Same result as ``spike_guard_files``.  Round 0 assumes nothing is
+    blanked; each round recomputes every file's baseline from the rows not
+    blanked in the previous round and re-flags.  A file's decisions depend only
+    on earlier files, so round i has files <= i right and the fixed point is the
+    sequential answer; in practice it is reached in two or three rounds, each a
+    handful of shuffles, instead of one job per file.
+
+    Skew: accepted prices are first reduced to one row per (key, file)
+    (partial ``max_by``), and the running "latest so far" is a window per key
+    over those file rows -- its size is the number of files, never the number
+    of rows of a hot key.  ``row_key`` must identify a row within the batch
+    (default: file rank + tie-break columns); the flags of each round are
+    checkpointed to the shared checkpoint folder.
+    """
+    from pyspark.sql import Window
+
+    row_key = list(row_key or [file_rank, *tiebreak])
+    rtype = rows.schema[file_rank].dataType
+    lo = F.date_sub(as_date(as_of), lookback_days)
+    tfields = [F.col(c).cast(rows.schema[c].dataType).alias(f"t{i}") for i, c in enumerate(tiebreak)]
+
+    base0 = guideline_baseline(history, as_of, sku=sku, kw=kw, guide=guide, date_col=date_col,
+                               lookback_days=lookback_days, tiebreak=tiebreak)
+    hist_state = base0.select(
+        F.col(sku).alias("_k1"), F.col(kw).alias("_k2"), F.lit(-1).cast(rtype).alias("_r"),
+        F.struct(F.col("prior").alias("g"), F.col("prior_date").alias("d"),
+                 *[F.col(f"_t{i}").cast(rows.schema[c].dataType).alias(f"t{i}") for i, c in enumerate(tiebreak)])
+        .alias("_s"))
+    stype = hist_state.schema["_s"].dataType
+    # accepted-price candidates of the new rows, stored (and so later looked up) under their raw keys
+    cand_struct = F.struct(safe_double(guide).alias("g"), parse_mixed_date_iso_first(date_col).alias("d"), *tfields)
+    cand = rows.where(non_blank(guide)).select(
+        *row_key, F.col(sku).alias("_k1"), F.col(kw).alias("_k2"), F.col(file_rank).alias("_r"),
+        F.explode(F.filter(F.array(cand_struct), lambda x: x["g"].isNotNull() & (x["d"] >= lo))).alias("_s"))
+    points = (rows.select(ustrip(sku).alias("_k1"), ustrip(kw).alias("_k2"), F.col(file_rank).alias("_r"))
+              .distinct().withColumn("_s", F.lit(None).cast(stype)).withColumn("_q", F.lit(0)))
+    order = lambda s: F.when(s.isNotNull(), F.struct(s["d"], *[s[f"t{i}"] for i in range(len(tiebreak))]))
+    w = (Window.partitionBy("_k1", "_k2").orderBy("_r", "_q")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    val = comma_float(guide)
+
+    def flags_for(flags: DataFrame | None) -> DataFrame:
+        acc = cand if flags is None else cand.join(flags, row_key, "left_anti")
+        per_file = (acc.groupBy("_k1", "_k2", "_r").agg(F.max_by("_s", order(F.col("_s"))).alias("_s"))
+                    .unionByName(hist_state).withColumn("_q", F.lit(1)))
+        both = per_file.unionByName(points).withColumn("_b", F.max_by("_s", order(F.col("_s"))).over(w))
+        base = both.where(F.col("_q") == 0).select("_k1", "_k2", "_r", F.col("_b.g").alias("prior"))
+        j = rows.join(base, (ustrip(rows[sku]) == base._k1) & (ustrip(rows[kw]) == base._k2)
+                      & (rows[file_rank] == base._r), "left")
+        return j.where(is_spike(val, F.col("prior"), ratio, abs_min, prior_min)).select(*row_key)
+
+    checkpoint_dir(spark)
+    flags = None
+    for _ in range(max_rounds):
+        new = flags_for(flags).checkpoint(eager=True)
+        # row keys are unique, so two anti joins compare the flag sets
+        if (flags is not None and new.join(flags, row_key, "left_anti").isEmpty()
+                and flags.join(new, row_key, "left_anti").isEmpty()):
+            break
+        flags = new
+    else:
+        raise RuntimeError("spike guard did not reach a fixed point")
+    marked = rows.join(new.withColumn("_spike", F.lit(True)), row_key, "left")
+    return marked.withColumn(guide, F.when(F.col("_spike").isNotNull(), F.lit("")).otherwise(F.col(guide))) \
+                 .select(*rows.columns)

@@ -82,8 +82,8 @@ def ingest_dated(spark: SparkSession, root: str, fam: Family, target_path: str,
     target = _target(spark, target_path)
     accepted = DD.first_writer_wins(rows, target, fam.date_col, "file_rank", fam.date_format)
     if fam.table == "raw_keyword" and target is not None and as_of is not None:
-        accepted = G.spike_guard_files(spark, accepted, target, as_of, file_rank="file_rank",
-                                       tiebreak=["file_rank", "source_line"])
+        accepted = G.spike_guard_fixpoint(spark, accepted, target, as_of, file_rank="file_rank",
+                                          tiebreak=["file_rank", "source_line"])
     return accepted
 
 

@@ -169,3 +169,31 @@ def test_sequential_guard_matches_brute_force(spark):
     want = _brute_force([r.asDict() for r in hist.collect()], [r.asDict() for r in rows.collect()], "2024-01-31")
     assert got == want
     assert sum(1 for v in want.values() if v == "") > 0       # some spikes were blanked
+
+
+def test_fixpoint_matches_sequential_and_brute_force(spark):
+    from tallyspark.plans import analogues as A
+    kw = A.kw_a(spark, "/root/testdata/sf0.001")
+    hist = kw.where("d < date'2024-01-20'").drop("d", "clicks", "ctr")
+    rows = (kw.where("d >= date'2024-01-20'")
+            .withColumn("file_rank", F.datediff("d", F.to_date(F.lit("2024-01-19"))))
+            .drop("d", "clicks", "ctr"))
+    args = dict(sku="sku", kw="kw", guide="guide", date_col="date_text", tiebreak=["row_no"])
+    fix = {r.row_no: r.guide for r in G.spike_guard_fixpoint(spark, rows, hist, "2024-01-31", **args).collect()}
+    want = _brute_force([r.asDict() for r in hist.collect()], [r.asDict() for r in rows.collect()], "2024-01-31")
+    assert fix == want
+    assert sum(1 for v in want.values() if v == "") > 0
+
+
+def test_fixpoint_cascade(spark):
+    """A blanked spike must not become the baseline for the next file (needs more than one round)."""
+    h = _hist(spark, [("a", "k", "50", "2026-07-10", 0)])
+    rows = spark.createDataFrame(
+        [("a", "k", "600", "2026-07-11", 1, 1),   # spike vs 50 -> blanked
+         ("a", "k", "190", "2026-07-12", 2, 2),   # vs 50: kept (if 600 were kept: not a spike either)
+         ("a", "k", "700", "2026-07-13", 3, 3),   # vs 190: spike; vs 600 (wrong) it would be kept
+         ("a", "k", "200", "2026-07-14", 4, 4)],  # vs 190: kept
+        f"`{SKU}` string, `{KW}` string, `{GUIDE}` string, `{DATE}` string, file_rank int, seq int")
+    out = G.spike_guard_fixpoint(spark, rows, h, "2026-07-15", tiebreak=["seq"])
+    assert {r[DATE]: r[GUIDE] for r in out.collect()} == {
+        "2026-07-11": "", "2026-07-12": "190", "2026-07-13": "", "2026-07-14": "200"}
