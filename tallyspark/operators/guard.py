@@ -26,7 +26,7 @@ from tallyspark.functions.dates import as_date, parse_mixed_date_iso_first
 from tallyspark.functions.numbers import (BASELINE_LOOKBACK_DAYS, SPIKE_ABS_MIN, SPIKE_PRIOR_MIN,
                                           SPIKE_RATIO, comma_float, is_spike, safe_double, spike_ratio)
 from tallyspark.functions.text import non_blank, ustrip
-from tallyspark.session import checkpoint_dir
+from tallyspark.session import checkpoint_dir, shared_checkpoint_dir
 
 SKU, KW, GUIDE, DATE = "商品管理番号", "キーワード", "目安CPC", "日付"
 
@@ -189,7 +189,7 @@ def spike_guard_fixpoint(spark: SparkSession, rows: DataFrame, history: DataFram
     over those file rows -- its size is the number of files, never the number
     of rows of a hot key.  ``row_key`` must identify a row within the batch
     (default: file rank + tie-break columns); the flags of each round are
-    checkpointed to the shared checkpoint folder.
+    checkpointed to the session's shared checkpoint folder when it names one.
     """
     from pyspark.sql import Window
 
@@ -228,10 +228,14 @@ def spike_guard_fixpoint(spark: SparkSession, rows: DataFrame, history: DataFram
                       & (rows[file_rank] == base._r), "left")
         return j.where(is_spike(val, F.col("prior"), ratio, abs_min, prior_min)).select(*row_key)
 
-    checkpoint_dir(spark)
+    # with a shared checkpoint folder each round's flags cut the lineage; without
+    # one the plan just keeps the (two or three) earlier rounds
+    can_checkpoint = shared_checkpoint_dir(spark) is not None
     flags = None
     for _ in range(max_rounds):
-        new = flags_for(flags).checkpoint(eager=True)
+        new = flags_for(flags)
+        if can_checkpoint:
+            new = new.checkpoint(eager=True)
         # row keys are unique, so two anti joins compare the flag sets
         if (flags is not None and new.join(flags, row_key, "left_anti").isEmpty()
                 and flags.join(new, row_key, "left_anti").isEmpty()):

@@ -54,3 +54,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         d = fallback
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
+
+
+def shared_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The session's shared checkpoint folder, or None when it names none (never a local default)."""
+    d = spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        spark.sparkContext.setCheckpointDir(d)
+    return d or None

@@ -197,3 +197,15 @@ def test_fixpoint_cascade(spark):
     out = G.spike_guard_fixpoint(spark, rows, h, "2026-07-15", tiebreak=["seq"])
     assert {r[DATE]: r[GUIDE] for r in out.collect()} == {
         "2026-07-11": "", "2026-07-12": "190", "2026-07-13": "", "2026-07-14": "200"}
+
+
+def test_registered_multi_file_query_matches_brute_force(spark):
+    import __spark_entry__ as E
+    from tallyspark.plans import analogues as A
+    got = {r.row_no: r.guide for r in E.queries()["spike_guard_multi_file"](spark, "/root/testdata/sf0.001").collect()}
+    kw = A.kw_a(spark, "/root/testdata/sf0.001")
+    hist = kw.where("d < date'2024-01-25'").drop("d", "clicks", "ctr")
+    rows = (kw.where("d >= date'2024-01-25'").withColumn("file_rank", F.datediff("d", F.to_date(F.lit("2024-01-24"))))
+            .drop("d", "clicks", "ctr"))
+    want = _brute_force([r.asDict() for r in hist.collect()], [r.asDict() for r in rows.collect()], "2024-01-31")
+    assert got == want
