@@ -23,8 +23,9 @@ def _write(path, lines, mtime=None, encoding="utf-8-sig"):
 
 
 def test_affiliate_and_expansion_daily(spark, tmpdir_path):
-    root, wh, now = f"{tmpdir_path}/csv_out", f"{tmpdir_path}/wh", time.time()
-    day = time.strftime("%Y-%m-%d", time.localtime(now))
+    root, wh = f"{tmpdir_path}/csv_out", f"{tmpdir_path}/wh"
+    now = time.mktime((2026, 7, 14, 12, 0, 0, 0, 0, -1))     # a fixed day at noon: no midnight race
+    day = "2026-07-14"
     pre = [f"pre{i}" for i in range(11)]
     row = lambda no: ",".join(["2026-07-13 9:05:00", "a", "b", "c", no, "", "100", "1", "1", "ok", "pc", "pc", "x"])
     _write(f"{root}/rms_reports/pending_old.csv", pre + [row("1")], now - 100)

@@ -102,8 +102,8 @@ def _report(root, fam_dir, name, rows, mtime, header=("日付", "商品管理番
 
 def test_daily_ingest_refresh_and_stream(spark, tmpdir_path):
     root, wh = f"{tmpdir_path}/csv_out", f"{tmpdir_path}/wh"
-    now = time.time()
-    day = time.strftime("%Y-%m-%d", time.localtime(now))
+    now = time.mktime((2026, 7, 14, 12, 0, 0, 0, 0, -1))     # a fixed day at noon: no midnight race
+    day = "2026-07-14"
     jp = "2026年07月13日～2026年07月13日"
     _report(root, "rpp_reports", "RPPキーワード別12h_20260713_0900.csv",
             [(jp, "bird-ref", "鳩よけ", "66"), (jp, "bird-ref", "鳩よけ", "66")], now - 60)
