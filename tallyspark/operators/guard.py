@@ -218,31 +218,43 @@ def spike_guard_fixpoint(spark: SparkSession, rows: DataFrame, history: DataFram
          .rowsBetween(Window.unboundedPreceding, -1))
     val = comma_float(guide)
 
+    # loop invariants, materialized once for the rounds and released after them
+    probe = rows.select(*row_key, ustrip(sku).alias("_k1"), ustrip(kw).alias("_k2"),
+                        F.col(file_rank).alias("_r"), val.alias("_v"))
+    invariants = [cand.persist(), points.persist(), hist_state.persist(), probe.persist()]
+
     def flags_for(flags: DataFrame | None) -> DataFrame:
         acc = cand if flags is None else cand.join(flags, row_key, "left_anti")
         per_file = (acc.groupBy("_k1", "_k2", "_r").agg(F.max_by("_s", order(F.col("_s"))).alias("_s"))
                     .unionByName(hist_state).withColumn("_q", F.lit(1)))
         both = per_file.unionByName(points).withColumn("_b", F.max_by("_s", order(F.col("_s"))).over(w))
         base = both.where(F.col("_q") == 0).select("_k1", "_k2", "_r", F.col("_b.g").alias("prior"))
-        j = rows.join(base, (ustrip(rows[sku]) == base._k1) & (ustrip(rows[kw]) == base._k2)
-                      & (rows[file_rank] == base._r), "left")
-        return j.where(is_spike(val, F.col("prior"), ratio, abs_min, prior_min)).select(*row_key)
+        j = probe.join(base, ["_k1", "_k2", "_r"], "left")
+        return j.where(is_spike(F.col("_v"), F.col("prior"), ratio, abs_min, prior_min)).select(*row_key)
 
-    # with a shared checkpoint folder each round's flags cut the lineage; without
-    # one the plan just keeps the (two or three) earlier rounds
+    # each round's flags (the spikes only: small) are kept -- checkpointed to the
+    # session's shared folder when it names one, else persisted
     can_checkpoint = shared_checkpoint_dir(spark) is not None
     flags = None
     for _ in range(max_rounds):
         new = flags_for(flags)
         if can_checkpoint:
             new = new.checkpoint(eager=True)
+        else:
+            new = new.persist()
+            new.count()                       # materialize fully before the previous round goes
         # row keys are unique, so two anti joins compare the flag sets
-        if (flags is not None and new.join(flags, row_key, "left_anti").isEmpty()
-                and flags.join(new, row_key, "left_anti").isEmpty()):
-            break
+        done = (flags is not None and new.join(flags, row_key, "left_anti").isEmpty()
+                and flags.join(new, row_key, "left_anti").isEmpty())
+        if flags is not None and not can_checkpoint:
+            flags.unpersist()
         flags = new
+        if done:
+            break
     else:
         raise RuntimeError("spike guard did not reach a fixed point")
+    for df in invariants:
+        df.unpersist()
     marked = rows.join(new.withColumn("_spike", F.lit(True)), row_key, "left")
     return marked.withColumn(guide, F.when(F.col("_spike").isNotNull(), F.lit("")).otherwise(F.col(guide))) \
                  .select(*rows.columns)
