@@ -15,7 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.dates import age_days, age_hours, as_date, date_spine, iso_text, parse_iso_only
+from tallyspark.functions.dates import age_days, as_date, date_spine, iso_text, parse_iso_only
 from tallyspark.functions.numbers import safe_bigint
 from tallyspark.functions.text import non_blank
 

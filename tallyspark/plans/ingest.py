@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import REFRESH_ORDER, explicit_dates, trailing_window
-from tallyspark.functions.text import ustrip
 from tallyspark.operators import dedup as DD
 from tallyspark.operators import guard as G
 from tallyspark.operators import upsert as U
