@@ -26,7 +26,7 @@ from tallyspark.functions.dates import as_date, parse_mixed_date_iso_first
 from tallyspark.functions.numbers import (BASELINE_LOOKBACK_DAYS, SPIKE_ABS_MIN, SPIKE_PRIOR_MIN,
                                           SPIKE_RATIO, comma_float, is_spike, safe_double, spike_ratio)
 from tallyspark.functions.text import non_blank, ustrip
-from tallyspark.session import checkpoint_dir, shared_checkpoint_dir
+from tallyspark.session import shared_checkpoint_dir
 
 SKU, KW, GUIDE, DATE = "商品管理番号", "キーワード", "目安CPC", "日付"
 
@@ -121,8 +121,8 @@ def spike_guard_files(spark: SparkSession, rows: DataFrame, history: DataFrame,
 
     The state is the baseline itself (one row per key), folded with
     ``max_by`` -- associative, so ``state_{k+1} = latest(state_k, accepted_k)``
-    -- and checkpointed to the shared checkpoint folder every few files so the
-    lineage stays short.  ``ranks`` is the (small) list of file ranks; when not
+    -- and checkpointed to the session's shared checkpoint folder (when it names
+    one) every few files so the lineage stays short.  ``ranks`` is the (small) list of file ranks; when not
     given it is read from the file-rank column.  With ``sink`` each file's
     guarded rows are handed over as soon as they are planned (append writes),
     otherwise their union is returned.
@@ -158,8 +158,7 @@ def spike_guard_files(spark: SparkSession, rows: DataFrame, history: DataFrame,
                  .agg(F.max_by(F.struct("prior", "_d", *[f"_t{j}" for j in range(len(tiebreak))]), order)
                       .alias("_s"))
                  .select(sku, kw, "_s.*"))
-        if checkpoint_every and (i + 1) % checkpoint_every == 0:
-            checkpoint_dir(spark)
+        if checkpoint_every and (i + 1) % checkpoint_every == 0 and shared_checkpoint_dir(spark):
             state = state.checkpoint(eager=True)
     if sink is not None:
         return None
