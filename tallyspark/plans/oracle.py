@@ -565,6 +565,12 @@ hits AS (SELECT DISTINCT l.d, k.label FROM l JOIN k ON regexp_matches(l.name, k.
 grid AS (SELECT CAST(x AS DATE) AS d, k.label FROM generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) s(x), k)
 SELECT strftime(grid.d, '%Y-%m-%d') AS d, grid.label, hits.label IS NOT NULL AS present
 FROM grid LEFT JOIN hits ON grid.d = hits.d AND grid.label = hits.label""",
+    "orders_view": with_ctes("""
+SELECT line_id, sku, sku_system, product_name, order_date, amount, qty, CAST(discount AS DOUBLE) AS discount,
+       CAST(tax AS DOUBLE) AS tax, returnflag, priority
+FROM orders_a""", "orders_a"),
+    "schema_evolve": with_ctes("""
+SELECT line_id, sku, order_date, CAST(NULL AS VARCHAR) AS "注文時間" FROM orders_a""", "orders_a"),
     "target_month": """
 SELECT strftime(od, '%Y-%m-%d') AS order_date,
        strftime(CASE WHEN day(od) = 1 THEN od - 1 ELSE od END, '%Y-%m') AS target_month

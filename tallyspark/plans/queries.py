@@ -377,6 +377,23 @@ def file_presence(spark, d):
     return required_files(spark, listing, REQUIRED_KINDS, "2024-01-01", AS_OF)
 
 
+def orders_view(spark, d):
+    """K7: a SELECT * view over the order lines, created twice (the second call replaces it)."""
+    from tallyspark.sources.catalog import create_or_replace_view
+    A.orders_a(spark, d).createOrReplaceTempView("orders_lines_src")
+    create_or_replace_view(spark, "orders_lines_v", "orders_lines_src", temporary=True)
+    create_or_replace_view(spark, "orders_lines_v", "orders_lines_src", temporary=True)
+    v = spark.table("orders_lines_v")
+    return v.select(*[F.col(c).cast("double").alias(c) if c in ("discount", "tax") else F.col(c) for c in v.columns])
+
+
+def schema_evolve(spark, d):
+    """K6: add the order-time column when it is missing; a column already there is left alone."""
+    from tallyspark.sources.catalog import add_columns_if_missing
+    base = A.orders_a(spark, d).select("line_id", "sku", "order_date")
+    return add_columns_if_missing(base, {"注文時間": "string", "sku": "string"})
+
+
 def target_month(spark, d):
     o = A.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("od")).distinct()
     return o.select(D.iso_text("od").alias("order_date"), D.target_month("od").alias("target_month"))
@@ -459,6 +476,8 @@ QUERIES: dict[str, Query] = {
     "refresh_window_files": refresh_window_files,
     "backfill_range": backfill_range,
     "file_presence": file_presence,
+    "orders_view": orders_view,
+    "schema_evolve": schema_evolve,
     "target_month": target_month,
     "trailing_window": trailing_window,
     "column_profile": column_profile,

@@ -54,6 +54,15 @@ def add_column_if_missing(spark: SparkSession, table: str, column: str, dtype: s
     return True
 
 
+def add_columns_if_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """K6 on a DataFrame / view: add each missing column as NULL of its type; present ones are kept."""
+    out = df
+    for name, dtype in columns.items():
+        if name not in out.columns:
+            out = out.withColumn(name, F.lit(None).cast(dtype))
+    return out
+
+
 def create_or_replace_view(spark: SparkSession, view: str, source: str, temporary: bool = False) -> None:
     """K7: ``SELECT *`` view over a table; replaced when it exists."""
     kind = "TEMPORARY VIEW" if temporary else "VIEW"
