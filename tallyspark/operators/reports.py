@@ -48,13 +48,22 @@ def unmatched_skus(orders: DataFrame, master: DataFrame, date_from: str, *,
                    sku: str = "商品管理番号", sku_system: str = "システム連携用SKU",
                    order_date: str = "注文日", amount: str = "商品合計", qty: str = "数量",
                    master_sku_system: str = "sku_system", exact_money: bool = True) -> DataFrame:
-    """Order SKUs since ``date_from`` whose system SKU is not in the master."""
-    o = (orders.where((F.col(order_date) >= F.lit(date_from)) & non_blank(sku) & non_blank(sku_system))
-         .groupBy(F.lower(sku).alias("sku"), F.lower(sku_system).alias("sku_system"))
-         .agg(F.min(order_date).alias("first_order_date"),
-              F.max(order_date).alias("last_order_date"),
-              F.sum(_money(amount, exact_money)).alias("total_sales"),
-              F.sum(safe_double(qty)).alias("total_qty")))
+    """Order SKUs since ``date_from`` whose system SKU is not in the master.
+
+    Two-level aggregation: order lines -> (sku, day) with a hash aggregate,
+    then (sku) with min/max of the day.  min/max over date *text* can only be
+    sort-aggregated; this way the sort sees one row per SKU and day instead
+    of one per order line.
+    """
+    daily = (orders.where((F.col(order_date) >= F.lit(date_from)) & non_blank(sku) & non_blank(sku_system))
+             .groupBy(F.lower(sku).alias("sku"), F.lower(sku_system).alias("sku_system"),
+                      F.col(order_date).alias("_day"))
+             .agg(F.sum(_money(amount, exact_money)).alias("_sales"), F.sum(safe_double(qty)).alias("_qty")))
+    o = (daily.groupBy("sku", "sku_system")
+         .agg(F.min("_day").alias("first_order_date"),
+              F.max("_day").alias("last_order_date"),
+              F.sum("_sales").alias("total_sales"),
+              F.sum("_qty").alias("total_qty")))
     pm = registered_systems(master, master_sku_system)
     out = o.join(pm, o.sku_system == pm._pm_sku_system, "left_anti")
     return out.select(
