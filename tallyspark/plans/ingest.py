@@ -16,6 +16,7 @@ Families (fixed values: file patterns, date column and spelling, dedup rule):
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,9 @@ from tallyspark.sources.catalog import table_columns
 from tallyspark.sources.sinks import PDATE, append_raw, prepare_for_target
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class Family:
     table: str
@@ -70,8 +74,10 @@ def ingest_dated(spark: SparkSession, root: str, fam: Family, target_path: str,
     """Header CSVs of one family -> new rows (dates not loaded yet, first file wins).
 
     Returns the accepted rows (not yet written); keyword rows pass the spike
-    guard file by file, against the target's history.
+    guard file by file, against the target's history, with ``as_of`` (default:
+    the run day) as "today" for the 30-day baseline window.
     """
+    as_of = as_of or day
     files = _ranked_files(spark, root, fam, day)
     paths = [r.path for r in files.select("path").collect()]   # the listing of today's files
     if not paths:
@@ -141,8 +147,15 @@ def refresh_window(spark: SparkSession, root: str, fam: Family, target_path: str
     ``today`` only files modified that day are used (``None`` = any mtime).
     Returns the plan frame (K4); writes only when not ``dry_run``.
     """
-    wanted = explicit_dates(spark, dates).where(F.col("d").isNotNull()) if dates else \
-        trailing_window(spark, as_of, days)
+    if dates:
+        parsed = explicit_dates(spark, dates)
+        # the list is a job parameter (a few tokens), so reporting the bad ones reads it on the driver
+        bad = [r.token for r in parsed.where(F.col("d").isNull()).collect()]
+        if bad:
+            log.warning("ignoring date tokens that are not 8 digits: %s", bad)
+        wanted = parsed.where(F.col("d").isNotNull())
+    else:
+        wanted = trailing_window(spark, as_of, days)
     sel = FL.window_files(FL.list_files(spark, f"{root}/{fam.pattern}"), wanted, today)
     paths = [r.path for r in sel.select("path").collect()]
     if not paths:
