@@ -132,3 +132,14 @@ def test_two_layouts_one_pass(spark, tmpdir_path):
     assert got == [("2026-07-13", "1", ""), ("2026-07-14", "", ""), ("2026-07-15", "", "9")]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan binaryFile") == 1 or "Scan binaryFile" in plan
+
+
+def test_refresh_warns_about_ignored_date_tokens(spark, tmpdir_path, caplog):
+    import logging
+    root, wh = f"{tmpdir_path}/csv_out", f"{tmpdir_path}/wh"
+    _write(f"{root}/rpp_reports/RPP商品別12h_20260710_0900.csv", ["日付,商品管理番号", "2026年07月10日～2026年07月10日,a"])
+    with caplog.at_level(logging.WARNING, logger="tallyspark.plans.ingest"):
+        plan = I.refresh_window(spark, root, I.FAMILIES["raw_shohin_betsu"], f"{wh}/raw_shohin_betsu", None,
+                                dates="2026-07-10, 7/10, x", dry_run=True)
+    assert plan.first().rows == 1
+    assert "7/10" in caplog.text and "x" in caplog.text
