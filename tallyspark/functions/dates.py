@@ -60,8 +60,8 @@ def _normalize_one(s: Column, fmt: str) -> Column:
     blank check is needed).
     """
     m = F.regexp_extract(s, PATTERNS[fmt], 0)
-    if fmt == "simple":
-        return F.nullif(m, F.lit(""))
+    if fmt == "simple":     # the whole text is returned (``$`` also matches before a final line break)
+        return F.when(m != "", s)
     if fmt == "rpp_range":   # fixed width: YYYY年MM月DD日
         return F.when(m != "", F.concat_ws("-", F.substring(m, 1, 4), F.substring(m, 6, 2), F.substring(m, 9, 2)))
     parts = F.split(m, "[年月日/]")
