@@ -48,9 +48,14 @@ def safe_bigint(c) -> Column:
 
 
 def comma_float(c) -> Column:
-    """``float(str(x).replace(',', '').strip())`` or NULL."""
+    """``float(str(x).replace(',', '').strip())`` or NULL.
+
+    Python's ``float`` also reads full-width digits (``'１２００'`` -> 1200.0), so
+    they are mapped to ASCII first; the baseline side (``safe_double``) keeps
+    the warehouse cast, which does not.
+    """
     s = F.regexp_replace(_col(c).cast("string"), ",", "")
-    return safe_double(s)
+    return safe_double(F.translate(s, "０１２３４５６７８９", "0123456789"))
 
 
 def strip_pct_bom(c) -> Column:
