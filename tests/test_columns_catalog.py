@@ -51,3 +51,12 @@ def test_append_narrows_to_target_and_blanks(spark, tmpdir_path):
     assert sorted(c for c in t.columns if c != "pdate") == ["CTR", "商品管理番号", "対象日"]   # new column dropped
     assert sorted((r["対象日"], r.CTR) for r in t.collect()) == [("2026-07-13", ""), ("2026-07-14", "")]
     assert append_raw(spark, second.where("false"), path, "対象日") == {"written": 0}
+
+
+def test_ustrip_matches_python_strip(spark):
+    from tallyspark.functions.text import ustrip
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()] + ["​", "﻿"]   # last two: not spaces
+    texts = [f"{w}a b{w}" for w in spaces] + [f"{w}{w}x{w}" for w in spaces]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = {r.i: r.x for r in df.select("i", ustrip("s").alias("x")).collect()}
+    assert all(got[i] == t.strip() for i, t in enumerate(texts))
