@@ -180,8 +180,9 @@ def spike_guard_fixpoint(spark: SparkSession, rows: DataFrame, history: DataFram
     blanked; each round recomputes every file's baseline from the rows not
     blanked in the previous round and re-flags.  A file's decisions depend only
     on earlier files, so round i has files <= i right and the fixed point is the
-    sequential answer; in practice it is reached in two or three rounds, each a
-    handful of shuffles, instead of one job per file.
+    sequential answer.  The worst case is one round per file (when every file's
+    spikes change the next file's baseline); with rare spikes it settles in a
+    couple of rounds, each a handful of shuffles, whatever the number of files.
 
     Skew: accepted prices are first reduced to one row per (key, file)
     (partial ``max_by``), and the running "latest so far" is a window per key
