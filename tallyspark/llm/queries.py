@@ -18,6 +18,24 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ~held, held)
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces with their places in sequences of 1024 tokens."""
+    from tallyspark.llm.packing import pack
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals, truncated totals and quantiles for every encoded length of documents taken as context limit."""
+    from tallyspark.llm.tokens import context_limits, histogram
+    return context_limits(histogram(_table(spark, sf_dir, "documents")))
+
+
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    from tallyspark.llm.neardup import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; rows of remainder 1 (crc32 mod 3) are held out."""
     from tallyspark.llm.langid import language_id
@@ -27,6 +45,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_token_counts": op3_token_counts,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_language_id": op6_language_id,
 }
 
