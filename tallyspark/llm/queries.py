@@ -43,12 +43,19 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"), ~held, held)
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items they contain."""
+    from tallyspark.llm.decontam import contaminated
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_counts": op3_token_counts,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_language_id": op6_language_id,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {}
