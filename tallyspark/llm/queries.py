@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspark.llm.common import crc_mod
+from tallyspark.llm.urlfilter import oracle_sql as url_oracle
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,13 +51,38 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    from tallyspark.llm.urlfilter import url_filter
+    return url_filter(_table(spark, sf_dir, "pages"))
+
+
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    from tallyspark.llm.topk import top_k
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_counts": op3_token_counts,
+    "op4_url_filters": op4_url_filters,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_url_filters": url_oracle(),
+    "op10_exact_top_k": """
+with e as (select cast(vec_id as bigint) as vec_id, [floor(256.0 * cast(x as double)) for x in embedding] as v
+           from embeddings where vec_id is not null and embedding is not null and len(embedding) > 0
+           and len([x for x in embedding if x is not null and isfinite(cast(x as double))]) = len(embedding)),
+s as (select q.vec_id as query_id, c.vec_id as vec_id,
+             cast(list_dot_product(q.v, c.v) as bigint) as score
+      from e q join e c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id and len(c.v) = len(q.v)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 5""",
+}
