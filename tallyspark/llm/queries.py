@@ -57,6 +57,12 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree and add-one unigram log10 probability of every document; rows of remainder 2 (crc32 mod 7) are held out."""
+    from tallyspark.llm.ctw import score
+    return score(_table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector with all others."""
     from tallyspark.llm.topk import top_k
@@ -71,6 +77,7 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_lm_scoring": op8_lm_scoring,
     "op10_exact_top_k": op10_exact_top_k,
 }
 
