@@ -51,13 +51,15 @@ def training_sample(docs: DataFrame, max_rows: int = MAX_ROWS_PER_LANG) -> tuple
 
 def _scored(docs: DataFrame, keep: list[str], types: str, shared) -> DataFrame:
     """``keep`` columns and best class, its cross-entropy, the gap to the runner-up (nats a character) and characters."""
+    cols = keep if "text" in keep else [*keep, "text"]
+    at = cols.index("text")
 
     def run(batches):
         model, digest = shared.value
         scorer = charlm.ChunkScorer(model, f"langid-{digest}")
         k = model["classes"]
         for b in batches:
-            texts = [t or "" for t in b.column(len(keep)).to_pylist()]
+            texts = [t or "" for t in b.column(at).to_pylist()]
             for s, e in portions(texts):
                 rows, counts = scorer.rows(texts[s:e])
                 tot = np.zeros((e - s, k + 2))
@@ -72,7 +74,7 @@ def _scored(docs: DataFrame, keep: list[str], types: str, shared) -> DataFrame:
                 best = np.where(chars > 0, best, -1)
                 yield pa.RecordBatch.from_arrays([b.column(i).slice(s, e - s) for i in range(len(keep))] + [pa.array(best.astype(np.int32)), pa.array(two[:, 0]), pa.array(gap), pa.array(chars)], keep + ["best", "ce", "gap", "chars"])
 
-    return docs.select(*keep, "text").mapInArrow(run, f"{types}, best int, ce double, gap double, chars double")
+    return docs.select(*cols).mapInArrow(run, f"{types}, best int, ce double, gap double, chars double")
 
 
 def fit(docs: DataFrame, max_rows: int = MAX_ROWS_PER_LANG) -> dict:

@@ -63,6 +63,12 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(_table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from tallyspark.llm.htmltext import main_text
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector with all others."""
     from tallyspark.llm.topk import top_k
@@ -78,6 +84,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_lm_scoring": op8_lm_scoring,
+    "op9_html_extraction": op9_html_extraction,
     "op10_exact_top_k": op10_exact_top_k,
 }
 

@@ -70,17 +70,19 @@ def _features(scorer: charlm.ChunkScorer, texts: list[str]) -> np.ndarray:
 
 def _feature_rows(docs: DataFrame, keep: list[str], types: str, shared) -> DataFrame:
     """``keep`` columns and the features of each (.., text) row."""
+    cols = keep if "text" in keep else [*keep, "text"]
+    at = cols.index("text")
 
     def run(batches):
         model, digest = shared.value
         scorer = charlm.ChunkScorer(model, f"toxicity-{digest}")
         for b in batches:
-            texts = [t or "" for t in b.column(len(keep)).to_pylist()]
+            texts = [t or "" for t in b.column(at).to_pylist()]
             for s, e in portions(texts):
                 f = _features(scorer, texts[s:e])
                 yield pa.RecordBatch.from_arrays([b.column(i).slice(s, e - s) for i in range(len(keep))] + [pa.array(f[:, j]) for j in range(N_FEATURES)], keep + [f"f{j}" for j in range(N_FEATURES)])
 
-    return docs.select(*keep, "text").mapInArrow(run, f"{types}, " + ", ".join(f"f{j} double" for j in range(N_FEATURES)))
+    return docs.select(*cols).mapInArrow(run, f"{types}, " + ", ".join(f"f{j} double" for j in range(N_FEATURES)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER_CLASS) -> dict:
