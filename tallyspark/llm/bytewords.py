@@ -73,7 +73,7 @@ def shingles(texts: list[bytes], cache: dict, width: int = SHINGLE) -> tuple[np.
     acc = h.copy()
     for j in range(1, width):
         nxt = np.zeros(n, np.uint64)
-        nxt[: n - j] = h[j:]
+        nxt[: max(n - j, 0)] = h[j:]
         acc = acc * k + nxt
     left = np.repeat(first + counts, counts) - np.arange(n)  # words from here to the text's end
     take = left >= width
