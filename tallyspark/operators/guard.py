@@ -168,93 +168,65 @@ def spike_guard_files(spark: SparkSession, rows: DataFrame, history: DataFrame,
     return out
 
 
-def spike_guard_fixpoint(spark: SparkSession, rows: DataFrame, history: DataFrame, as_of, *,
-                         file_rank: str = "file_rank", row_key: Sequence[str] | None = None,
-                         sku: str = SKU, kw: str = KW, guide: str = GUIDE, date_col: str = DATE,
-                         tiebreak: Sequence[str] = (), ratio: float = SPIKE_RATIO,
-                         abs_min: float = SPIKE_ABS_MIN, prior_min: float = SPIKE_PRIOR_MIN,
-                         lookback_days: int = BASELINE_LOOKBACK_DAYS, max_rounds: int = 100) -> DataFrame:
-    """Q10 over many files in load order, all files at once: iterate to the fixed point.
-
-    Same result as ``spike_guard_files``.  Round 0 assumes nothing is
-    blanked; each round recomputes every file's baseline from the rows not
-    blanked in the previous round and re-flags.  A file's decisions depend only
-    on earlier files, so round i has files <= i right and the fixed point is the
-    sequential answer.  The worst case is one round per file (when every file's
-    spikes change the next file's baseline); with rare spikes it settles in a
-    couple of rounds, each a handful of shuffles, whatever the number of files.
-
-    Skew: accepted prices are first reduced to one row per (key, file)
-    (partial ``max_by``), and the running "latest so far" is a window per key
-    over those file rows -- its size is the number of files, never the number
-    of rows of a hot key.  ``row_key`` must identify a row within the batch
-    (default: file rank + tie-break columns); the flags of each round are
-    checkpointed to the session's shared checkpoint folder when it names one.
+def spike_guard_many(rows: DataFrame, history: DataFrame | None, as_of, *, file_rank: str = "file_rank",
+                     sku: str = SKU, kw: str = KW, guide: str = GUIDE, date_col: str = DATE,
+                     tiebreak: Sequence[str] = (), ratio: float = SPIKE_RATIO, abs_min: float = SPIKE_ABS_MIN,
+                     prior_min: float = SPIKE_PRIOR_MIN, lookback_days: int = BASELINE_LOOKBACK_DAYS) -> DataFrame:
+    """Q10 over many files in load order, in one pass: file k sees the prices accepted from files < k.
+
+    Same result as ``spike_guard_files``, whatever the number of files and spikes.  Prices are first
+    reduced to one row per (key, file, distinct price) with partial ``max_by``; each key's files are then
+    folded in order (``aggregate``), which gives the prior of every (key, file); the rows join that back.
+    A key's fold holds its files and their distinct prices, never its rows.  Only rows whose stored key
+    has no blanks to strip can ever be looked up, so only they feed the fold.  Without a history the
+    first file has no prior and later files see the earlier ones.
     """
-    from pyspark.sql import Window
-
-    row_key = list(row_key or [file_rank, *tiebreak])
-    rtype = rows.schema[file_rank].dataType
+    if not {sku, kw, guide} <= set(rows.columns):
+        return rows
     lo = F.date_sub(as_date(as_of), lookback_days)
-    tfields = [F.col(c).cast(rows.schema[c].dataType).alias(f"t{i}") for i, c in enumerate(tiebreak)]
-
-    base0 = guideline_baseline(history, as_of, sku=sku, kw=kw, guide=guide, date_col=date_col,
-                               lookback_days=lookback_days, tiebreak=tiebreak)
-    hist_state = base0.select(
-        F.col(sku).alias("_k1"), F.col(kw).alias("_k2"), F.lit(-1).cast(rtype).alias("_r"),
-        F.struct(F.col("prior").alias("g"), F.col("prior_date").alias("d"),
-                 *[F.col(f"_t{i}").cast(rows.schema[c].dataType).alias(f"t{i}") for i, c in enumerate(tiebreak)])
-        .alias("_s"))
-    stype = hist_state.schema["_s"].dataType
-    # accepted-price candidates of the new rows, stored (and so later looked up) under their raw keys
-    cand_struct = F.struct(safe_double(guide).alias("g"), parse_mixed_date_iso_first(date_col).alias("d"), *tfields)
-    cand = rows.where(non_blank(guide)).select(
-        *row_key, F.col(sku).alias("_k1"), F.col(kw).alias("_k2"), F.col(file_rank).alias("_r"),
-        F.explode(F.filter(F.array(cand_struct), lambda x: x["g"].isNotNull() & (x["d"] >= lo))).alias("_s"))
-    points = (rows.select(ustrip(sku).alias("_k1"), ustrip(kw).alias("_k2"), F.col(file_rank).alias("_r"))
-              .distinct().withColumn("_s", F.lit(None).cast(stype)).withColumn("_q", F.lit(0)))
-    order = lambda s: F.when(s.isNotNull(), F.struct(s["d"], *[s[f"t{i}"] for i in range(len(tiebreak))]))
-    w = (Window.partitionBy("_k1", "_k2").orderBy("_r", "_q")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    val = comma_float(guide)
-
-    # loop invariants, materialized once for the rounds and released after them
-    probe = rows.select(*row_key, ustrip(sku).alias("_k1"), ustrip(kw).alias("_k2"),
-                        F.col(file_rank).alias("_r"), val.alias("_v"))
-    invariants = [cand.persist(), points.persist(), hist_state.persist(), probe.persist()]
-
-    def flags_for(flags: DataFrame | None) -> DataFrame:
-        acc = cand if flags is None else cand.join(flags, row_key, "left_anti")
-        per_file = (acc.groupBy("_k1", "_k2", "_r").agg(F.max_by("_s", order(F.col("_s"))).alias("_s"))
-                    .unionByName(hist_state).withColumn("_q", F.lit(1)))
-        both = per_file.unionByName(points).withColumn("_b", F.max_by("_s", order(F.col("_s"))).over(w))
-        base = both.where(F.col("_q") == 0).select("_k1", "_k2", "_r", F.col("_b.g").alias("prior"))
-        j = probe.join(base, ["_k1", "_k2", "_r"], "left")
-        return j.where(is_spike(F.col("_v"), F.col("prior"), ratio, abs_min, prior_min)).select(*row_key)
-
-    # each round's flags (the spikes only: small) are kept -- checkpointed to the
-    # session's shared folder when it names one, else persisted
-    can_checkpoint = shared_checkpoint_dir(spark) is not None
-    flags = None
-    for _ in range(max_rounds):
-        new = flags_for(flags)
-        if can_checkpoint:
-            new = new.checkpoint(eager=True)
-        else:
-            new = new.persist()
-            new.count()                       # materialize fully before the previous round goes
-        # row keys are unique, so two anti joins compare the flag sets
-        done = (flags is not None and new.join(flags, row_key, "left_anti").isEmpty()
-                and flags.join(new, row_key, "left_anti").isEmpty())
-        if flags is not None and not can_checkpoint:
-            flags.unpersist()
-        flags = new
-        if done:
-            break
+    ts = [f"t{i}" for i in range(len(tiebreak))]
+    kinds = [rows.schema[c].dataType for c in tiebreak]
+
+    def order(s):
+        return F.struct(s["d"], *[s[t] for t in ts])
+
+    # per (key, file, price): the best dated occurrence; d NULL marks a file that only looks up
+    feeds = (F.col(sku) == ustrip(sku)) & (F.col(kw) == ustrip(kw)) & non_blank(guide)
+    seen = F.struct(parse_mixed_date_iso_first(date_col).alias("d"), *[F.col(c).alias(t) for c, t in zip(tiebreak, ts)],
+                    safe_double(guide).alias("g"), comma_float(guide).alias("v"))
+    k1, k2 = ustrip(sku).alias("_k1"), ustrip(kw).alias("_k2")
+    keyed = (rows.where(F.col(sku).isNotNull() & F.col(kw).isNotNull())
+             .select(k1, k2, F.col(file_rank).alias("_r"), F.when(feeds, seen).alias("_s")))
+    usable = F.col("_s.g").isNotNull() & (F.col("_s.d") >= lo)
+    keyed = keyed.select("_k1", "_k2", "_r", F.when(usable, F.col("_s")).alias("_s"))
+    per_price = keyed.groupBy("_k1", "_k2", "_r", F.col("_s.g").alias("_g")).agg(
+        F.max_by("_s", F.when(F.col("_s").isNotNull(), order(F.col("_s")))).alias("_s"))
+    per_file = per_price.groupBy("_k1", "_k2", "_r").agg(F.collect_list("_s").alias("_p"))
+    per_key = per_file.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_list(F.struct("_r", "_p"))).alias("_files"))
+    state_type = per_price.schema["_s"].dataType
+    if history is not None:
+        base = guideline_baseline(history, as_of, sku=sku, kw=kw, guide=guide, date_col=date_col,
+                                  lookback_days=lookback_days, tiebreak=tiebreak)
+        start = F.struct(F.col("prior_date").alias("d"), *[F.col(f"_t{i}").cast(k).alias(t) for i, (t, k) in enumerate(zip(ts, kinds))],
+                         F.col("prior").alias("g"), F.col("prior").alias("v")).cast(state_type)
+        base = base.select(F.col(sku).alias("_k1"), F.col(kw).alias("_k2"), start.alias("_start"))
+        per_key = per_key.join(base, ["_k1", "_k2"], "left")
     else:
-        raise RuntimeError("spike guard did not reach a fixed point")
-    for df in invariants:
-        df.unpersist()
-    marked = rows.join(new.withColumn("_spike", F.lit(True)), row_key, "left")
-    return marked.withColumn(guide, F.when(F.col("_spike").isNotNull(), F.lit("")).otherwise(F.col(guide))) \
-                 .select(*rows.columns)
+        per_key = per_key.withColumn("_start", F.lit(None).cast(state_type))
+    rtype = rows.schema[file_rank].dataType.simpleString()
+    init = F.struct(F.col("_start").alias("s"), F.array().cast(f"array<struct<r:{rtype},prior:double>>").alias("out"))
+
+    def step(acc, f):
+        prior = acc["s"]["g"]
+        taken = F.filter(f["_p"], lambda p: ~is_spike(p["v"], prior, ratio, abs_min, prior_min))
+        best = F.array_max(F.transform(F.concat(F.filter(F.array(acc["s"]), lambda x: x.isNotNull()), taken),
+                                       lambda p: F.struct(order(p).alias("o"), p.alias("p"))))["p"]
+        return F.struct(best.cast(state_type).alias("s"),
+                        F.concat(acc["out"], F.array(F.struct(f["_r"].alias("r"), prior.alias("prior")))).alias("out"))
+
+    folded = per_key.select("_k1", "_k2", F.explode(F.aggregate("_files", init, step, lambda a: a["out"])).alias("_o"))
+    folded = folded.select("_k1", "_k2", F.col("_o.r").alias("_r"), F.col("_o.prior").alias("_prior"))
+    j = rows.join(folded, (ustrip(rows[sku]) == folded["_k1"]) & (ustrip(rows[kw]) == folded["_k2"])
+                  & (rows[file_rank] == folded["_r"]), "left")
+    spike = is_spike(comma_float(guide), F.col("_prior"), ratio, abs_min, prior_min)
+    return j.withColumn(guide, F.when(spike, F.lit("")).otherwise(F.col(guide))).select(*[rows[c] if c != guide else F.col(guide) for c in rows.columns])

@@ -584,3 +584,28 @@ SELECT sku, sku_system FROM orders_a ORDER BY sku NULLS FIRST, sku_system NULLS
     "alert_policy": _alert_sql("2024-01-31 16:00:00", "hour_first"),
     "alert_policy_files": _alert_sql("2024-01-31 10:00:00", "exempt_first"),
 })
+
+
+# Q10 over files: one pair of CTEs per day-file, each flagged against the state its predecessor left
+_SPIKE = ("COALESCE(nv IS NOT NULL AND NOT isnan(nv) AND prior IS NOT NULL AND NOT isnan(prior) "
+          "AND prior >= 40 AND nv > prior * 3.0 AND nv - prior > 150, false)")
+CTES["state_0"] = (("base_rows",), """
+SELECT sku, kw, g, bd, row_no FROM (
+  SELECT *, row_number() OVER (PARTITION BY sku, kw ORDER BY bd DESC, row_no DESC) AS rn FROM base_rows) WHERE rn = 1""")
+_FILES = range(1, 7)          # the days 2024-01-25 .. 2024-01-30
+for _k in _FILES:
+    CTES[f"file_{_k}"] = (("kw_new", f"state_{_k - 1}"), f"""
+SELECT *, {_SPIKE} AS spike FROM (
+  SELECT n.*, b.g AS prior, {sdbl("replace(n.guide, ',', '')")} AS nv
+  FROM kw_new n LEFT JOIN state_{_k - 1} b ON trim(n.sku) = b.sku AND trim(n.kw) = b.kw
+  WHERE n.d = DATE '2024-01-24' + {_k})""")
+    CTES[f"state_{_k}"] = ((f"file_{_k}", f"state_{_k - 1}"), f"""
+SELECT sku, kw, g, bd, row_no FROM (
+  SELECT *, row_number() OVER (PARTITION BY sku, kw ORDER BY bd DESC, row_no DESC) AS rn FROM (
+    SELECT * FROM state_{_k - 1} UNION ALL
+    SELECT sku, kw, {sdbl('guide')} AS g, {iso_first('date_text')} AS bd, row_no FROM file_{_k}
+    WHERE NOT spike AND guide IS NOT NULL AND guide <> '' AND {sdbl('guide')} IS NOT NULL
+      AND {iso_first('date_text')} >= DATE '2024-01-31' - 30)) WHERE rn = 1""")
+SQL["spike_guard_multi_file"] = with_ctes("\nUNION ALL\n".join(
+    f"SELECT row_no, date_text, sku, kw, CASE WHEN spike THEN '' ELSE guide END AS guide, {_k} AS file_rank FROM file_{_k}"
+    for _k in _FILES), *[f"file_{_k}" for _k in _FILES])

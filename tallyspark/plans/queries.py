@@ -185,15 +185,14 @@ def spike_report(spark, d):
 def spike_guard_multi_file(spark, d):
     """Q10 across files: each day of the new batch is one file, loaded in date order.
 
-    Iterative (a fold over files), so it has no oracle SQL; the pytest checks
-    it against a plain-Python fold on sf0.001.
+    The oracle chains one CTE per file; the pytest checks it against a plain-Python fold.
     """
     hist, _ = _kw_split(spark, d)
     kw = A.kw_a(spark, d)
     rows = (kw.where(F.col("d") >= F.to_date(F.lit(NEW_FROM)))
             .withColumn("file_rank", F.datediff("d", F.date_sub(F.to_date(F.lit(NEW_FROM)), 1))).drop("d"))
-    out = G.spike_guard_fixpoint(spark, rows, hist, AS_OF, sku="sku", kw="kw", guide="guide",
-                                 date_col="date_text", tiebreak=["row_no"])
+    out = G.spike_guard_many(rows, hist, AS_OF, sku="sku", kw="kw", guide="guide",
+                             date_col="date_text", tiebreak=["row_no"])
     return out.select("row_no", "date_text", "sku", "kw", "guide", "file_rank")
 
 

@@ -171,7 +171,7 @@ def test_sequential_guard_matches_brute_force(spark):
     assert sum(1 for v in want.values() if v == "") > 0       # some spikes were blanked
 
 
-def test_fixpoint_matches_sequential_and_brute_force(spark):
+def test_many_files_matches_sequential_and_brute_force(spark):
     from tallyspark.plans import analogues as A
     kw = A.kw_a(spark, "/root/testdata/sf0.001")
     hist = kw.where("d < date'2024-01-20'").drop("d", "clicks", "ctr")
@@ -179,13 +179,13 @@ def test_fixpoint_matches_sequential_and_brute_force(spark):
             .withColumn("file_rank", F.datediff("d", F.to_date(F.lit("2024-01-19"))))
             .drop("d", "clicks", "ctr"))
     args = dict(sku="sku", kw="kw", guide="guide", date_col="date_text", tiebreak=["row_no"])
-    fix = {r.row_no: r.guide for r in G.spike_guard_fixpoint(spark, rows, hist, "2024-01-31", **args).collect()}
+    fix = {r.row_no: r.guide for r in G.spike_guard_many(rows, hist, "2024-01-31", **args).collect()}
     want = _brute_force([r.asDict() for r in hist.collect()], [r.asDict() for r in rows.collect()], "2024-01-31")
     assert fix == want
     assert sum(1 for v in want.values() if v == "") > 0
 
 
-def test_fixpoint_cascade(spark):
+def test_many_files_cascade(spark):
     """A blanked spike must not become the baseline for the next file (needs more than one round)."""
     h = _hist(spark, [("a", "k", "50", "2026-07-10", 0)])
     rows = spark.createDataFrame(
@@ -194,7 +194,7 @@ def test_fixpoint_cascade(spark):
          ("a", "k", "700", "2026-07-13", 3, 3),   # vs 190: spike; vs 600 (wrong) it would be kept
          ("a", "k", "200", "2026-07-14", 4, 4)],  # vs 190: kept
         f"`{SKU}` string, `{KW}` string, `{GUIDE}` string, `{DATE}` string, file_rank int, seq int")
-    out = G.spike_guard_fixpoint(spark, rows, h, "2026-07-15", tiebreak=["seq"])
+    out = G.spike_guard_many(rows, h, "2026-07-15", tiebreak=["seq"])
     assert {r[DATE]: r[GUIDE] for r in out.collect()} == {
         "2026-07-11": "", "2026-07-12": "190", "2026-07-13": "", "2026-07-14": "200"}
 
@@ -209,3 +209,20 @@ def test_registered_multi_file_query_matches_brute_force(spark):
             .drop("d", "clicks", "ctr"))
     want = _brute_force([r.asDict() for r in hist.collect()], [r.asDict() for r in rows.collect()], "2024-01-31")
     assert got == want
+
+
+def test_many_files_of_a_price_step(spark):
+    """A lasting price step repeated in 150 files: every file stays blanked against the old price, in one pass."""
+    h = _hist(spark, [("a", "k", "66", "2026-07-01", 0)])
+    rows = spark.createDataFrame([("a", "k", "300", "2026-07-02", i, i) for i in range(1, 151)] + [("a", "z", "300", "2026-07-02", i, i) for i in (1, 2)],
+                                 f"`{SKU}` string, `{KW}` string, `{GUIDE}` string, `{DATE}` string, file_rank int, seq int")
+    out = G.spike_guard_many(rows, h, "2026-07-15", tiebreak=["seq"]).collect()
+    assert sorted(r[GUIDE] for r in out) == [""] * 150 + ["300"] * 2
+
+
+def test_many_files_without_history(spark):
+    rows = spark.createDataFrame([("a", "k", "66", "2026-07-01", 1, 1), ("a", "k", "1001", "2026-07-02", 2, 2), (" a ", "k", "1001", "2026-07-02", 2, 3),
+                                  (None, "k", "1001", "2026-07-02", 2, 4)],
+                                 f"`{SKU}` string, `{KW}` string, `{GUIDE}` string, `{DATE}` string, file_rank int, seq int")
+    out = {r.seq: r[GUIDE] for r in G.spike_guard_many(rows, None, "2026-07-15", tiebreak=["seq"]).collect()}
+    assert out == {1: "66", 2: "", 3: "", 4: "1001"}
