@@ -192,7 +192,7 @@ def spike_guard_many(rows: DataFrame, history: DataFrame | None, as_of, *, file_
 
     # per (key, file, price): the best dated occurrence; d NULL marks a file that only looks up
     feeds = (F.col(sku) == ustrip(sku)) & (F.col(kw) == ustrip(kw)) & non_blank(guide)
-    seen = F.struct(parse_mixed_date_iso_first(date_col).alias("d"), *[F.col(c).alias(t) for c, t in zip(tiebreak, ts)],
+    seen = F.struct(parse_mixed_date_iso_first(date_col).alias("d"), *[F.when(F.col(sku).isNotNull(), F.col(c)).alias(t) for c, t in zip(tiebreak, ts)],
                     safe_double(guide).alias("g"), comma_float(guide).alias("v"))
     k1, k2 = ustrip(sku).alias("_k1"), ustrip(kw).alias("_k2")
     keyed = (rows.where(F.col(sku).isNotNull() & F.col(kw).isNotNull())

@@ -58,10 +58,13 @@ FAMILIES = {
 }
 
 
-def _ranked_files(spark: SparkSession, root: str, fam: Family, day=None) -> DataFrame:
+STATUS = "family string, path string, state string, message string"
+
+
+def _ranked_files(spark: SparkSession, root: str, fam: Family, day=None, tz: str = FL.REPORT_TZ) -> DataFrame:
     listing = FL.list_files(spark, f"{root}/{fam.pattern}")
     if day is not None:
-        listing = listing.where(F.to_date("mtime") == F.to_date(F.lit(str(day))))
+        listing = FL.modified_on(listing, day, tz)
     return FL.with_file_rank(listing)
 
 
@@ -69,27 +72,36 @@ def _target(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if table_columns(spark, path) is not None else None
 
 
-def ingest_dated(spark: SparkSession, root: str, fam: Family, target_path: str, day=None,
-                 as_of=None) -> DataFrame:
-    """Header CSVs of one family -> new rows (dates not loaded yet, first file wins).
+def accept_dated(lines: DataFrame, files: DataFrame, fam: Family, target: DataFrame | None, as_of=None):
+    """I1 / I4 on numbered lines: (accepted rows or None, file status).
 
-    Returns the accepted rows (not yet written); keyword rows pass the spike
-    guard file by file, against the target's history, with ``as_of`` (default:
-    the run day) as "today" for the 30-day baseline window.
+    New dates only, the first file of a date wins; keyword rows pass the spike guard file by file, with
+    ``as_of`` as "today" of the 30-day baseline window (required there), against the target's history
+    (none on the first load: then only earlier files of the batch count).
     """
-    as_of = as_of or day
-    files = _ranked_files(spark, root, fam, day)
-    paths = [r.path for r in files.select("path").collect()]   # the listing of today's files
-    if not paths:
-        return None
-    rows = C.read_header_csvs(spark, paths, fam.encoding)
+    rows, status = C.parse_header_lines(lines, [fam.date_col])
+    if rows is None:
+        return None, status
     rows = rows.join(files.select(F.col("path").alias("source_file"), "file_rank"), "source_file")
-    target = _target(spark, target_path)
     accepted = DD.first_writer_wins(rows, target, fam.date_col, "file_rank", fam.date_format)
-    if fam.table == "raw_keyword" and target is not None and as_of is not None:
-        accepted = G.spike_guard_fixpoint(spark, accepted, target, as_of, file_rank="file_rank",
-                                          tiebreak=["file_rank", "source_line"])
-    return accepted
+    if fam.table == "raw_keyword":
+        if as_of is None:
+            raise ValueError("the keyword family needs as_of (the run day) for its price guard")
+        accepted = G.spike_guard_many(accepted, target, as_of, file_rank="file_rank", tiebreak=["file_rank", "source_line"])
+    return accepted, status
+
+
+def ingest_dated(spark: SparkSession, root: str, fam: Family, target_path: str, day=None, as_of=None,
+                 files: DataFrame | None = None):
+    """Header CSVs of one family -> (new rows, not yet written, or None; file status or None).
+
+    ``files`` (path, mtime, file_rank) restricts the load, as the backfill does.
+    """
+    files = _ranked_files(spark, root, fam, day) if files is None else files
+    paths = [r.path for r in files.select("path").collect()]   # the listing of one load
+    if not paths:
+        return None, None
+    return accept_dated(C.read_lines(spark, paths, fam.encoding), files, fam, _target(spark, target_path), as_of or day)
 
 
 def ingest_affiliate(spark: SparkSession, root: str, fam: Family, target_path: str, day=None):
@@ -115,36 +127,58 @@ def ingest_expansion(spark: SparkSession, root: str, fam: Family, target_path: s
                                  file_rank="file_rank"), status
 
 
+def _status_rows(status: DataFrame, family: str) -> DataFrame:
+    reason = F.col("reason") if "reason" in status.columns else F.lit(None).cast("string")
+    return status.select(F.lit(family).alias("family"), "path", F.when(F.col("state") == "ok", "loaded").otherwise(F.col("state")).alias("state"), reason.alias("message"))
+
+
 def run_daily(spark: SparkSession, root: str, warehouse: str, day, as_of=None,
               families: list[str] | None = None) -> DataFrame:
-    """Every family; a failure is a status row and the other families go on."""
-    results = []
+    """Every family; one row per file (loaded / rejected and why).
+
+    A family without files or one that fails gives one row without a path, and the other families go on.
+    """
+    none: list[tuple] = []
+    out = []
     for name in families or list(FAMILIES):
         fam = FAMILIES[name]
         path = f"{warehouse}/{fam.table}"
         try:
             if fam.dedup == "key":
-                rows, _ = ingest_affiliate(spark, root, fam, path, day)
+                rows, status = ingest_affiliate(spark, root, fam, path, day)
             elif fam.dedup == "composite":
-                rows, _ = ingest_expansion(spark, root, fam, path, day)
+                rows, status = ingest_expansion(spark, root, fam, path, day)
             else:
-                rows = ingest_dated(spark, root, fam, path, day, as_of)
-            if rows is None:
-                results.append((name, "no_files", None))
+                rows, status = ingest_dated(spark, root, fam, path, day, as_of)
+            if status is None:
+                none.append((name, None, "no_files", None))
                 continue
-            append_raw(spark, rows, path, fam.date_col)
-            results.append((name, "loaded", None))
+            kept = _status_rows(status, name).collect()     # one row per file of this load
+            if rows is not None:
+                append_raw(spark, rows, path, fam.date_col)
+            out += [tuple(r) for r in kept]
         except Exception as e:  # noqa: BLE001 -- reported per family, as the daily run does
-            results.append((name, "error", f"{type(e).__name__}: {str(e)[:300]}"))
-    return spark.createDataFrame(results, "family string, state string, message string")
+            none.append((name, None, "error", f"{type(e).__name__}: {str(e)[:300]}"))
+    return spark.createDataFrame(none + out, STATUS)
+
+
+def backfill(spark: SparkSession, root: str, fam: Family, target_path: str, as_of, days: int | None = 7):
+    """I4: load the family's files whose name is dated within ``days`` before ``as_of`` (``None``: all of them).
+
+    Returns (new rows, not yet written, or None; file status or None); every date goes to its first file.
+    """
+    prefix = fam.pattern.rsplit("/", 1)[-1].split("*")[0]
+    listing = FL.backfill_files(FL.list_files(spark, f"{root}/{fam.pattern}"), prefix, as_of, days)
+    return ingest_dated(spark, root, fam, target_path, as_of=as_of, files=FL.with_file_rank(listing))
 
 
 def refresh_window(spark: SparkSession, root: str, fam: Family, target_path: str, as_of, days: int = 14,
-                   dates: str | None = None, today=None, dry_run: bool = False):
+                   dates: str | None = None, today="as_of", dry_run: bool = False):
     """Re-fetched files of the window replace their days in the target.
 
-    ``dates`` (explicit list) wins over the trailing ``days`` window; with
-    ``today`` only files modified that day are used (``None`` = any mtime).
+    ``dates`` (explicit list) wins over the trailing ``days`` window.  Only files modified on ``today``
+    are used, by default the run day ``as_of``: an older file would overwrite matured days with frozen
+    ones.  ``None`` takes files of any day.
     Returns the plan frame (K4); writes only when not ``dry_run``.
     """
     if dates:
@@ -156,11 +190,16 @@ def refresh_window(spark: SparkSession, root: str, fam: Family, target_path: str
         wanted = parsed.where(F.col("d").isNotNull())
     else:
         wanted = trailing_window(spark, as_of, days)
+    today = as_of if today == "as_of" else today
     sel = FL.window_files(FL.list_files(spark, f"{root}/{fam.pattern}"), wanted, today)
     paths = [r.path for r in sel.select("path").collect()]
     if not paths:
         return None
-    rows = C.read_header_csvs(spark, paths, fam.encoding)
+    rows, status = C.parse_header_lines(C.read_lines(spark, paths, fam.encoding), [fam.date_col])
+    for r in status.where("state <> 'ok'").collect():
+        log.warning("refresh leaves out %s: %s", r.path, r.reason)
+    if rows is None:
+        return None
     rows = DD.normalize_rows(rows, fam.date_col, REFRESH_ORDER).drop(DD.NORM)
     target_cols = [c for c in (table_columns(spark, target_path) or []) if c != PDATE]
     staged = prepare_for_target(rows, target_cols or None, empty_keeps_all=False)

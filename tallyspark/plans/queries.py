@@ -295,8 +295,7 @@ def _file_batch(spark, d):
     rows = (kw.where(F.col("kw") != "error").join(e, "row_no")
             .withColumn("file", F.concat(F.col("kw"), F.lit("_w"), F.weekofyear("d").cast("string"))))
     files = rows.groupBy("file").agg(F.max("ts").alias("mtime"))
-    # the file listing is metadata (one row per file), so one ordered window over it is fine
-    ranked = files.withColumn("file_rank", F.row_number().over(Window.orderBy("mtime", "file")))
+    ranked = FL.with_file_rank(files, "mtime", "file")
     rows = rows.join(ranked.select("file", "file_rank"), "file")
     target = kw.where((F.col("kw") == "error") & (F.col("d") <= F.to_date(F.lit(LOADED_UNTIL))))
     return rows, target

@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # MS932 / cp932 report files need the legacy Java charset list.
     "spark.sql.legacy.javaCharsets": "true",
+    # a malformed byte becomes U+FFFD (and is counted) instead of ending the job
+    "spark.sql.legacy.codingErrorAction": "true",
 }
 
 

@@ -12,14 +12,21 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 
+def _missing(e: AnalysisException) -> bool:
+    """Whether the error says that the table or path does not exist (and nothing else)."""
+    return (e.getCondition() or "").split(".")[0] in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
+
 def table_columns(spark: SparkSession, path_or_table: str) -> list[str] | None:
-    """Column names of a table/path, or None when it does not exist."""
+    """Column names of a table/path, or None when it does not exist; any other error surfaces."""
     try:
         if "/" in path_or_table:
             return spark.read.parquet(path_or_table).columns
         return spark.table(path_or_table).columns
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if _missing(e):
+            return None
+        raise
 
 
 def table_or_empty(spark: SparkSession, path_or_table: str, schema: T.StructType | str) -> DataFrame:
@@ -32,7 +39,7 @@ def table_or_empty(spark: SparkSession, path_or_table: str, schema: T.StructType
             return spark.read.parquet(path_or_table)
         return spark.table(path_or_table)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "TABLE_OR_VIEW_NOT_FOUND" in str(e) or "not found" in str(e).lower():
+        if _missing(e):
             return spark.createDataFrame([], schema)
         raise
 

@@ -29,6 +29,9 @@ from pyspark.sql import types as T
 
 from tallyspark.functions.dates import iso_text
 
+# A quote inside a quoted cell is doubled; a backslash is an ordinary character.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
 # The text tokens pandas' read_csv turns into NaN by default
 # (they end up as '' in the all-string raw tables).
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -65,7 +68,7 @@ def read_report_csv(spark: SparkSession, paths, encoding: str = "UTF-8", sep: st
     """Header CSV, all strings, BOM stripped, NULL/NA tokens -> '' + file name and mtime."""
     r = (spark.read.option("header", True).option("inferSchema", False).option("encoding", encoding)
          .option("sep", sep).option("multiLine", multi_line).option("enforceSchema", False)
-         .option("mode", "PERMISSIVE"))
+         .option("mode", "PERMISSIVE").options(**CSV_OPTIONS))
     df = _with_file_meta(r.csv(paths))
     data_cols = [c for c in df.columns if c not in ("source_file", "source_mtime")]
     fix = (lambda c: F.coalesce(F.col(c), F.lit(""))) if keep_na_tokens else (lambda c: blank_na(F.col(c)))
@@ -82,13 +85,12 @@ def read_lines(spark: SparkSession, paths, encoding: str = "UTF-8") -> DataFrame
     return lines_from_binary(bf, encoding)
 
 
-# charsets Spark decodes without the legacy Java charset list
-_STANDARD_CHARSETS = {"UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"}
-
-
 def lines_from_binary(bf: DataFrame, encoding: str = "UTF-8", content: str = "content") -> DataFrame:
-    if encoding.upper() not in _STANDARD_CHARSETS:
-        bf.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")   # MS932 / cp932 reports
+    """Numbered lines of a (path, modificationTime, length, content) frame.
+
+    Other charsets than Spark's own list (MS932 reports) and replacement of malformed bytes by U+FFFD
+    are session settings (``tallyspark.session.DEFAULT_CONF``); ``screen_files`` counts the replacements.
+    """
     text = F.decode(F.col(content), encoding)
     text = F.regexp_replace(text, "^\ufeff", "")
     text = F.regexp_replace(text, "(\r\n|\n|\r)$", "")
@@ -109,7 +111,7 @@ def _positional(n: int) -> str:
 def parse_fields(line, names: Sequence[str], sep: str = ",") -> list[Column]:
     """Parse one CSV line into ``names`` (positional), blanks and NA tokens -> ''."""
     c = F.col(line) if isinstance(line, str) else line
-    rec = F.from_csv(c, _positional(len(names)), {"sep": sep, "mode": "PERMISSIVE"})
+    rec = F.from_csv(c, _positional(len(names)), {"sep": sep, "mode": "PERMISSIVE", **CSV_OPTIONS})
     return [blank_na(rec.getField(f"_c{i}")).alias(n) for i, n in enumerate(names)]
 
 
@@ -154,7 +156,7 @@ def parse_with_headers(lines: DataFrame, headers: DataFrame, sep: str = ",",
     layout = F.create_map(*[x for v in variants for x in (F.lit(v), F.array(*[F.lit(n) for n in names_of[v]]))])
     files = headers.select("path", "header_pos", layout[F.col("header")].alias("_names"))
     data = lines.join(files, "path").where((F.col("pos") > F.col("header_pos")) & (F.col("line") != ""))
-    rec = F.from_csv(F.col("line"), _positional(width), {"sep": sep, "mode": "PERMISSIVE"})
+    rec = F.from_csv(F.col("line"), _positional(width), {"sep": sep, "mode": "PERMISSIVE", **CSV_OPTIONS})
     fields = F.array(*[rec.getField(f"_c{i}") for i in range(width)])
     cells = F.map_from_arrays(F.col("_names"), F.slice(fields, 1, F.size("_names")))
     parsed = data.select(cells.alias("_m"), "path", "mtime", "pos")
@@ -198,6 +200,42 @@ def read_header_csvs(spark: SparkSession, paths, encoding: str = "UTF-8", sep: s
     return parse_with_headers(lines, header_at(lines, 0), sep)
 
 
+def _odd_quotes(line: Column) -> Column:
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+
+
+def _replaced(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit("\ufffd"), F.lit("")))
+
+
+def screen_files(lines: DataFrame, required: Sequence[str] = (), header_pos: int = 0) -> DataFrame:
+    """(path, state, reason, replaced_chars) of every file, judged by its own lines only.
+
+    ``rejected``: no header line, a quoted line break (the line readers would cut its cell), a data line
+    with more fields than the header, or a header without a ``required`` column.  Malformed bytes don't
+    reject a file; ``replaced_chars`` counts what replaced them.
+    """
+    is_header, is_data = F.col("pos") == header_pos, (F.col("pos") > header_pos) & (F.col("line") != "")
+    per = lines.groupBy("path").agg(
+        F.max(F.when(is_header, F.col("line"))).alias("h"), F.max(F.when(is_data, field_count("line"))).alias("widest"),
+        F.max(_odd_quotes(F.col("line")).cast("int")).alias("odd"), F.sum(_replaced(F.col("line"))).alias("replaced_chars"))
+    names = F.transform(F.split(F.replace(F.col("h"), F.lit('"'), F.lit("")), ","), lambda x: F.trim(x))
+    lacking = F.filter(F.array(*[F.lit(c) for c in required]).cast("array<string>"), lambda c: ~F.array_contains(names, c))
+    reason = (F.when(F.coalesce(F.col("h"), F.lit("")) == "", "no header line")
+              .when(F.col("odd") == 1, "quoted line break")
+              .when(F.size(lacking) > 0, F.concat(F.lit("missing column "), F.array_join(lacking, ", ")))
+              .when(F.col("widest") > field_count("h"), F.concat(F.lit("fields "), F.col("widest").cast("string"), F.lit(" > "), field_count("h").cast("string"))))
+    return per.select("path", F.when(reason.isNull(), "ok").otherwise("rejected").alias("state"), reason.alias("reason"), "replaced_chars")
+
+
+def parse_header_lines(lines: DataFrame, required: Sequence[str] = (), sep: str = ","):
+    """S1 on numbered lines: (rows of the accepted files or None, file status); one bad file never hides another."""
+    status = screen_files(lines, required)
+    good = lines.join(status.where("state = 'ok'").select("path"), "path", "left_semi")
+    headers = header_at(good, 0)
+    return (None if headers.isEmpty() else parse_with_headers(good, headers, sep)), status
+
+
 def _preamble_files(lines: DataFrame, skiprows: int, expected: int, header: bool):
     """Per file: first non-blank line after ``skiprows`` and its field count."""
     body = lines.where((F.col("pos") >= skiprows) & (F.col("line") != ""))
@@ -312,7 +350,7 @@ def daily_totals_scan(spark: SparkSession, paths, encoding: str = "MS932") -> Da
 
 
 def daily_totals_from_lines(lines: DataFrame) -> DataFrame:
-    rec = F.from_csv(F.col("line"), _positional(5), {"mode": "PERMISSIVE"})
+    rec = F.from_csv(F.col("line"), _positional(5), {"mode": "PERMISSIVE", **CSV_OPTIONS})
     g = lines.where(F.col("pos") <= 1).groupBy("path").agg(
         F.max(F.when(F.col("pos") == 0, field_count("line"))).alias("n_cols"),
         F.max(F.when(F.col("pos") == 1, F.coalesce(rec.getField("_c3"), F.lit("")))).alias("clicks_text"),

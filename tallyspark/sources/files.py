@@ -8,12 +8,16 @@ selection is planned like any other query and never loops on the driver.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import as_date
 
 
+# the shop's day, for "files modified today"
+REPORT_TZ = "Asia/Tokyo"
+
+
 def list_files(spark: SparkSession, glob_path: str, recursive: bool = False) -> DataFrame:
     """(path, name, mtime, size) of matching files; file contents are not read."""
     r = spark.read.format("binaryFile")
@@ -43,8 +47,9 @@ def modified_on(listing: DataFrame, day, tz: str | None = None, mtime: str = "mt
 
 
 def with_file_rank(listing: DataFrame, mtime: str = "mtime", path: str = "path") -> DataFrame:
-    """Rank files by (mtime, path).  A listing has one row per file, so one ordered window is cheap."""
-    return listing.withColumn("file_rank", F.row_number().over(Window.orderBy(mtime, path)))
+    """The load order of files.  (mtime, path) itself is the rank: it compares, sorts and joins like a number
+    and needs no ordering of the whole listing."""
+    return listing.withColumn("file_rank", F.struct(F.col(mtime).alias("mtime"), F.col(path).alias("path")))
 
 
 def latest_file(listing: DataFrame, mtime: str = "mtime", path: str = "path") -> DataFrame:

@@ -61,7 +61,8 @@ def test_backfill_selection_and_load(spark, tmpdir_path):
     assert sorted(r.target_date for r in sel.collect()) == ["20260710", "20260713"]
     assert FL.backfill_files(listing, "RPP日次12h_", None, None).count() == 3
     fam = I.FAMILIES["raw_rpp_daily"]
-    rows = I.ingest_dated(spark, tmpdir_path, fam, f"{tmpdir_path}/wh/raw_rpp_daily")
+    rows, status = I.ingest_dated(spark, tmpdir_path, fam, f"{tmpdir_path}/wh/raw_rpp_daily")
+    assert {r.state for r in status.collect()} == {"ok"}
     assert sorted(r["日付"] for r in rows.collect()) == ["2026-07-01", "2026-07-10", "2026-07-13"]
 
 
@@ -77,7 +78,7 @@ def test_refresh_explicit_dates_dry_run(spark, tmpdir_path):
     plan = I.refresh_window(spark, root, fam, target, None, dates="2026-07-10 bad", dry_run=True).first()
     assert (plan.n_dates, plan.first_date, plan.rows) == (1, "2026-07-10", 1)
     assert spark.read.parquet(target).first().orders == "1"              # dry run wrote nothing
-    I.refresh_window(spark, root, fam, target, None, dates="20260710")
+    I.refresh_window(spark, root, fam, target, None, dates="20260710", today=None)
     assert [r.orders for r in spark.read.parquet(target).collect()] == ["5"]
 
 
@@ -143,3 +144,48 @@ def test_refresh_warns_about_ignored_date_tokens(spark, tmpdir_path, caplog):
                                 dates="2026-07-10, 7/10, x", dry_run=True)
     assert plan.first().rows == 1
     assert "7/10" in caplog.text and "x" in caplog.text
+
+
+def test_backfill_job_loads_the_named_range(spark, tmpdir_path):
+    hdr = "日付," + ",".join(f"c{i}" for i in range(41))
+    for name, dt in (("RPP日次12h_20260701_0900.csv", "2026年07月01日～2026年07月01日"), ("RPP日次12h_20260713_0900.csv", "2026年07月13日～2026年07月13日")):
+        _write(f"{tmpdir_path}/rpp_reports/{name}", [hdr, dt + ",0" * 41])
+    fam = I.FAMILIES["raw_rpp_daily"]
+    rows, _ = I.backfill(spark, tmpdir_path, fam, f"{tmpdir_path}/wh/x", "2026-07-14")
+    assert [r["日付"] for r in rows.collect()] == ["2026-07-13"]
+    rows, _ = I.backfill(spark, tmpdir_path, fam, f"{tmpdir_path}/wh/x", "2026-07-14", days=None)
+    assert rows.count() == 2
+
+
+def test_quotes_backslashes_and_extra_fields(spark, tmpdir_path):
+    """A doubled quote is a quote, a backslash a character; a bad file is rejected with its reason and hides no other."""
+    d = f"{tmpdir_path}/q"
+    _write(f"{d}/good.csv", ["日付,名", '2026-07-13,"a ""b"", c"', '2026-07-13,"C:\\"'])
+    _write(f"{d}/wide.csv", ["日付,名", "2026-07-13,p,EXTRA"])
+    _write(f"{d}/open.csv", ["日付,名", '2026-07-13,"two', 'lines"'])
+    _write(f"{d}/other.csv", ["x,y", "1,2"])
+    rows, status = C.parse_header_lines(C.read_lines(spark, f"{d}/*.csv"), ["日付"])
+    assert sorted(r["名"] for r in rows.collect()) == sorted(['a "b", c', "C:\\"])
+    got = {r.path.rsplit("/", 1)[-1]: (r.state, r.reason) for r in status.collect()}
+    assert got == {"good.csv": ("ok", None), "wide.csv": ("rejected", "fields 3 > 2"), "open.csv": ("rejected", "quoted line break"), "other.csv": ("rejected", "missing column 日付")}
+
+
+def test_malformed_bytes_are_replaced_and_counted(spark, tmpdir_path):
+    import os
+    os.makedirs(f"{tmpdir_path}/m")
+    with open(f"{tmpdir_path}/m/a.csv", "wb") as f:
+        f.write("日付,名\n2026-07-13,犬".encode("cp932") + b"\xff\n")
+    rows, status = C.parse_header_lines(C.read_lines(spark, f"{tmpdir_path}/m/a.csv", "MS932"), ["日付"])
+    assert rows.count() == 1 and status.first().replaced_chars >= 1
+
+
+def test_daily_run_reports_every_file_and_guards_the_first_load(spark, tmpdir_path):
+    root = f"{tmpdir_path}/in"
+    hdr = "日付,商品管理番号,キーワード,目安CPC"
+    for k, (name, line) in enumerate({"RPPキーワード別12h_20260713_0900.csv": "2026-07-13,a,k,66", "RPPキーワード別12h_20260714_0900.csv": "2026-07-14,a,k,1001"}.items()):
+        _write(f"{root}/rpp_reports/{name}", [hdr, line], 1_784_000_000 + k)
+    _write(f"{root}/rpp_reports/RPPキーワード別12h_bad.csv", ["a,b", "1,2"], 1_784_000_000)
+    out = I.run_daily(spark, root, f"{tmpdir_path}/wh", None, as_of="2026-07-15", families=["raw_keyword", "raw_item"]).collect()
+    assert sorted((r.family, r.state) for r in out) == [("raw_item", "no_files"), ("raw_keyword", "loaded"), ("raw_keyword", "loaded"), ("raw_keyword", "rejected")]
+    t = {r["日付"]: r["目安CPC"] for r in spark.read.parquet(f"{tmpdir_path}/wh/raw_keyword").collect()}
+    assert t == {"2026-07-13": "66", "2026-07-14": ""}

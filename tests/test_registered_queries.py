@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tallyspark.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -37,15 +38,11 @@ def test_entry_smoke(spark):
     df.collect()
 
 
-# iterative operators: no SQL oracle; checked against a plain-Python fold in test_spike_guard
-NO_ORACLE = {"spike_guard_multi_file"}
-
-
 def test_oracle_coverage():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+    assert not set(QUERIES) - set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - NO_ORACLE))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SF).toPandas()
     sql = E.oracle_sql().get(name)

@@ -58,12 +58,3 @@ def test_composite_hot_key(spark):
             .join(rows, ["日付", "商品管理番号"]).where(F.col("w") == F.col("file_rank")).count())
     assert out.count() == want
 
-
-def test_spread_only_when_narrower_than_the_session(spark):
-    from tallyspark.plans.analogues import spread
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(wide) is wide                                   # a wide scan is left alone
-    narrow = spark.range(0, 1000, numPartitions=1)
-    out = spread(narrow)
-    assert out.rdd.getNumPartitions() == cores and out.count() == 1000

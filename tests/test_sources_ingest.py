@@ -120,7 +120,7 @@ def test_daily_ingest_refresh_and_stream(spark, tmpdir_path):
     # a matured re-fetch of 07-13 replaces that day
     _report(root, "rpp_reports", "RPPキーワード別12h_20260713_1500.csv",
             [(jp, "bird-ref", "鳩よけ", "70")], now)
-    plan = I.refresh_window(spark, root, I.FAMILIES["raw_keyword"], f"{wh}/raw_keyword", "2026-07-20", days=14)
+    plan = I.refresh_window(spark, root, I.FAMILIES["raw_keyword"], f"{wh}/raw_keyword", "2026-07-20", days=14, today=day)
     assert plan.first().rows == 1
     after = spark.read.parquet(f"{wh}/raw_keyword").collect()
     assert [(r["日付"], r["目安CPC"]) for r in after] == [("2026-07-13", "70")]
