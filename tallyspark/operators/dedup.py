@@ -20,10 +20,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.dates import EXISTING_VALUES_ORDER, new_rows_order, normalize_date_chain
+from tallyspark.functions.dates import EXISTING_VALUES_ORDER, iso_text, new_rows_order, normalize_date_chain
 from tallyspark.functions.text import ustrip
 
 NORM = "__norm__"
+PDATE = "pdate"
 
 
 def non_null(c: Column) -> Column:
@@ -38,7 +39,14 @@ def non_null(c: Column) -> Column:
 
 def existing_dates(target: DataFrame, date_col: str,
                    order: Sequence[str] = EXISTING_VALUES_ORDER) -> DataFrame:
-    """Distinct normalized dates already in the target (column ``__norm__``)."""
+    """Distinct normalized dates already in the target (column ``__norm__``).
+
+    A table partitioned by the parsed date gives them from its partition values; only rows without one
+    (the NULL partition) are parsed again.
+    """
+    if PDATE in target.columns:
+        known = target.where(F.col(PDATE).isNotNull()).select(iso_text(PDATE).alias(NORM)).distinct()
+        return known.unionByName(existing_dates(target.where(F.col(PDATE).isNull()).drop(PDATE), date_col, order)).distinct()
     return target.select(non_null(normalize_date_chain(date_col, order)).alias(NORM)).distinct()
 
 

@@ -28,6 +28,7 @@ from tallyspark.functions.numbers import (BASELINE_LOOKBACK_DAYS, SPIKE_ABS_MIN,
 from tallyspark.functions.text import non_blank, ustrip
 from tallyspark.session import shared_checkpoint_dir
 
+PDATE = "pdate"
 SKU, KW, GUIDE, DATE = "商品管理番号", "キーワード", "目安CPC", "日付"
 
 
@@ -40,6 +41,8 @@ def guideline_baseline(history: DataFrame, as_of, *, sku: str = SKU, kw: str = K
     share a date (later wins); the source system left such ties arbitrary.
     """
     lo = F.date_sub(as_date(as_of), lookback_days)
+    if PDATE in history.columns and date_col != PDATE:      # old partitions are not read at all
+        history = history.where((F.col(PDATE) >= lo) | F.col(PDATE).isNull())
     # price and date are parsed once; the filter runs inside the generator, so
     # it is not pushed below the projection and evaluated a second time
     cand = F.struct(safe_double(guide).alias("_g"), parse_mixed_date_iso_first(date_col).alias("_d"))

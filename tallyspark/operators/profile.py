@@ -1,9 +1,8 @@
 """Column profile of a table.
 
-One pass over the data: the table is unpivoted to (column, value) pairs and
-reduced twice -- first per (column, value) with map-side combine, then per
-column -- so an exact distinct count never funnels a column's values into
-one task and a hot value collapses before the shuffle.
+Counts and extremes are one global aggregate.  The exact distinct counts
+unpivot the table to (column, value) pairs, with map-side combine per pair, so
+no column's values are funnelled into one task.
 """
 
 from __future__ import annotations
@@ -20,19 +19,20 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """(column, type, rows, non_blank, distinct_values, numeric, min_value, max_value) per column."""
     cols = list(columns or df.columns)
     types = dict(df.dtypes)
-    # shuffle key is (position, value) only; names and types are looked up after
+    def stats(i: int, c: str):
+        v = F.col(c).cast("string")
+        full = v.isNotNull() & (F.trim(v) != "")
+        return F.struct(F.lit(i).alias("pos"), F.count(F.lit(1)).alias("rows"), F.count_if(full).alias("non_blank"),
+                        F.count_if(safe_double(v).isNotNull()).alias("numeric"), F.min(v).alias("min_value"), F.max(v).alias("max_value"))
+
+    # one global aggregate: every task gives one row, whatever the cells
+    whole = df.agg(F.array(*[stats(i, c) for i, c in enumerate(cols)]).alias("s")).select(F.explode("s").alias("s")).select("s.*")
+    # exact distinct values: (position, value) is the shuffle key, so a hot value collapses map-side
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("pos"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)]))
         .alias("p")).select("p.*")
-    per_value = pairs.groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n"))
-    blank = F.col("value").isNull() | (F.trim("value") == "")
-    agg = (per_value.groupBy("pos")
-           .agg(F.sum("n").cast("bigint").alias("rows"),
-                F.sum(F.when(~blank, F.col("n")).otherwise(0)).cast("bigint").alias("non_blank"),
-                F.count("value").cast("bigint").alias("distinct_values"),
-                F.sum(F.when(safe_double("value").isNotNull(), F.col("n")).otherwise(0)).cast("bigint")
-                 .alias("numeric"),
-                F.min("value").alias("min_value"), F.max("value").alias("max_value")))
+    distinct = pairs.where(F.col("value").isNotNull()).distinct().groupBy("pos").agg(F.count(F.lit(1)).alias("distinct_values"))
+    agg = whole.where("rows > 0").join(distinct, "pos", "left").withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)).cast("bigint"))
     names = F.array(*[F.lit(c) for c in cols])
     tps = F.array(*[F.lit(types[c]) for c in cols])
     return agg.select(F.element_at(names, F.col("pos") + 1).alias("column"),

@@ -111,17 +111,17 @@ def data_age(tables: Mapping[str, tuple[DataFrame, str]], as_of, max_days: int =
     The newest date is the greatest first-10-characters that look like a
     date (zero-padded dates sort like time); state is ``data_stale`` when
     ``age >= max_days``, ``no_data`` for an empty table and
-    ``data_check_failed`` when the newest value is not a real date.
+    ``data_check_failed`` when no value is a date or the newest is not a real one.
     """
     out = None
     for name, (df, col) in tables.items():
         head = F.substring(F.col(col).cast("string"), 1, 10)
-        agg = df.agg(F.max(F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), head)).alias("newest"))
+        agg = df.agg(F.max(F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), head)).alias("newest"), F.count(F.lit(1)).alias("n"))
         nd = F.try_to_date("newest", "yyyy-MM-dd")
         age = age_days(nd, as_of)
         row = agg.select(
             F.lit(name).alias("tbl"), "newest", age.cast("bigint").alias("age_days"),
-            F.when(F.col("newest").isNull(), "no_data").when(nd.isNull(), "data_check_failed")
+            F.when(F.col("n") == 0, "no_data").when(nd.isNull(), "data_check_failed")
              .when(age >= max_days, "data_stale").otherwise("ok").alias("state"))
         out = row if out is None else out.unionByName(row)
     return out

@@ -42,10 +42,10 @@ def _sku_from_name(c: str) -> Column:
 
 
 def orders_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _order_lines(spark, sf_dir).drop("order_day")
+    return order_lines(spark, sf_dir).drop("order_day")
 
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines plus the typed order day (filters on it reach the orders scan)."""
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -101,7 +101,7 @@ def pl_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     [valid_from, valid_to); ``valid_to`` comes from ``lead`` over the master,
     so no line fans out to more than one version.
     """
-    lines = _order_lines(spark, sf_dir).select(
+    lines = order_lines(spark, sf_dir).select(
         F.lower("sku_system").alias("k"), "sku", "product_name",
         F.col("order_day").alias("report_date"),
         safe_decimal("amount").alias("amt"), safe_decimal("qty").alias("q"),

@@ -486,10 +486,10 @@ SELECT d, CAST(count(*) FILTER (WHERE NOT present) AS BIGINT) AS n_missing,
 FROM status GROUP BY d""", "status"),
     "data_age": with_ctes("\n" + "\nUNION ALL\n".join(f"""
 SELECT '{tbl}' AS tbl, newest, CAST(DATE '2024-01-31' - nd AS BIGINT) AS age_days,
-  CASE WHEN newest IS NULL THEN 'no_data' WHEN nd IS NULL THEN 'data_check_failed'
+  CASE WHEN n = 0 THEN 'no_data' WHEN nd IS NULL THEN 'data_check_failed'
        WHEN DATE '2024-01-31' - nd >= 2 THEN 'data_stale' ELSE 'ok' END AS state
-FROM (SELECT newest, CAST(try_strptime(newest, '%Y-%m-%d') AS DATE) AS nd FROM (
-  SELECT max(CASE WHEN regexp_matches(substr({col}, 1, 10), '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN substr({col}, 1, 10) END) AS newest
+FROM (SELECT newest, n, CAST(try_strptime(newest, '%Y-%m-%d') AS DATE) AS nd FROM (
+  SELECT max(CASE WHEN regexp_matches(substr({col}, 1, 10), '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN substr({col}, 1, 10) END) AS newest, count(*) AS n
   FROM {src}))""" for tbl, src, col in [("raw_affi", "affi_a", "occurred"), ("raw_rppexp", "rppexp_a", "date_text"),
                                         ("raw_item", "item_a", "date_text")]), "affi_a", "rppexp_a", "item_a"),
     "freshness": """

@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions import dates as D
@@ -44,13 +43,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def unmatched_sku_all(spark, d):
-    return R.unmatched_skus(A.orders_a(spark, d), A.master_a(spark, d), SINCE,
+    lines = A.order_lines(spark, d).where(F.col("order_day") >= F.to_date(F.lit(SINCE)))     # reaches the orders scan
+    return R.unmatched_skus(lines, A.master_a(spark, d), SINCE,
                             sku="sku", sku_system="sku_system", order_date="order_date",
                             amount="amount", qty="qty")
 
 
 def match_status_day(spark, d):
-    return R.match_status(A.orders_a(spark, d), A.master_a(spark, d), MATCH_DAY,
+    lines = A.order_lines(spark, d).where(F.col("order_day") == F.to_date(F.lit(MATCH_DAY)))
+    return R.match_status(lines, A.master_a(spark, d), MATCH_DAY,
                           sku="sku", sku_system="sku_system", order_date="order_date",
                           amount="amount", qty="qty")
 
