@@ -609,3 +609,28 @@ SELECT sku, kw, g, bd, row_no FROM (
 SQL["spike_guard_multi_file"] = with_ctes("\nUNION ALL\n".join(
     f"SELECT row_no, date_text, sku, kw, CASE WHEN spike THEN '' ELSE guide END AS guide, {_k} AS file_rank FROM file_{_k}"
     for _k in _FILES), *[f"file_{_k}" for _k in _FILES])
+
+
+# readers on in-memory report files: the parsed cells are the cells the files were made of
+_NA = ("'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
+       "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'")
+
+
+def _cell(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL OR {c} IN ({_NA}) THEN '' ELSE {c} END"
+
+
+SQL["report_ingest"] = with_ctes(f"""
+SELECT row_no, strftime(d, '%Y-%m-%d') AS date_text, {_cell('sku')} AS sku, kw || ' "a", \\' AS kw, {_cell('guide')} AS guide
+FROM kw_a WHERE d <> DATE '2024-01-05'""", "kw_a")
+SQL["report_status"] = with_ctes("""
+SELECT 'RPPキーワード別12h_' || strftime(d, '%Y%m%d') || '_0900.csv' AS path,
+       CASE WHEN d = DATE '2024-01-05' THEN 'rejected' ELSE 'ok' END AS state,
+       CASE WHEN d = DATE '2024-01-05' THEN 'fields 6 > 5' END AS reason, CAST(0 AS BIGINT) AS replaced_chars
+FROM (SELECT DISTINCT d FROM kw_a)""", "kw_a")
+SQL["new_files"] = """
+SELECT path, size FROM (
+  SELECT event_type || '_' || strftime(ts, '%Y%m%d') || '.csv' AS path, max(ts) AS mtime,
+         CAST(count(*) FILTER (WHERE hour(ts) < 20) AS BIGINT) AS size
+  FROM events GROUP BY 1)
+WHERE mtime >= TIMESTAMP '2024-01-20 00:00:00' AND size > 0 AND NOT starts_with(path, 'view')"""

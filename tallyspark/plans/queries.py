@@ -296,7 +296,8 @@ def _file_batch(spark, d):
     rows = (kw.where(F.col("kw") != "error").join(e, "row_no")
             .withColumn("file", F.concat(F.col("kw"), F.lit("_w"), F.weekofyear("d").cast("string"))))
     files = rows.groupBy("file").agg(F.max("ts").alias("mtime"))
-    ranked = FL.with_file_rank(files, "mtime", "file")
+    from tallyspark.sources.files import with_file_rank
+    ranked = with_file_rank(files, "mtime", "file")
     rows = rows.join(ranked.select("file", "file_rank"), "file")
     target = kw.where((F.col("kw") == "error") & (F.col("d") <= F.to_date(F.lit(LOADED_UNTIL))))
     return rows, target
@@ -308,6 +309,58 @@ def first_writer_wins(spark, d):
     return out.select("row_no", "file", "date_text")
 
 
+# ---- readers and dated ingest on in-memory report files (S1, U2, J10, I1, P13) ----
+
+REPORT_HEADER = ("row_no", "日付", "商品管理番号", "キーワード", "目安CPC")
+BROKEN_DAY = "2024-01-05"          # this day's file has a line with a field too many
+
+
+def _report_files(spark, d):
+    """One report file per day of the keyword analogue, as (path, modificationTime, length, content).
+
+    Keywords carry quotes, a comma and a backslash, so cells depend on the quoting rules.
+    """
+    kw = A.kw_a(spark, d).withColumn("kw", F.concat("kw", F.lit(' "a", \\')))
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("row_no", "date_text", "sku", "kw", "guide")]
+    line = F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in cells])
+    head = ",".join(f'"{c}"' for c in REPORT_HEADER)
+    text = F.concat_ws("\n", F.lit(head), F.transform(F.array_sort(F.collect_list(F.struct("row_no", line.alias("line")))), lambda x: x["line"]))
+    files = kw.groupBy("d").agg(text.alias("t"))
+    text = F.when(F.col("d") == F.to_date(F.lit(BROKEN_DAY)), F.concat("t", F.lit(',"EXTRA"'))).otherwise(F.col("t"))
+    return files.select(F.concat(F.lit("RPPキーワード別12h_"), F.date_format("d", "yyyyMMdd"), F.lit("_0900.csv")).alias("path"),
+                        F.to_timestamp("d").alias("modificationTime"), F.length("t").cast("bigint").alias("length"),
+                        F.encode(text, "UTF-8").alias("content"))
+
+
+def _report_load(spark, d):
+    from tallyspark.plans import ingest as I
+    from tallyspark.sources import csv_reports as C
+    from tallyspark.sources.files import with_file_rank
+    files = _report_files(spark, d)
+    ranked = with_file_rank(files, "modificationTime").select("path", "file_rank")
+    return I.accept_dated(C.lines_from_binary(files), ranked, I.FAMILIES["raw_shohin_betsu"], None)
+
+
+def report_ingest(spark, d):
+    rows, _ = _report_load(spark, d)
+    return rows.select(F.col("row_no").cast("bigint").alias("row_no"), F.col("日付").alias("date_text"),
+                       F.col("商品管理番号").alias("sku"), F.col("キーワード").alias("kw"), F.col("目安CPC").alias("guide"))
+
+
+def report_status(spark, d):
+    from tallyspark.sources import csv_reports as C
+    return C.screen_files(C.lines_from_binary(_report_files(spark, d)), ["日付"])
+
+
+def new_files(spark, d):
+    """Event files (type x day) modified since a day and not in the ledger of the days before."""
+    from tallyspark.sources.files import new_since
+    e = A.read(spark, d, "events").select("ts", F.concat("event_type", F.lit("_"), F.date_format("ts", "yyyyMMdd"), F.lit(".csv")).alias("path"))
+    listing = e.groupBy("path").agg(F.max("ts").alias("mtime"), F.count_if(F.hour("ts") < 20).alias("size"))
+    ledger = listing.where(F.col("path").startswith("view")).select("path")
+    return new_since(listing, ledger, "2024-01-20 00:00:00").select("path", "size")
+
+
 # ---- replace-by-date upsert (K3, K4, J7) -----------------------------------------
 
 def _upsert_inputs(spark, d):
@@ -469,6 +522,9 @@ QUERIES: dict[str, Query] = {
     "dedup_by_key": dedup_by_key,
     "dedup_by_composite": dedup_by_composite,
     "first_writer_wins": first_writer_wins,
+    "report_ingest": report_ingest,
+    "report_status": report_status,
+    "new_files": new_files,
     "replace_by_date": replace_by_date,
     "upsert_plan": upsert_plan,
     "latest_per_date": latest_per_date,
