@@ -105,6 +105,31 @@ def completeness_verdict(status: DataFrame) -> DataFrame:
             .withColumn("complete", F.col("n_missing") == 0))
 
 
+def day_verdict(status: DataFrame, fresh: DataFrame, age: DataFrame, date_from, date_to) -> DataFrame:
+    """Q11 over Q2-Q4: per day the labels of everything wrong, and whether the day is complete.
+
+    ``status`` (d, tbl, present), ``fresh`` and ``age`` as ``freshness`` and ``data_age`` give them.  Labels:
+    ``tbl`` (no rows that day), ``tbl(stale 40.1h)``, ``tbl(data_stale 3d, newest=2024-01-28)`` and, unless
+    the table is listed already, ``tbl(no_data)`` or ``tbl(data_check_failed)``.  The last two frames have one
+    row per table and hold for every day, so they are spread over the days by a generator, not a join.
+    """
+    days = F.explode(F.transform(F.sequence(as_date(date_from), as_date(date_to)), iso_text)).alias("d")
+    t = F.col("tbl")
+    gone = status.where(~F.col("present")).select("d", "tbl", t.alias("label"), F.lit(False).alias("soft"))
+    stale = fresh.where("state = 'stale'").select(days, "tbl", F.concat(
+        t, F.lit("(stale "), F.format_string("%.1f", F.col("age_minutes") / 60), F.lit("h)")).alias("label"), F.lit(False).alias("soft"))
+    hard = F.col("state") == "data_stale"
+    old = age.where("state <> 'ok'").select(days, "tbl", F.when(hard, F.concat(
+        t, F.lit("(data_stale "), F.col("age_days").cast("string"), F.lit("d, newest="), "newest", F.lit(")")))
+        .otherwise(F.concat(t, F.lit("("), "state", F.lit(")"))).alias("label"), (~hard).alias("soft"))
+    wrong = gone.unionByName(stale).unionByName(old)
+    every = status.select("d").distinct().select("d", F.lit(None).cast("string").alias("tbl"), F.lit(None).cast("string").alias("label"), F.lit(False).alias("soft"))
+    got = wrong.unionByName(every).groupBy("d").agg(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("tbl", "label", "soft"))).alias("w"))
+    listed = F.filter("w", lambda x: ~x["soft"] | ~F.exists("w", lambda y: (y["tbl"] == x["tbl"]) & ~y["soft"]))
+    labels = F.array_sort(F.transform(listed, lambda x: x["label"]))
+    return got.select("d", F.array_join(labels, ",").alias("labels"), F.size(labels).cast("bigint").alias("n_wrong"), (F.size(labels) == 0).alias("complete"))
+
+
 def data_age(tables: Mapping[str, tuple[DataFrame, str]], as_of, max_days: int = 2) -> DataFrame:
     """Newest business date per table and its age in days.
 

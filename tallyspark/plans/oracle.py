@@ -634,3 +634,20 @@ SELECT path, size FROM (
          CAST(count(*) FILTER (WHERE hour(ts) < 20) AS BIGINT) AS size
   FROM events GROUP BY 1)
 WHERE mtime >= TIMESTAMP '2024-01-20 00:00:00' AND size > 0 AND NOT starts_with(path, 'view')"""
+
+# Q11: raw_item has rows but no readable date (failed), raw_review is empty, raw_affi is old in both ways
+CTES["affi_fresh"] = ((), """
+SELECT (epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(max(ts) - INTERVAL 2 DAY)) AS us FROM events WHERE event_type = 'error'""")
+CTES["affi_newest"] = (("affi_a",), """
+SELECT max(CASE WHEN regexp_matches(substr(occurred, 1, 10), '^\\d{4}-\\d{2}-\\d{2}$') THEN substr(occurred, 1, 10) END) AS newest FROM affi_a""")
+CTES["wrong"] = (("status", "affi_fresh", "affi_newest"), """
+SELECT d, tbl AS label FROM status WHERE NOT present
+UNION ALL SELECT s.d, 'raw_affi(stale ' || printf('%.1f', (us // 60000000) / 60.0) || 'h)'
+  FROM (SELECT DISTINCT d FROM status) s, affi_fresh WHERE us > 36 * CAST(3600000000 AS BIGINT)
+UNION ALL SELECT s.d, 'raw_affi(data_stale ' || CAST(DATE '2024-01-31' - CAST(newest AS DATE) AS VARCHAR) || 'd, newest=' || newest || ')'
+  FROM (SELECT DISTINCT d FROM status) s, affi_newest WHERE DATE '2024-01-31' - CAST(newest AS DATE) >= 2
+UNION ALL SELECT DISTINCT d, 'raw_review(no_data)' FROM status
+UNION ALL SELECT d, 'raw_item(data_check_failed)' FROM status WHERE tbl = 'raw_item' AND present""")
+SQL["day_verdict"] = with_ctes("""
+SELECT d.d, COALESCE(string_agg(w.label, ',' ORDER BY w.label), '') AS labels, count(w.label) AS n_wrong, count(w.label) = 0 AS complete
+FROM (SELECT DISTINCT d FROM status) d LEFT JOIN wrong w ON w.d = d.d GROUP BY d.d""", "status", "wrong")

@@ -250,6 +250,16 @@ def freshness(spark, d):
     return QL.freshness(listing, FRESH_NOW, 36)
 
 
+def day_verdict(spark, d):
+    """Q11 over the four report tables (Q2), the affiliate table's last change (Q3) and newest dates (Q4)."""
+    listing = A.read(spark, d, "events").where(F.col("event_type") == "error").select(
+        F.lit("raw_affi").alias("tbl"), (F.col("ts") - F.expr("INTERVAL 2 DAYS")).alias("modified"))
+    empty = A.affi_a(spark, d).where(F.col("occurred") == "never")
+    age = QL.data_age({"raw_affi": (A.affi_a(spark, d), "occurred"), "raw_review": (empty, "occurred"),
+                       "raw_item": (A.item_a(spark, d).withColumn("date_text", F.lit("合計")), "date_text")}, AS_OF, 2)
+    return QL.day_verdict(_status(spark, d), QL.freshness(listing, FRESH_NOW, 36), age, "2024-01-01", AS_OF)
+
+
 def _daily_totals(spark, d):
     return QL.daily_totals_latest(A.daily_a(spark, d))
 
@@ -515,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "completeness_status": completeness_status,
     "completeness_verdict": completeness_verdict,
     "data_age": data_age,
+    "day_verdict": day_verdict,
     "freshness": freshness,
     "zero_delivery": zero_delivery,
     "maturation_uplift": maturation_uplift,
