@@ -37,7 +37,9 @@ from tallyspark.llm.common import saved
 
 U = np.uint64
 DEPTH = 5
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 48_000_000
+#: strings sorted at once while counting
+SORT_AT_ONCE = 3_000_000
 END = b"\n"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -107,6 +109,10 @@ def _levels(g: np.ndarray, n: np.ndarray, top: int) -> dict[int, dict]:
     return out
 
 
+def _slot(g: np.ndarray) -> np.ndarray:
+    return ((g * U(0x9E3779B97F4A7C15)) >> U(42)).astype(np.int64)
+
+
 def _find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return np.zeros(x.shape, np.int64), np.zeros(x.shape, bool)
@@ -165,10 +171,24 @@ def _gather(docs: DataFrame) -> DataFrame:
 
         held: dict[int, tuple] = {}
 
+        def counted(raw: list, learn: bool) -> tuple[np.ndarray, np.ndarray]:
+            g = np.sort(np.concatenate(raw))
+            first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
+            n = np.diff(np.concatenate((first, [len(g)]))) if learn else np.zeros(len(first), np.int64)
+            raw.clear()
+            return g[first], n
+
         def rows(block):
-            words, gs, ns = held.pop(block)
-            g, inv = np.unique(np.concatenate(gs), return_inverse=True) if gs else (np.zeros(0, np.uint64), [])
-            n = np.bincount(inv, np.concatenate(ns), len(g)).astype(np.int64) if gs else np.zeros(0, np.int64)
+            words, raw, done = held.pop(block)
+            done += [counted(r, k) for k, r in raw.items() if r]
+            if done:
+                g = np.concatenate([x for x, _ in done])
+                by = np.argsort(g, kind="stable")
+                g, n = g[by], np.concatenate([x for _, x in done])[by]
+                first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
+                g, n = g[first], np.add.reduceat(n, first)
+            else:
+                g, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             w = list(words)
             for s in range(0, len(w), 100_000):
                 part = w[s : s + 100_000]
@@ -179,34 +199,27 @@ def _gather(docs: DataFrame) -> DataFrame:
 
         for b in batches:
             block, train, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
-            by: dict[int, list[int]] = {}
-            for i, k in enumerate(block):
+            by: dict[tuple[int, bool], list[int]] = {}
+            for i, k in enumerate(zip(block, train)):
                 by.setdefault(k, []).append(i)
-            for k, at in by.items():
+            for (k, learn), at in by.items():
                 if k not in held:
                     for old in list(held):  # rows come sorted by block: the one before is done
                         yield from rows(old)
-                    held[k] = (Counter(), [], [])
-                words, gs, ns = held[k]
+                    held[k] = (Counter(), {True: [], False: []}, [])
+                words, raw, done = held[k]
                 for s in range(0, len(at), 300):
-                    part = at[s : s + 300]
-                    split = [tokens_of(texts[i] or b"") for i in part]
-                    learn = [train[i] for i in part]
-                    for t, yes in zip(split, learn):
-                        if yes:
+                    split = [tokens_of(texts[i] or b"") for i in at[s : s + 300]]
+                    if learn:
+                        for t in split:
                             words.update(t)
-                        else:
-                            for x in t:
-                                words[x] += 0
-                    words[b""] += sum(learn)
-                    g, sizes = strings_of(split)
-                    key, inv = np.unique(g, return_inverse=True)
-                    gs.append(key)
-                    ns.append(np.bincount(inv, np.repeat(np.array(learn, np.float64), sizes), len(key)))
-                if len(gs) > 64:
-                    key, inv = np.unique(np.concatenate(gs), return_inverse=True)
-                    total = np.bincount(inv, np.concatenate(ns), len(key))
-                    gs[:], ns[:] = [key], [total]
+                        words[b""] += len(split)
+                    else:
+                        for x in set().union(*split):
+                            words.setdefault(x, 0)
+                    raw[learn].append(strings_of(split)[0])
+                    if sum(map(len, raw[learn])) > SORT_AT_ONCE:
+                        done.append(counted(raw[learn], learn))
         for old in list(held):
             yield from rows(old)
 
@@ -260,12 +273,17 @@ def score(docs: DataFrame, held_out: Column, block_bytes: int = BLOCK_BYTES) ->
         gv = v[~is_word]
         by = np.argsort(g)
         g, gv = g[by], gv[by]
+        slot = np.zeros(1 << 22, np.int32)  # where a string probably is; the few that clash are searched
+        slot[_slot(g)] = np.arange(len(g), dtype=np.int32)
         texts = left.column("text")
         cols: list[list] = [[], [], [], []]
         for s in range(0, left.num_rows, 300):
             split = [tokens_of(t or b"") for t in texts.slice(s, 300).to_pylist()]
             strings_, sizes = strings_of(split)
-            value = gv[np.searchsorted(g, strings_)]
+            i = slot[_slot(strings_)]
+            other = np.flatnonzero(g[i] != strings_)
+            i[other] = np.searchsorted(g, strings_[other])
+            value = gv[i]
             cols[3] += np.add.reduceat(value, np.cumsum(sizes) - sizes).tolist()
             for t in split:
                 got = [x for x in map(known.get, t) if x is not None]
