@@ -1,10 +1,10 @@
 """Token encoding inside Spark tasks and exact token-length statistics.
 
 Encoding goes through ``tokenizers`` and a public vocabulary file (its path is a
-parameter).  A byte-level BPE vocabulary with the usual splitting pattern never
-joins two pieces across a single space, so a text is cut in front of every
-single space and the ids of each cut are worked out once per worker and kept;
-texts with two spaces in a row are encoded whole.
+parameter).  A byte-level BPE vocabulary with the usual splitting pattern starts a
+new piece at every space that follows no white space, so a text is cut there and
+the ids of each cut are worked out once per worker and kept;
+texts with a space after other white space are encoded whole.
 
 Token counts: documents are aggregated by encoded length (an exact histogram),
 and two-level suffix sums over the histogram answer totals, quantiles and
@@ -17,6 +17,10 @@ columns are ignored; very long texts are encoded whole.
 
 from __future__ import annotations
 
+import os
+import re
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -25,6 +29,10 @@ from pyspark.sql import functions as F
 from tallyspark.llm.common import portions, worker_cache
 
 END_ID = 2
+# a space after white space: the splitting pattern may take both into one piece
+# and runs that the vocabulary's splitting pattern never joins with their neighbours (no digits, apostrophes, rare letters)
+UNSAFE = re.compile(r"\s ")
+RUNS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[.,!?;:#$%&*]+|\n")
 
 
 def vocabulary_path() -> str:
@@ -35,38 +43,80 @@ def vocabulary_path() -> str:
 class Encoder:
     """ids of texts as little-endian unsigned 32-bit bytes; keeps the ids of recent cuts (at most ``keep``)."""
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         self.keep = keep
         self.state = worker_cache(f"encoder-{path}")
         if "tok" not in self.state:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
             from tokenizers import Tokenizer
             tok = Tokenizer.from_file(path)
             tok.encode_special_tokens = True
-            self.state["tok"], self.state["ids"] = tok, {}
+            # ids of a text's first cut, and of cuts after a space (kept without that space)
+            self.state.update(tok=tok, first={}, rest={})
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.state["tok"].encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.state["tok"].encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        ids = self.state["ids"]
-        if len(ids) > self.keep:
-            ids.clear()
-        cuts = []
-        for t in texts:
-            if "  " in t:
-                cuts.append([t])
-            else:
-                c = t.split(" ")
-                cuts.append([c[0], *[" " + x for x in c[1:]]])
-        new = list({x for c in cuts for x in c if x not in ids})
+    def _learn(self, known: dict, cuts: set[str], lead: str) -> None:
+        new = list(cuts)
         for s in range(0, len(new), 20_000):
             part = new[s : s + 20_000]
-            for x, b in zip(part, self._encode(part)):
-                ids[x] = b
-        out = [b"".join([ids[x] for x in c]) for c in cuts]
+            known.update(zip(part, self._encode([lead + x for x in part])))
+
+    def _learn_cuts(self, cuts: set[str]) -> None:
+        """Cuts after a space; one of plain letters, points and line ends is put together from its runs."""
+        first, rest = self.state["first"], self.state["rest"]
+        made = []
+        new_rest: set[str] = set()
+        new_first: set[str] = set()
         for c in cuts:
-            if len(c) == 1 and len(c[0]) > 200:
-                ids.pop(c[0], None)
+            runs = [] if c.isalpha() else RUNS.findall(c)
+            if len(runs) > 1 and runs[0] != "\n" and "\n\n" not in c and sum(map(len, runs)) == len(c):
+                made.append((c, runs))
+                if runs[0] not in rest:
+                    new_rest.add(runs[0])
+                new_first.update([r for r in runs[1:] if r not in first])
+            else:
+                new_rest.add(c)
+        self._learn(first, new_first, "")
+        self._learn(rest, new_rest, " ")
+        for c, runs in made:
+            rest[c] = rest[runs[0]] + b"".join([first[r] for r in runs[1:]])
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        first, rest = self.state["first"], self.state["rest"]
+        if len(first) + len(rest) > self.keep:
+            first.clear()
+            rest.clear()
+        out: list[bytes] = [b""] * len(texts)
+        whole, later = [], []
+        new_first: set[str] = set()
+        new_rest: set[str] = set()
+        for i, t in enumerate(texts):
+            if UNSAFE.search(t):
+                whole.append(i)
+                continue
+            cuts = t.split(" ")
+            ids = list(map(rest.get, cuts))
+            ids[0] = first.get(cuts[0])
+            if None in ids:
+                later.append((i, cuts))
+                if ids[0] is None:
+                    new_first.add(cuts[0])
+                new_rest.update([c for c, x in zip(cuts[1:], ids[1:]) if x is None])
+            else:
+                out[i] = b"".join(ids)
+        self._learn(first, new_first, "")
+        self._learn_cuts(new_rest)
+        for i, cuts in later:
+            ids = [rest[c] for c in cuts[1:]]
+            out[i] = first[cuts[0]] + b"".join(ids)
+        for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
+            out[i] = ids
+        for known, cuts in ((first, new_first), (rest, new_rest)):
+            for c in cuts:
+                if len(c) > 200:
+                    known.pop(c, None)
         return out
 
 

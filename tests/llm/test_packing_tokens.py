@@ -79,3 +79,16 @@ def test_token_counts(spark, docs, tok):
     q = {r.q: r.n_tokens for r in tokens.quantiles(tokens.context_limits(h), [0.5, 1.0]).collect()}
     assert q[1.0] == max(lens) and q[0.5] == sorted(lens)[(len(lens) + 1) // 2 - 1]
     assert tokens.context_limits(tokens.histogram(docs([]))).count() == 0
+
+
+def test_cuts_put_together_equal_whole_encoding(tok):
+    """Random texts of letters, points, line ends and spaces in every order."""
+    import random
+
+    rng = random.Random(6)
+    parts = ["the", "Éclair", "don't", "x1", ",", ".", "!!", "&&&", "\n", "\n\n", " ", "  ", "\t", "'s", "ñ", "²", "-", "a.b", " "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    enc = tokens.Encoder(tokens.vocabulary_path())
+    for s in range(0, len(texts), 500):
+        for t, g in zip(texts[s : s + 500], enc(texts[s : s + 500])):
+            assert np.frombuffer(g, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
