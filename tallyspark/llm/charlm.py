@@ -174,7 +174,7 @@ def log_probs(model: dict, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class ChunkScorer:
     """Scores white-space chunks of texts; a chunk's value is worked out once per worker and kept (bounded)."""
 
-    def __init__(self, model: dict, name: str, keep: int = 500_000):
+    def __init__(self, model: dict, name: str, keep: int = 400_000):
         self.model, self.keep = model, keep
         self.state = worker_cache(name)
         if "index" not in self.state:

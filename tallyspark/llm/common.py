@@ -35,9 +35,17 @@ def crc_mod(doc_id: Column | str, m: int) -> Column:
 
 
 def worker_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker process, whatever task runs in it."""
-    holder = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache"))
-    return holder.__dict__.setdefault(name, {})
+    """A dict that lives in the Python worker process while tasks ask for it by this name.
+
+    A new name drops the others: jobs follow one another in the same workers, and one job's
+    cache must not take memory from the next.
+    """
+    holder = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__.setdefault("caches", {})
+    if name not in holder:
+        for old in list(holder):
+            holder.pop(old).clear()
+        holder[name] = {}
+    return holder[name]
 
 
 def portions(texts: list, max_chars: int = 1_000_000):
