@@ -6,11 +6,14 @@ dealt over the registers; a register keeps the shingle that arrives first, and
 a document stops as soon as no later arrival can win.  Two registers agree with
 the probability Jaccard of the documents.
 
-Banding: keys over groups of 4, 12 and 32 registers.  All rows of a key are
-linked to its first and its last text (by text digest), never to each other;
-the longer keys split large groups again, so members of one large group meet
-several different partners.  Every such pair is verified on the whole texts, and
-verified links make the classes.
+Banding: keys over groups of 4, 12 and 32 registers.  All texts of a key are
+first compared with its first and its last text (by text digest).  While the
+texts left in a key belong to more than one class, some more of them (four times
+as many each round) are compared with all that are left and belong to another
+class, until every two texts of a key were compared or are in one class.  From
+the second round on only pairs that agree in AGREE registers are compared on
+their texts.  Every link is verified on the whole texts, and verified links make
+the classes.
 
 Texts that are equal byte for byte are one node from the start, however many
 rows hold it.
@@ -40,6 +43,10 @@ SIMILARITY = 0.8
 REGISTERS = 96
 #: registers per key and number of keys of each kind
 BANDS = ((4, 24), (12, 8), (32, 3))
+#: registers that a pair of probability Jaccard 0.8 has in common but for a chance of 4e-7 (binomial)
+AGREE = 56
+#: further texts of a key compared with the others in the first round after its first and last; times as many each round
+PIVOTS, FASTER = 4, 4
 
 
 def signatures(doc: np.ndarray, ids: np.ndarray, weight: np.ndarray, n: int, m: int = REGISTERS) -> np.ndarray:
@@ -79,7 +86,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, keys): text digest and banding keys of every row that has a word; other rows have a null node."""
+    """(doc_id, node, keys, sig): text digest, banding keys and a byte of each register of every row that has a word; other rows have a null node."""
 
     def run(batches):
         cache = worker_cache("bytewords")
@@ -90,23 +97,56 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 doc, sh, w = bytewords.bag(part, cache)
                 has = np.unique(doc)
                 back = np.searchsorted(has, doc)
-                keys = band_keys(signatures(back, sh, w, len(has))).view(np.int64)
+                regs = signatures(back, sh, w, len(has))
+                keys = band_keys(regs).view(np.int64)
                 node: list = [None] * len(part)
                 rows: list = [None] * len(part)
-                for i, k in zip(has.tolist(), keys):
-                    node[i], rows[i] = hashlib.md5(part[i]).digest(), k
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(s, e - s), pa.array(node, pa.binary()), pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "node", "keys"])
+                sig: list = [None] * len(part)
+                for i, k, r in zip(has.tolist(), keys, regs.astype(np.uint8)):
+                    node[i], rows[i], sig[i] = hashlib.md5(part[i]).digest(), k, r.tobytes()
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(s, e - s), pa.array(node, pa.binary()), pa.array(rows, pa.list_(pa.int64())), pa.array(sig, pa.binary())], ["doc_id", "node", "keys", "sig"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, node binary, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, node binary, keys array<long>, sig binary")
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
+def _pairs(j: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of (node, other) rows."""
+    return j.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def candidates(keyed: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of nodes to verify: every member of a key with the key's first and last node."""
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
     ends = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     j = keyed.join(ends, "key").select("node", F.explode(F.array("lo", "hi")).alias("other")).where("node <> other")
-    return j.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return _pairs(j)
+
+
+def inner(keyed: DataFrame) -> DataFrame:
+    """(key, node) of the members between the first and last node of their key, where a key has two or more."""
+    ends = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("n > 3")
+    return keyed.join(ends, "key").where("node <> lo and node <> hi").select("key", "node")
+
+
+def mixed(left: DataFrame, comp: DataFrame) -> DataFrame:
+    """(key, node, root) of the keys whose members in ``left`` (key, node) are in more than one class."""
+    rooted = left.join(comp.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
+    return rooted.join(several, "key")
+
+
+def agreeing(pairs: DataFrame, sigs: DataFrame, least: int = AGREE) -> DataFrame:
+    """Pairs (a, b) whose signatures have at least ``least`` register bytes in common."""
+
+    def run(batches):
+        for bt in batches:
+            x, y = (np.frombuffer(b"".join(bt.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in (2, 3))
+            take = pa.array(np.flatnonzero((x == y).sum(1) >= least))
+            yield pa.RecordBatch.from_arrays([bt.column(0).take(take), bt.column(1).take(take)], ["a", "b"])
+
+    with_a = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
+    with_b = with_a.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
+    return with_b.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
 def jaccard(a_ids: np.ndarray, a_w: np.ndarray, b_ids: np.ndarray, b_w: np.ndarray) -> tuple[float, float]:
@@ -161,13 +201,36 @@ def _classes(docs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     some = rows.where("node is not null")
     nodes = some.groupBy("node").agg(F.min(_id()).alias("first"), F.count("*").alias("copies"))
     # one of a node's rows carries its keys on: equal texts have equal keys
-    keyed = some.select("node", "keys", _id().alias("first")).join(nodes.select("node", "first"), ["node", "first"]).dropDuplicates(["node", "first"])
-    pairs = saved(candidates(keyed))
-    wanted = nodes.select("node", "first").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
+    one = some.select("node", "keys", "sig", _id().alias("first")).join(nodes.select("node", "first"), ["node", "first"]).dropDuplicates(["node", "first"])
+    keyed = one.select("node", F.explode("keys").alias("key"))
     whole = docs.select(_id().alias("first"), F.col("text").cast("binary").alias("text")).withColumn("node", F.unhex(F.md5("text")))
-    texts = whole.join(wanted, ["first", "node"]).dropDuplicates(["first", "node"]).select("node", "text")
-    links = saved(verified(pairs, texts, similarity))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        wanted = nodes.select("node", "first").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
+        texts = whole.join(wanted, ["first", "node"]).dropDuplicates(["first", "node"]).select("node", "text")
+        return saved(verified(pairs, texts, similarity))
+
+    tried = saved(candidates(keyed))
+    links = verify(tried)
     comp = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    left, sigs, pivots = inner(keyed), None, PIVOTS
+    while True:
+        left = saved(mixed(left, comp))
+        if left.isEmpty():
+            break
+        if sigs is None:
+            sigs = saved(one.select("node", "sig").join(left.select("node").distinct(), "node"))
+        salt = F.pmod(F.xxhash64("node", "key", F.lit(pivots)), F.lit(pivots))
+        pivot = saved(left.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("node", "root")).alias("p")).select("key", F.col("p.node").alias("other"), F.col("p.root").alias("other_root")))
+        new = _pairs(left.join(pivot, "key").where("root <> other_root"))
+        new = saved(agreeing(new.join(tried, ["a", "b"], "left_anti"), sigs))
+        if not new.isEmpty():
+            tried, more = tried.unionByName(new), verify(new)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                comp = components(comp.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more.select("a", "b")))
+        left = left.join(pivot.select("key", F.col("other").alias("node")), ["key", "node"], "left_anti").select("key", "node")
+        pivots *= FASTER
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     info = nodes.join(comp, "node", "left").join(degree, "node", "left")
     info = info.select("node", "first", "copies", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))

@@ -90,6 +90,20 @@ def test_near_duplicate_cases(spark, docs):
     assert neardup.near_duplicates(docs([])).count() == 0
 
 
+def test_pairs_inside_a_family_that_shares_a_passage(spark, docs):
+    """Texts of pairwise similarity 0.75 fill one another's keys; the planted pairs of 0.81 among them are all linked."""
+    rng = random.Random(11)
+    shared = words(rng, 103)
+    rows, pairs = [], 80
+    for i in range(700):
+        own = words(rng, 17, 10**6)
+        rows.append((2 * i, " ".join(shared + own)))
+        if i < pairs:
+            rows.append((2 * i + 1, " ".join(shared + own[:5] + words(rng, 12, 10**6))))
+    got = {r.doc_id: (r.class_id, r.class_size) for r in neardup.near_duplicates(docs(rows)).collect()}
+    assert got == {d: (d - d % 2, 2 if d // 2 < pairs else 1) for d, _ in rows}
+
+
 def test_signature_agreement_estimates_probability_jaccard():
     rng = np.random.default_rng(5)
     ids = rng.integers(0, 1 << 63, 600).astype(np.uint64)
