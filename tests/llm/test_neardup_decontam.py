@@ -169,6 +169,42 @@ def test_cosine_candidates_recall(spark, docs):
     assert loose >= index and len(loose & truth) >= 0.9 * len(truth) and len(index) >= 0.9 * len(loose)
 
 
+def spread(seed=6):
+    """Items whose words are changed in part and set apart by inserted words."""
+    rng = random.Random(seed)
+    items = [(i, " ".join(words(rng, (22, 40)[i % 2] - 6, 5000)) + ". " + " ".join(words(rng, 6, 5000)) + ".") for i in range(24)]
+    rows = []
+    for d in range(240):
+        item, out = items[d % 24][1].split(), []
+        step, changed = ((2, 0.15), (1, 0.1), (3, 0.2))[d % 3]
+        for k, w in enumerate(item):
+            out.append(w if rng.random() > changed else "zz%d" % rng.randrange(10**6))
+            if k % step == step - 1:
+                out.append("ff%d" % rng.randrange(10**6))
+        rows.append((d, " ".join(words(rng, rng.randrange(120), 5000) + out + words(rng, rng.randrange(120), 5000))))
+    return rows, items
+
+
+def test_decontamination_of_items_spread_by_inserted_words(spark, docs):
+    """Against the order test on every passage, with neither cosine nor word count."""
+    rows, items = spread()
+    truth = set()
+    for i, t in items:
+        item, last = re.findall("[a-z0-9]+", t), re.findall("[a-z0-9]+", t.split(". ")[1])
+        for d, text in rows:
+            ws = re.findall("[a-z0-9]+", text)
+            for start in range(0, len(ws), 16):
+                near = ws[max(0, start - len(item)) : start + 32 + len(item)]
+                if decontam.common_subsequence(item, near) / len(item) >= 0.75 and decontam.common_subsequence(last, near) >= 0.5 * len(last):
+                    truth.add((d, i))
+    b = spark.createDataFrame(items, "item_id long, text string")
+    every = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(rows), b, cosine=-1.0).collect()}
+    index = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(rows), b).collect()}
+    print("recall", len(truth), len(every & truth), len(index & truth))
+    assert len(truth) > 150 and every == truth
+    assert index <= truth and len(index) >= 0.9 * len(truth)
+
+
 def test_decontamination_cases(spark, docs):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta. iota kappa."), (2, None), (3, "!!"), (None, "")], "item_id long, text string")
     rows = [(1, None), (2, ""), (3, "alpha beta gamma delta epsilon zeta eta theta. iota kappa."), (3, "alpha beta gamma delta epsilon zeta eta theta. iota kappa."), (None, "plain words only"), (4, "pad " * 40000 + "alpha beta gamma delta epsilon zeta eta theta iota kappa")]
