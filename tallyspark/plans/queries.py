@@ -325,30 +325,46 @@ REPORT_HEADER = ("row_no", "日付", "商品管理番号", "キーワード", "
 BROKEN_DAY = "2024-01-05"          # this day's file has a line with a field too many
 
 
-def _report_files(spark, d):
-    """One report file per day of the keyword analogue, as (path, modificationTime, length, content).
+PART_LINES = 50000                 # lines of a report file that one content cell holds, about
 
-    Keywords carry quotes, a comma and a backslash, so cells depend on the quoting rules.
+
+def _report_files(spark, d, part_lines=PART_LINES):
+    """Report files, one per day of the keyword analogue, as (path, part, modificationTime, length, content).
+
+    Keywords carry quotes, a comma and a backslash, so cells depend on the quoting rules.  A file comes in
+    parts: part 0 is the header line, each other part about ``part_lines`` of its lines, so no cell grows with the day.
     """
     kw = A.kw_a(spark, d).withColumn("kw", F.concat("kw", F.lit(' "a", \\')))
+    days = kw.groupBy("d").agg(F.ceil(F.count("*") / part_lines).alias("parts"), F.max("row_no").alias("last"))
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("row_no", "date_text", "sku", "kw", "guide")]
     line = F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in cells])
+    broken = (F.col("d") == F.to_date(F.lit(BROKEN_DAY))) & F.col("row_no").eqNullSafe(F.col("last"))
+    line = F.when(broken, F.concat(line, F.lit(',"EXTRA"'))).otherwise(line)
     head = ",".join(f'"{c}"' for c in REPORT_HEADER)
-    text = F.concat_ws("\n", F.lit(head), F.transform(F.array_sort(F.collect_list(F.struct("row_no", line.alias("line")))), lambda x: x["line"]))
-    files = kw.groupBy("d").agg(text.alias("t"))
-    text = F.when(F.col("d") == F.to_date(F.lit(BROKEN_DAY)), F.concat("t", F.lit(',"EXTRA"'))).otherwise(F.col("t"))
-    return files.select(F.concat(F.lit("RPPキーワード別12h_"), F.date_format("d", "yyyyMMdd"), F.lit("_0900.csv")).alias("path"),
+    kw = kw.join(days.withColumnRenamed("d", "_d"), F.col("d") == F.col("_d"))
+    part = (F.pmod(F.xxhash64("row_no"), F.col("parts")) + 1).alias("part")
+    text = F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("row_no", line.alias("line")))), lambda x: x["line"]))
+    files = (kw.groupBy("d", part).agg(text.alias("t"))
+             .unionByName(days.select("d", F.lit(0).cast("bigint").alias("part"), F.lit(head).alias("t"))))
+    return files.select(F.concat(F.lit("RPPキーワード別12h_"), F.date_format("d", "yyyyMMdd"), F.lit("_0900.csv")).alias("path"), "part",
                         F.to_timestamp("d").alias("modificationTime"), F.length("t").cast("bigint").alias("length"),
-                        F.encode(text, "UTF-8").alias("content"))
+                        F.encode("t", "UTF-8").alias("content"))
+
+
+def _report_lines(files):
+    """Numbered lines of report files in parts: the lines of a part come after those of the parts before it."""
+    from tallyspark.sources import csv_reports as C
+    lines = C.lines_from_binary(files.withColumn("path", F.concat_ws("#", "part", "path")))
+    part, path = F.substring_index("path", "#", 1).cast("bigint"), F.expr("substr(path, instr(path, '#') + 1)")
+    return lines.select(path.alias("path"), "mtime", "size", (F.col("pos") + F.shiftleft(part, 32)).alias("pos"), "line")
 
 
 def _report_load(spark, d):
     from tallyspark.plans import ingest as I
-    from tallyspark.sources import csv_reports as C
     from tallyspark.sources.files import with_file_rank
     files = _report_files(spark, d)
-    ranked = with_file_rank(files, "modificationTime").select("path", "file_rank")
-    return I.accept_dated(C.lines_from_binary(files), ranked, I.FAMILIES["raw_shohin_betsu"], None)
+    ranked = with_file_rank(files.where("part = 0"), "modificationTime").select("path", "file_rank")
+    return I.accept_dated(_report_lines(files), ranked, I.FAMILIES["raw_shohin_betsu"], None)
 
 
 def report_ingest(spark, d):
@@ -359,7 +375,7 @@ def report_ingest(spark, d):
 
 def report_status(spark, d):
     from tallyspark.sources import csv_reports as C
-    return C.screen_files(C.lines_from_binary(_report_files(spark, d)), ["日付"])
+    return C.screen_files(_report_lines(_report_files(spark, d)), ["日付"])
 
 
 def new_files(spark, d):

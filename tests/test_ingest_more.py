@@ -189,3 +189,16 @@ def test_daily_run_reports_every_file_and_guards_the_first_load(spark, tmpdir_pa
     assert sorted((r.family, r.state) for r in out) == [("raw_item", "no_files"), ("raw_keyword", "loaded"), ("raw_keyword", "loaded"), ("raw_keyword", "rejected")]
     t = {r["日付"]: r["目安CPC"] for r in spark.read.parquet(f"{tmpdir_path}/wh/raw_keyword").collect()}
     assert t == {"2026-07-13": "66", "2026-07-14": ""}
+
+
+def test_report_files_come_in_bounded_cells(spark):
+    from tallyspark.plans import queries as Q
+    from tallyspark.sources import csv_reports as C
+    sf = "/root/testdata/sf0.001"
+    whole, dealt = Q._report_files(spark, sf), Q._report_files(spark, sf, 5)
+    lines = [(r.path, r.part, r.content.decode().count("\n") + 1) for r in dealt.collect()]
+    assert max(n for _, _, n in lines) <= 20 and len(lines) > 2 * whole.count()
+    a, b = (sorted((r.path, r.line) for r in Q._report_lines(f).collect()) for f in (whole, dealt))
+    assert a == b and len(a) == sum(n for _, _, n in lines)
+    a, b = (sorted(map(tuple, C.screen_files(Q._report_lines(f), ["日付"]).collect())) for f in (whole, dealt))
+    assert a == b and {r[1] for r in a} == {"ok", "rejected"}
