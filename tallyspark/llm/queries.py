@@ -75,6 +75,14 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    from tallyspark.llm.convtrie import trie_report, turn_lists, with_shared_heads
+    c = F.col("conv_id")
+    lists = turn_lists(_table(spark, sf_dir, "conversations"))
+    return trie_report(with_shared_heads(lists, c - c % 100, crc_mod("conv_id", 6), 5))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -86,9 +94,33 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_html_extraction": op9_html_extraction,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_conversation_trie": op11_conversation_trie,
 }
 
 SQL: dict[str, str] = {
+    "op11_conversation_trie": """
+with crc as (select [list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)
+                     for n in range(256)] as tab),
+t as (select cast(conv_id as bigint) as c, cast(turn as bigint) as turn, coalesce(role, '') as r, coalesce(text, '') as x
+      from conversations where conv_id is not null),
+own as (select c, list({'r': r, 'x': x} order by turn nulls first, sha256(concat(length(r), ':', r, x))[1:32]) as s from t group by c),
+h as (select c, s, cast(xor(list_reduce(list_prepend(cast(4294967295 as bigint), [cast(ord(b) as bigint) for b in string_split(cast(c as varchar), '')]),
+                                        lambda a, b: xor(a >> 8, cast(tab[cast(xor(a, b) & 255 as int) + 1] as bigint))), 4294967295) % 6 as int) as k
+      from own, crc),
+conv as (select h.c, list_concat(coalesce(o.s[1:h.k], []), h.s[h.k + 1:]) as s from h left join own o on o.c = h.c - h.c % 100),
+pre as (select c, s, unnest(range(len(s) + 1)) as d from conv),
+node as (select s[1:d] as p, d, count(*) as n, min(c) as m,
+                sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where len(s) = d), '')) as e
+         from pre group by s[1:d], d),
+kid as (select p[1:d - 1] as p, count(*) as k from node where d > 0 group by 1),
+full_node as (select node.p, d, n, m, e, coalesce(k, 0) as k,
+                     case when d = 0 then 0 else (n - 1) * length(node.p[d].x) end as own_saved from node left join kid on kid.p = node.p),
+below as (select p[1:a] as p, a as d, sum(case when k = 0 then 1 else 0 end) as leaves, sum(own_saved) as saved
+          from (select *, unnest(range(d + 1)) as a from full_node) group by 1, 2)
+select f.m as conv_id, cast(f.d as bigint) as depth, up.m as parent_conv_id, cast(f.n as bigint) as n_convs, cast(f.k as bigint) as n_children,
+       cast(below.leaves as bigint) as n_leaves, cast(below.saved as bigint) as saved_tokens, f.e as ends_sha256
+from full_node f join below on below.d = f.d and below.p = f.p
+left join node up on up.d = f.d - 1 and up.p = f.p[1:f.d - 1]""",
     "op4_url_filters": url_oracle(),
     "op10_exact_top_k": """
 with e as (select cast(vec_id as bigint) as vec_id, [floor(256.0 * cast(x as double)) for x in embedding] as v
