@@ -83,6 +83,13 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_report(with_shared_heads(lists, c - c % 100, crc_mod("conv_id", 6), 5))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal periodic word runs of every document, one in ten made periodic by its id's checksum."""
+    from tallyspark.llm.repeats import repetitions, report
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    return report(repetitions(_table(spark, sf_dir, "documents"), checksum))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -95,6 +102,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_exact_top_k": op10_exact_top_k,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 SQL: dict[str, str] = {
