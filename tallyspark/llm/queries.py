@@ -90,6 +90,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(repetitions(_table(spark, sf_dir, "documents"), checksum))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of remainder 0 (crc32 mod 5) are held out."""
+    from tallyspark.llm.quality import quality
+    held = crc_mod("doc_id", 5) == 0
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ~held, held)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -103,6 +110,7 @@ QUERIES = {
     "op10_exact_top_k": op10_exact_top_k,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 SQL: dict[str, str] = {
