@@ -65,7 +65,7 @@ def dictionaries(sample: DataFrame, max_blocks: int = MAX_BLOCKS_PER_CLASS) -> d
     kept = [cut.where(F.col("cls") == c).orderBy("h", "block").limit(max_blocks) for c in (0, 1)]
     # each dictionary leaves out other 3 tenths of the blocks
     shares = F.filter(F.sequence(F.lit(0), F.lit(DICTIONARIES - 1)), lambda k: F.pmod(F.pmod(F.col("h"), F.lit(10)) - 3 * k, F.lit(10)) >= 3)
-    dealt = kept[0].unionAll(kept[1]).select("cls", F.explode(shares).cast("int").alias("k"), "h", "block")
+    dealt = kept[0].unionAll(kept[1]).select("cls", F.explode(shares).alias("k"), "h", "block")
     made = dealt.orderBy("cls", "k", "h", "block").groupBy("cls", "k").applyInArrow(train, "cls int, k int, made binary").collect()  # 2 * DICTIONARIES rows of 32 KB
     return {c: [bytes(r.made) for r in sorted(made, key=lambda r: r.k) if r.cls == c] for c in (0, 1)}
 
@@ -117,6 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER_CLASS)
     sample = labelled_sample(docs, labels, max_rows)
     made = dictionaries(sample.where("part = 0"))
     seen = differences(sample.where("part = 1"), made, {"cls": "int"}).toPandas()  # 2 * max_rows rows of numbers
+    seen = seen.sort_values(["difference", "bytes", "cls"])  # sums don't depend on the order of tasks
     return {"made": made, **_curve(seen["difference"].to_numpy(float), seen["bytes"].to_numpy(float), seen["cls"].to_numpy(float))}
 
 
