@@ -28,6 +28,7 @@ from tallyspark.operators import guard as G
 from tallyspark.operators import upsert as U
 from tallyspark.sources import csv_reports as C
 from tallyspark.sources import files as FL
+from tallyspark.sources import snapshots as S
 from tallyspark.sources.catalog import table_columns
 from tallyspark.sources.sinks import PDATE, append_raw, prepare_for_target
 
@@ -69,9 +70,25 @@ def _ranked_files(spark: SparkSession, root: str, fam: Family, day=None, tz: str
 
 
 def _target(spark: SparkSession, path: str) -> DataFrame | None:
+    """The raw table: a versioned one at its newest version, else a plain Parquet folder; None when there is none."""
+    if S.is_snapshot(spark, path):
+        return S.read(spark, path)
     return spark.read.parquet(path) if table_columns(spark, path) is not None else None
 
 
+def _target_columns(spark: SparkSession, path: str) -> list[str]:
+    target = _target(spark, path)
+    return [] if target is None else [c for c in target.columns if c != PDATE]
+
+
+def load(spark: SparkSession, rows: DataFrame, path: str, date_col: str | None, based_on: int | None) -> None:
+    """Add accepted rows to a raw table: a new version when ``based_on`` is given (the version they were chosen against)."""
+    if based_on is None:
+        append_raw(spark, rows, path, date_col)
+    else:
+        S.append(spark, path, prepare_for_target(rows, _target_columns(spark, path)), date_col, based_on)
+
+
 def accept_dated(lines: DataFrame, files: DataFrame, fam: Family, target: DataFrame | None, as_of=None):
     """I1 / I4 on numbered lines: (accepted rows or None, file status).
 
@@ -133,10 +150,12 @@ def _status_rows(status: DataFrame, family: str) -> DataFrame:
 
 
 def run_daily(spark: SparkSession, root: str, warehouse: str, day, as_of=None,
-              families: list[str] | None = None) -> DataFrame:
+              families: list[str] | None = None, versioned: bool = False) -> DataFrame:
     """Every family; one row per file (loaded / rejected and why).
 
     A family without files or one that fails gives one row without a path, and the other families go on.
+    ``versioned`` keeps the raw tables as versioned ones: a load is seen whole or not at all, and a load that
+    another writer overtook is an error row instead of a double load.  Versioned tables stay so in any case.
     """
     none: list[tuple] = []
     out = []
@@ -144,6 +163,8 @@ def run_daily(spark: SparkSession, root: str, warehouse: str, day, as_of=None,
         fam = FAMILIES[name]
         path = f"{warehouse}/{fam.table}"
         try:
+            seen = S.versions(spark, path)
+            based_on = seen[-1] if seen else 0 if versioned and table_columns(spark, path) is None else None
             if fam.dedup == "key":
                 rows, status = ingest_affiliate(spark, root, fam, path, day)
             elif fam.dedup == "composite":
@@ -155,7 +176,7 @@ def run_daily(spark: SparkSession, root: str, warehouse: str, day, as_of=None,
                 continue
             kept = _status_rows(status, name).collect()     # one row per file of this load
             if rows is not None:
-                append_raw(spark, rows, path, fam.date_col)
+                load(spark, rows, path, fam.date_col, based_on)
             out += [tuple(r) for r in kept]
         except Exception as e:  # noqa: BLE001 -- reported per family, as the daily run does
             none.append((name, None, "error", f"{type(e).__name__}: {str(e)[:300]}"))
@@ -179,7 +200,8 @@ def refresh_window(spark: SparkSession, root: str, fam: Family, target_path: str
     ``dates`` (explicit list) wins over the trailing ``days`` window.  Only files modified on ``today``
     are used, by default the run day ``as_of``: an older file would overwrite matured days with frozen
     ones.  ``None`` takes files of any day.
-    Returns the plan frame (K4); writes only when not ``dry_run``.
+    Returns the plan frame (K4); writes only when not ``dry_run``.  In a versioned table all days change at
+    once or not at all; rows without a real date are logged, not loaded.
     """
     if dates:
         parsed = explicit_dates(spark, dates)
@@ -201,11 +223,15 @@ def refresh_window(spark: SparkSession, root: str, fam: Family, target_path: str
     if rows is None:
         return None
     rows = DD.normalize_rows(rows, fam.date_col, REFRESH_ORDER).drop(DD.NORM)
-    target_cols = [c for c in (table_columns(spark, target_path) or []) if c != PDATE]
+    target_cols = _target_columns(spark, target_path)
     staged = prepare_for_target(rows, target_cols or None, empty_keeps_all=False)
     if staged is None:
         return None
     plan = U.upsert_plan(staged, fam.date_col)
-    if not dry_run:
+    if not dry_run and S.is_snapshot(spark, target_path):
+        done = S.replace_days(spark, target_path, staged, fam.date_col)
+        if done.rejected is not None:
+            log.warning("refresh leaves out %d rows without a date", done.rejected.count())
+    elif not dry_run:
         U.write_replace_by_date(spark, staged, target_path, fam.date_col, target_cols or None)
     return plan

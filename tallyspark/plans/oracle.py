@@ -536,6 +536,15 @@ SELECT * FROM up_target t WHERE NOT EXISTS (SELECT 1 FROM sd WHERE sd.sd = {mixe
 UNION ALL
 SELECT row_no, date_text, sku, kw, guide, NULL AS clicks FROM up_staged""", "up_target", "up_staged")
         .replace("\n, sd AS", ",\nsd AS"),
+    "attribution_refresh": with_ctes(f"""
+, st AS (SELECT row_no, CASE WHEN CAST(row_no AS BIGINT) % 97 = 0 THEN '合計' ELSE date_text END AS date_text, sku, kw, guide FROM up_staged),
+sd AS (SELECT DISTINCT {iso_only('substr(date_text, 1, 10)')} AS sd FROM st)
+SELECT 'table' AS part, row_no, date_text, sku, kw, guide, clicks, strftime({mixed('t.date_text')}, '%Y-%m-%d') AS pdate
+FROM up_target t WHERE NOT EXISTS (SELECT 1 FROM sd WHERE sd.sd = {mixed('t.date_text')})
+UNION ALL
+SELECT CASE WHEN date_text = '合計' THEN 'rejected' ELSE 'table' END, row_no, date_text, sku, kw, guide, NULL AS clicks,
+       CASE WHEN date_text <> '合計' THEN date_text END
+FROM st""", "up_target", "up_staged").replace("\n, st AS", ",\nst AS"),
     "upsert_plan": with_ctes(f"""
 SELECT count(DISTINCT sd) AS n_dates, strftime(min(sd), '%Y-%m-%d') AS first_date,
        strftime(max(sd), '%Y-%m-%d') AS last_date, count(*) AS rows

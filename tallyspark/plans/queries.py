@@ -412,6 +412,26 @@ def upsert_plan(spark, d):
     return U.upsert_plan(staged, "date_text")
 
 
+def attribution_refresh(spark, d):
+    """The matured days staged, checked, swapped in by one manifest and read back, with the rejected rows.
+
+    Every 97th staged row has no real date.
+    """
+    import uuid
+
+    from tallyspark.session import work_dir
+    from tallyspark.sources import snapshots as S
+    target, staged = _upsert_inputs(spark, d)
+    staged = staged.withColumn("date_text", F.when(F.col("row_no") % 97 == 0, F.lit("合計")).otherwise(F.col("date_text")))
+    table = f"{work_dir(spark)}/raw_keyword-{uuid.uuid4().hex}"
+    S.append(spark, table, target, "date_text")
+    done = S.replace_days(spark, table, staged, "date_text")
+    back = S.read(spark, table).withColumn("part", F.lit("table"))
+    rejected = done.rejected.withColumn("part", F.lit("rejected"))
+    return back.unionByName(rejected, allowMissingColumns=True).select(
+        "part", F.col("row_no").cast("string").alias("row_no"), "date_text", "sku", "kw", "guide", "clicks", F.date_format("pdate", "yyyy-MM-dd").alias("pdate"))
+
+
 # ---- file listings (S10, S18, F17, F19) ------------------------------------------
 
 def latest_per_date(spark, d):
@@ -554,6 +574,7 @@ QUERIES: dict[str, Query] = {
     "new_files": new_files,
     "replace_by_date": replace_by_date,
     "upsert_plan": upsert_plan,
+    "attribution_refresh": attribution_refresh,
     "latest_per_date": latest_per_date,
     "refresh_window_files": refresh_window_files,
     "backfill_range": backfill_range,

@@ -7,6 +7,8 @@ fallback, and only when the session has none.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on: ANSI stays on (we use try_* functions for
@@ -67,3 +69,14 @@ def shared_checkpoint_dir(spark: SparkSession) -> str | None:
     if d:
         spark.sparkContext.setCheckpointDir(d)
     return d or None
+
+
+def work_dir(spark: SparkSession) -> str:
+    """Folder for tables that a job writes for itself: the shared checkpoint folder the cluster names.
+
+    Only a ``local`` session that names none (tests) gets a folder of its own.
+    """
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if local and not shared_checkpoint_dir(spark):
+        return checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="tallyspark-"))
+    return checkpoint_dir(spark)
