@@ -19,16 +19,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import as_date, parse_mixed_date_iso_first
 from tallyspark.functions.numbers import (BASELINE_LOOKBACK_DAYS, SPIKE_ABS_MIN, SPIKE_PRIOR_MIN,
                                           SPIKE_RATIO, comma_float, is_spike, safe_double, spike_ratio)
 from tallyspark.functions.text import non_blank, ustrip
-from tallyspark.session import shared_checkpoint_dir
+from tallyspark.session import materialized, shared_checkpoint_dir
 
 PDATE = "pdate"
+#: parts a (key, file) is first reduced in, and skyline rows of one key that are folded at once
+SKYLINE_PARTS, FOLD_ENTRIES = 64, 16_384
 SKU, KW, GUIDE, DATE = "商品管理番号", "キーワード", "目安CPC", "日付"
 
 
@@ -171,18 +173,55 @@ def spike_guard_files(spark: SparkSession, rows: DataFrame, history: DataFrame,
     return out
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def price_skyline(prices: DataFrame, keys: Sequence[str], order) -> DataFrame:
+    """Rows of (``keys``, ``_s``) that can decide what a file leaves as its latest accepted price.
+
+    A price is accepted up to a bound that depends on the prior only, so a row counts only if every later row
+    of its group is dearer: from the latest row on, the running minima.  Groups are first reduced in parts
+    (by a hash of the price), so one hot group is spread; rows without a price stay.
+    """
+    # a price that is no number is never a spike: below all others
+    bound = F.when(F.col("_s.v").isNull() | F.isnan("_s.v"), F.lit(float("-inf"))).otherwise(F.col("_s.v"))
+    later = F.when(F.col("_s").isNotNull(), F.struct(order(F.col("_s")), F.col("_s.g")))
+    part = F.pmod(F.xxhash64("_s.g"), F.lit(SKYLINE_PARTS))
+    left = prices.withColumn("_part", part)
+    for by in ([*keys, "_part"], list(keys)):
+        w = Window.partitionBy(*by).orderBy(later.desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        left = left.withColumn("_low", F.min(bound).over(w)).where(F.col("_s").isNull() | F.col("_low").isNull() | (bound < F.col("_low")))
+    return left.drop("_part", "_low")
+
+
+def _segments(entries: DataFrame, most: int) -> DataFrame:
+    """Deal each key's entries, file by file, to segments of about ``most`` (``_seg``, from 0 without gaps)."""
+    key = Window.partitionBy("_k1", "_k2").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("_k1", "_k2", "_r").orderBy("_s.g")
+    files = entries.groupBy("_k1", "_k2", "_r").agg(F.count("*").alias("_n"))
+    files = files.select("_k1", "_k2", "_r", F.floor(F.coalesce(F.sum("_n").over(key), F.lit(0)) / most).alias("_from"))
+    at = entries.withColumn("_at", F.floor((F.row_number().over(in_file) - 1) / most))
+    return at.join(files, ["_k1", "_k2", "_r"]).select("_k1", "_k2", "_r", "_s", (F.col("_from") + F.col("_at")).cast("int").alias("_seg"))
+
+
 def spike_guard_many(rows: DataFrame, history: DataFrame | None, as_of, *, file_rank: str = "file_rank",
                      sku: str = SKU, kw: str = KW, guide: str = GUIDE, date_col: str = DATE,
                      tiebreak: Sequence[str] = (), ratio: float = SPIKE_RATIO, abs_min: float = SPIKE_ABS_MIN,
-                     prior_min: float = SPIKE_PRIOR_MIN, lookback_days: int = BASELINE_LOOKBACK_DAYS) -> DataFrame:
-    """Q10 over many files in load order, in one pass: file k sees the prices accepted from files < k.
-
-    Same result as ``spike_guard_files``, whatever the number of files and spikes.  Prices are first
-    reduced to one row per (key, file, distinct price) with partial ``max_by``; each key's files are then
-    folded in order (``aggregate``), which gives the prior of every (key, file); the rows join that back.
-    A key's fold holds its files and their distinct prices, never its rows.  Only rows whose stored key
-    has no blanks to strip can ever be looked up, so only they feed the fold.  Without a history the
-    first file has no prior and later files see the earlier ones.
+                     prior_min: float = SPIKE_PRIOR_MIN, lookback_days: int = BASELINE_LOOKBACK_DAYS,
+                     most: int = FOLD_ENTRIES) -> DataFrame:
+    """Q10 over many files in load order: file k sees the prices accepted from files < k.
+
+    Same result as ``spike_guard_files``, whatever the number of files and spikes.  Prices are reduced to one
+    row per (key, file, distinct price) with partial ``max_by``, then to each file's skyline
+    (``price_skyline``: a handful of rows, however many prices).  A key's files are folded in order with
+    ``aggregate`` over segments of about ``most`` skyline rows; what a segment leaves (the state before its last file
+    and the best price of that file so far) is carried to the key's next one, so no array grows with the key.
+    Almost always there is one segment; a longer key takes further rounds, for that key only.  The fold gives
+    the prior of every (key, file), which the rows join.  Only rows whose stored key has no blanks to strip
+    can ever be looked up, so only they feed the fold.  Without a history the first file has no prior and
+    later files see the earlier ones.
     """
     if not {sku, kw, guide} <= set(rows.columns):
         return rows
@@ -193,7 +232,7 @@ def spike_guard_many(rows: DataFrame, history: DataFrame | None, as_of, *, file_
     def order(s):
         return F.struct(s["d"], *[s[t] for t in ts])
 
-    # per (key, file, price): the best dated occurrence; d NULL marks a file that only looks up
+    # per (key, file, price): the best dated occurrence; NULL marks a file that only looks up
     feeds = (F.col(sku) == ustrip(sku)) & (F.col(kw) == ustrip(kw)) & non_blank(guide)
     seen = F.struct(parse_mixed_date_iso_first(date_col).alias("d"), *[F.when(F.col(sku).isNotNull(), F.col(c)).alias(t) for c, t in zip(tiebreak, ts)],
                     safe_double(guide).alias("g"), comma_float(guide).alias("v"))
@@ -203,32 +242,54 @@ def spike_guard_many(rows: DataFrame, history: DataFrame | None, as_of, *, file_
     usable = F.col("_s.g").isNotNull() & (F.col("_s.d") >= lo)
     keyed = keyed.select("_k1", "_k2", "_r", F.when(usable, F.col("_s")).alias("_s"))
     per_price = keyed.groupBy("_k1", "_k2", "_r", F.col("_s.g").alias("_g")).agg(
-        F.max_by("_s", F.when(F.col("_s").isNotNull(), order(F.col("_s")))).alias("_s"))
-    per_file = per_price.groupBy("_k1", "_k2", "_r").agg(F.collect_list("_s").alias("_p"))
-    per_key = per_file.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_list(F.struct("_r", "_p"))).alias("_files"))
-    state_type = per_price.schema["_s"].dataType
+        F.max_by("_s", F.when(F.col("_s").isNotNull(), order(F.col("_s")))).alias("_s")).drop("_g")
+    entries = materialized(_segments(price_skyline(per_price, ["_k1", "_k2", "_r"], order), most))
+    rounds = (entries.agg(F.max("_seg")).first()[0] or 0) + 1
+    state_type = entries.schema["_s"].dataType
+    rtype = rows.schema[file_rank].dataType
+    none = F.lit(None).cast(state_type)
+    no_file = F.lit(None).cast(rtype)
     if history is not None:
         base = guideline_baseline(history, as_of, sku=sku, kw=kw, guide=guide, date_col=date_col,
                                   lookback_days=lookback_days, tiebreak=tiebreak)
         start = F.struct(F.col("prior_date").alias("d"), *[F.col(f"_t{i}").cast(k).alias(t) for i, (t, k) in enumerate(zip(ts, kinds))],
                          F.col("prior").alias("g"), F.col("prior").alias("v")).cast(state_type)
-        base = base.select(F.col(sku).alias("_k1"), F.col(kw).alias("_k2"), start.alias("_start"))
-        per_key = per_key.join(base, ["_k1", "_k2"], "left")
+        state = base.select(F.col(sku).alias("_k1"), F.col(kw).alias("_k2"), start.alias("s"), none.alias("b"), no_file.alias("r"))
     else:
-        per_key = per_key.withColumn("_start", F.lit(None).cast(state_type))
-    rtype = rows.schema[file_rank].dataType.simpleString()
-    init = F.struct(F.col("_start").alias("s"), F.array().cast(f"array<struct<r:{rtype},prior:double>>").alias("out"))
-
-    def step(acc, f):
-        prior = acc["s"]["g"]
-        taken = F.filter(f["_p"], lambda p: ~is_spike(p["v"], prior, ratio, abs_min, prior_min))
-        best = F.array_max(F.transform(F.concat(F.filter(F.array(acc["s"]), lambda x: x.isNotNull()), taken),
-                                       lambda p: F.struct(order(p).alias("o"), p.alias("p"))))["p"]
-        return F.struct(best.cast(state_type).alias("s"),
-                        F.concat(acc["out"], F.array(F.struct(f["_r"].alias("r"), prior.alias("prior")))).alias("out"))
-
-    folded = per_key.select("_k1", "_k2", F.explode(F.aggregate("_files", init, step, lambda a: a["out"])).alias("_o"))
-    folded = folded.select("_k1", "_k2", F.col("_o.r").alias("_r"), F.col("_o.prior").alias("_prior"))
+        state = None
+    out_type = f"array<struct<r:{rtype.simpleString()},prior:double>>"
+    acc_type = f"struct<s:{state_type.simpleString()},b:{state_type.simpleString()},r:{rtype.simpleString()},out:{out_type}>"
+
+    def later(a, b):
+        ahead = F.struct(order(b), b["g"]) > F.struct(order(a), a["g"])
+        return F.when(a.isNull(), b).when(b.isNull(), a).when(ahead, b).otherwise(a)
+
+    def step(acc, e):
+        opens = acc["r"].isNull() | (e["_r"] != acc["r"])          # the first entry of a file
+
+        def taken(s):
+            best = F.when(opens, none).otherwise(acc["b"])
+            take = e["_s"].isNotNull() & ~is_spike(e["_s"]["v"], s["g"], ratio, abs_min, prior_min)
+            out = F.when(opens, F.concat(acc["out"], F.array(F.struct(e["_r"].alias("r"), s["g"].alias("prior"))))).otherwise(acc["out"])
+            return F.struct(s.alias("s"), F.when(take, later(best, e["_s"])).otherwise(best).alias("b"), e["_r"].alias("r"), out.alias("out")).cast(acc_type)
+
+        return _let(F.when(opens, later(acc["s"], acc["b"])).otherwise(acc["s"]), taken)
+
+    outs = []
+    for i in range(rounds):
+        part = entries if rounds == 1 else entries.where(F.col("_seg") == i)
+        keys = part.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_list(F.struct("_r", "_s"))).alias("_e"))
+        keys = keys.join(state, ["_k1", "_k2"], "left") if state is not None else \
+            keys.select("*", none.alias("s"), none.alias("b"), no_file.alias("r"))
+        init = F.struct("s", "b", "r", F.array().cast(out_type).alias("out")).cast(acc_type)
+        folded = keys.select("_k1", "_k2", F.aggregate("_e", init, step).alias("_a")).select("_k1", "_k2", "_a.*")
+        if rounds > 1:
+            folded = materialized(folded)
+        state = folded.select("_k1", "_k2", "s", "b", "r")
+        outs.append(folded.select("_k1", "_k2", F.explode("out").alias("_o")).select("_k1", "_k2", F.col("_o.r").alias("_r"), F.col("_o.prior").alias("_prior")))
+    folded = outs[0]
+    for o in outs[1:]:
+        folded = folded.unionAll(o)
     j = rows.join(folded, (ustrip(rows[sku]) == folded["_k1"]) & (ustrip(rows[kw]) == folded["_k2"])
                   & (rows[file_rank] == folded["_r"]), "left")
     spike = is_spike(comma_float(guide), F.col("_prior"), ratio, abs_min, prior_min)

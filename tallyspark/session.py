@@ -8,8 +8,9 @@ fallback, and only when the session has none.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on: ANSI stays on (we use try_* functions for
 # tolerant casts), AQE re-plans joins and coalesces small shuffle partitions,
@@ -80,3 +81,10 @@ def work_dir(spark: SparkSession) -> str:
     if local and not shared_checkpoint_dir(spark):
         return checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="tallyspark-"))
     return checkpoint_dir(spark)
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` written once into the work folder and read back: later stages and retries start from the files."""
+    path = f"{work_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
