@@ -632,6 +632,12 @@ def _cell(c: str) -> str:
 SQL["report_ingest"] = with_ctes(f"""
 SELECT row_no, strftime(d, '%Y-%m-%d') AS date_text, {_cell('sku')} AS sku, kw || ' "a", \\' AS kw, {_cell('guide')} AS guide
 FROM kw_a WHERE d <> DATE '2024-01-05'""", "kw_a")
+SQL["report_records"] = with_ctes(f"""
+SELECT row_no, {_cell('date_text')} AS date_text, {_cell('sku')} AS sku,
+       kw || CASE WHEN row_no % 7 = 0 THEN ' "a",' || chr(13) || chr(10) || ' b'
+                  WHEN row_no % 5 = 0 THEN chr(10) || 'line, ' || chr(10) || chr(10) || ' end' ELSE '' END AS kw,
+       {_cell('guide')} AS guide
+FROM kw_a""", "kw_a")
 SQL["report_status"] = with_ctes("""
 SELECT 'RPPキーワード別12h_' || strftime(d, '%Y%m%d') || '_0900.csv' AS path,
        CASE WHEN d = DATE '2024-01-05' THEN 'rejected' ELSE 'ok' END AS state,

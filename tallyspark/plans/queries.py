@@ -378,6 +378,30 @@ def report_status(spark, d):
     return C.screen_files(_report_lines(_report_files(spark, d)), ["日付"])
 
 
+def report_records(spark, d):
+    """S1 on written files whose cells hold line breaks, quotes and commas: one file a day and part, read by byte blocks."""
+    import uuid
+
+    from tallyspark.session import work_dir
+    from tallyspark.sources import records as RC
+    kw = A.kw_a(spark, d)
+    n = F.col("row_no")
+    kw = kw.withColumn("kw", F.concat("kw", F.when(n % 7 == 0, F.lit(' "a",\r\n b')).when(n % 5 == 0, F.lit("\nline, \n\n end")).otherwise(F.lit(""))))
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("row_no", "date_text", "sku", "kw", "guide")]
+    line = F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in cells])
+    parts = kw.groupBy("d").agg(F.ceil(F.count("*") / PART_LINES).alias("parts")).withColumnRenamed("d", "_d")
+    kw = kw.join(parts, F.col("d") == F.col("_d")).withColumn("part", F.pmod(F.xxhash64("row_no"), F.col("parts")))
+    head = ",".join(f'"{c}"' for c in REPORT_HEADER)
+    lines = kw.select("d", "part", F.lit(1).alias("o"), n, line.alias("value")).unionByName(
+        kw.select("d", "part").distinct().select("d", "part", F.lit(0).alias("o"), F.lit(0).cast("bigint").alias("row_no"), F.lit(head).alias("value")))
+    path = f"{work_dir(spark)}/reports-{uuid.uuid4().hex}"
+    (lines.repartition("d", "part").sortWithinPartitions("d", "part", "o", "row_no").select("d", "part", "value")
+     .write.partitionBy("d", "part").text(path))
+    rows, _ = RC.read_report_records(spark, f"{path}/*/*", required=["日付"])
+    return rows.select(F.col("row_no").cast("bigint").alias("row_no"), F.col("日付").alias("date_text"),
+                       F.col("商品管理番号").alias("sku"), F.col("キーワード").alias("kw"), F.col("目安CPC").alias("guide"))
+
+
 def new_files(spark, d):
     """Event files (type x day) modified since a day and not in the ledger of the days before."""
     from tallyspark.sources.files import new_since
@@ -571,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "first_writer_wins": first_writer_wins,
     "report_ingest": report_ingest,
     "report_status": report_status,
+    "report_records": report_records,
     "new_files": new_files,
     "replace_by_date": replace_by_date,
     "upsert_plan": upsert_plan,

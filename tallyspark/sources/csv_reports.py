@@ -31,6 +31,8 @@ from tallyspark.functions.dates import iso_text
 
 # A quote inside a quoted cell is doubled; a backslash is an ordinary character.
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
+# One record as text: line breaks within its cells stay as written.
+RECORD_OPTIONS = {**CSV_OPTIONS, "multiLine": "true"}
 
 # The text tokens pandas' read_csv turns into NaN by default
 # (they end up as '' in the all-string raw tables).
@@ -111,7 +113,7 @@ def _positional(n: int) -> str:
 def parse_fields(line, names: Sequence[str], sep: str = ",") -> list[Column]:
     """Parse one CSV line into ``names`` (positional), blanks and NA tokens -> ''."""
     c = F.col(line) if isinstance(line, str) else line
-    rec = F.from_csv(c, _positional(len(names)), {"sep": sep, "mode": "PERMISSIVE", **CSV_OPTIONS})
+    rec = F.from_csv(c, _positional(len(names)), {"sep": sep, "mode": "PERMISSIVE", **RECORD_OPTIONS})
     return [blank_na(rec.getField(f"_c{i}")).alias(n) for i, n in enumerate(names)]
 
 
@@ -156,7 +158,7 @@ def parse_with_headers(lines: DataFrame, headers: DataFrame, sep: str = ",",
     layout = F.create_map(*[x for v in variants for x in (F.lit(v), F.array(*[F.lit(n) for n in names_of[v]]))])
     files = headers.select("path", "header_pos", layout[F.col("header")].alias("_names"))
     data = lines.join(files, "path").where((F.col("pos") > F.col("header_pos")) & (F.col("line") != ""))
-    rec = F.from_csv(F.col("line"), _positional(width), {"sep": sep, "mode": "PERMISSIVE", **CSV_OPTIONS})
+    rec = F.from_csv(F.col("line"), _positional(width), {"sep": sep, "mode": "PERMISSIVE", **RECORD_OPTIONS})
     fields = F.array(*[rec.getField(f"_c{i}") for i in range(width)])
     cells = F.map_from_arrays(F.col("_names"), F.slice(fields, 1, F.size("_names")))
     parsed = data.select(cells.alias("_m"), "path", "mtime", "pos")
