@@ -1,16 +1,17 @@
 """Duplicate-safe incremental loads.
 
 The source system pulled the set of already-loaded dates/keys to the client
-and filtered row by row.  Here each rule is one anti join against the target,
-and "first file wins" across many files is one aggregate plus a join, so a
-whole backfill is one job instead of one load per file.
-
-Plan notes: the existing-key side is reduced to distinct keys first (partial
-aggregation), and no broadcast is forced -- AQE turns the join into a
-broadcast when the distinct set is small at run time and keeps a sort-merge
-join otherwise.  Winners per date/key are computed with a ``min`` aggregate
-(collapses map-side) and joined back, never with a window over all rows of a
-date, so a date that holds a third of all rows is not pulled into one task.
+and filtered row by row.  Here a whole backfill is one job instead of one load
+per file.
+
+Plan notes: rules by day (loaded days, the first file of a day) look the day up
+in the stage that reads the rows (``daytable``), so rows are not exchanged by
+date and a day that holds a third of all rows is no hot group.  Rules by key are
+one anti join against the target's distinct keys (partial aggregation first),
+and no broadcast is forced -- AQE turns the join into a broadcast when the
+distinct set is small at run time and keeps a sort-merge join otherwise.
+Winners per date/key are computed with a ``min`` aggregate (collapses map-side),
+never with a window over all rows of a date.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import EXISTING_VALUES_ORDER, iso_text, new_rows_order, normalize_date_chain
 from tallyspark.functions.text import ustrip
+from tallyspark.operators.daytable import day_table
 
 NORM = "__norm__"
 PDATE = "pdate"
@@ -56,6 +58,15 @@ def normalize_rows(rows: DataFrame, date_col: str, order: Sequence[str]) -> Data
     return n.withColumn(date_col, F.col(NORM))
 
 
+def _not_loaded(n: DataFrame, target: DataFrame | None, date_col: str) -> DataFrame:
+    """Normalized rows whose day the target has not, tested in the stage that reads them (a join beyond the table's bounds)."""
+    if target is None:
+        return n
+    loaded = existing_dates(target, date_col)
+    table = day_table(loaded, NORM)
+    return n.join(loaded, NORM, "left_anti") if table is None else table.rows(n, NORM, lambda v: v.isNull())
+
+
 def dedup_by_date(rows: DataFrame, target: DataFrame | None, date_col: str, fmt: str = "rpp_range",
                   order: Sequence[str] | None = None) -> DataFrame:
     """Keep new rows whose normalized date is not in the target yet.
@@ -63,10 +74,12 @@ def dedup_by_date(rows: DataFrame, target: DataFrame | None, date_col: str, fmt:
     In-file duplicates survive (the source system never de-duplicated inside
     a file).
     """
-    n = normalize_rows(rows, date_col, order or new_rows_order(fmt))
-    if target is not None:
-        n = n.join(existing_dates(target, date_col), NORM, "left_anti")
-    return n.drop(NORM)
+    return _not_loaded(normalize_rows(rows, date_col, order or new_rows_order(fmt)), target, date_col).drop(NORM)
+
+
+def day_winners(n: DataFrame, file_rank: str) -> DataFrame:
+    """The lowest file rank of each normalized day (``__win__``)."""
+    return n.groupBy(NORM).agg(F.min(file_rank).alias("__win__"))
 
 
 def first_writer_wins(rows: DataFrame, target: DataFrame | None, date_col: str, file_rank: str,
@@ -76,10 +89,11 @@ def first_writer_wins(rows: DataFrame, target: DataFrame | None, date_col: str,
     ``file_rank`` orders files by (modification time, path).  Dates already in
     the target are taken by nobody.
     """
-    n = normalize_rows(rows, date_col, order or new_rows_order(fmt))
-    if target is not None:
-        n = n.join(existing_dates(target, date_col), NORM, "left_anti")
-    winners = n.groupBy(NORM).agg(F.min(file_rank).alias("__win__"))
+    n = _not_loaded(normalize_rows(rows, date_col, order or new_rows_order(fmt)), target, date_col)
+    winners = day_winners(n, file_rank)
+    table = day_table(winners, NORM, "__win__")
+    if table is not None:
+        return table.rows(n, NORM, lambda v: v == F.col(file_rank)).drop(NORM)
     kept = n.join(winners, (n[NORM] == winners[NORM]) & (n[file_rank] == winners["__win__"]), "left_semi")
     return kept.drop(NORM)
 

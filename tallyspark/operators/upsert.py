@@ -5,8 +5,8 @@ re-fetched and replaced wholesale.  The target holds both date spellings; the
 delete side parses both, the staged side is already ISO.
 
 Two forms:
-* ``replace_by_date`` -- the new table as a DataFrame (anti join on the staged
-  dates + union); used for checks and for table formats without MERGE.
+* ``replace_by_date`` -- the new table as a DataFrame (target rows whose day is not
+  staged, looked up where they are read, + union); for checks and formats without MERGE.
 * ``write_replace_by_date`` -- the physical write: the table is partitioned by
   ``pdate`` (the parsed date, so both spellings of a day share a partition)
   and staged rows go in with dynamic partition overwrite, touching only the
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import iso_text, parse_iso_only, parse_mixed_date
+from tallyspark.operators.daytable import day_table
 from tallyspark.session import checkpoint_dir
 
 PDATE = "pdate"
@@ -52,7 +53,9 @@ def replace_by_date(target: DataFrame, staged: DataFrame, date_col: str = "日
     ok = staged.where(parse_iso_only(F.substring(date_col, 1, 10)).isNotNull())
     rejected = staged.where(parse_iso_only(F.substring(date_col, 1, 10)).isNull())
     dates = staged_dates(ok, date_col)
-    kept = target.join(dates, parse_mixed_date(target[date_col]) == dates["_sd"], "left_anti")
+    table = day_table(dates.select(iso_text("_sd").alias("t")), "t")
+    kept = (target.join(dates, parse_mixed_date(target[date_col]) == dates["_sd"], "left_anti") if table is None
+            else table.rows(target, iso_text(parse_mixed_date(date_col)), lambda v: v.isNull()))
     new = kept.unionByName(align_to_target(ok, target.columns))
     return new, rejected
 

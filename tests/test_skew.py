@@ -32,7 +32,9 @@ def test_first_writer_wins_hot_date(spark):
     out = DD.first_writer_wins(rows, None, "日付", "file_rank")
     plan = _plan(out)
     assert "Window" not in plan                      # no window over all rows of a date
-    assert "partial_min" in plan                     # winners pre-aggregated map-side
+    assert "Join" not in plan and "Exchange" not in plan.split("Subquer")[0]   # nor rows exchanged by date
+    winners = _plan(DD.day_winners(DD.normalize_rows(rows, "日付", DD.new_rows_order("rpp_range")), "file_rank"))
+    assert "Window" not in winners and "partial_min" in winners                # winners pre-aggregated map-side
     # brute force: per date the rows of the lowest rank
     want = rows.groupBy("日付").agg(F.min("file_rank").alias("w")).join(rows, "日付") \
         .where(F.col("w") == F.col("file_rank")).count()
