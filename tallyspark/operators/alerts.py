@@ -92,3 +92,46 @@ def ledger_append(ledger: DataFrame, due: DataFrame, sent_ok: DataFrame, now, *,
            .join(sent_ok.select(F.col(target).alias("_ok")), F.col(target) == F.col("_ok"), "left_semi")
            .select(F.col(target).alias("target"), "digest", now_c.alias("sent_at")))
     return ledger.unionByName(add)
+
+
+def replay(checks: DataFrame, zero: DataFrame | None, *, final_hour: int = FINAL_RETRY_HOUR,
+           exemptible: Sequence[str] = ZERO_DELIVERY_TABLES, order: str = "hour_first", normalize: bool = True,
+           retention_days: int = LEDGER_RETENTION_DAYS) -> DataFrame:
+    """Q7-Q9 over a whole history of runs: what each run decided, with the ledger its predecessors left.
+
+    ``checks`` has (run_at, target, labels, send_ok): the labels missing at that run (none: complete) and whether a
+    message sent then arrives; ``zero`` has (target, is_zero).  An entry (target, digest) is written by a
+    successful send only and forgotten ``retention_days`` later, so entries of different (target, digest) never
+    touch each other: each is one ordered fold over its runs.  Returns (run_at, target, missing, digest,
+    decision, expired, last_sent): ``expired`` marks a send whose earlier entry was forgotten, ``last_sent`` is the
+    entry after the run.
+    """
+    if order not in ("hour_first", "exempt_first"):
+        raise ValueError(order)
+    plain = F.transform("labels", strip_dynamic_suffix) if normalize else F.col("labels")
+    c = checks.select("run_at", "target", F.array_sort(F.array_distinct("labels")).alias("labels"), F.array_sort(F.array_distinct(plain)).alias("names"), "send_ok")
+    if zero is None:
+        c = c.withColumn("is_zero", F.lit(False))
+    else:
+        c = c.join(zero.select("target", "is_zero"), "target", "left")
+    ex = F.array(*[F.lit(t) for t in exemptible])
+    exempt = F.forall("names", lambda n: F.array_contains(ex, n)) & F.coalesce("is_zero", F.lit(False))
+    early = F.hour("run_at") < final_hour
+    first, second = ((early, "hold"), (exempt, "exempt_zero_delivery")) if order == "hour_first" else ((exempt, "exempt_zero_delivery"), (early, "hold"))
+    known = F.when(F.size("names") == 0, "complete").when(*first).when(*second)      # NULL: the ledger decides
+    run = F.struct("run_at", F.array_join("labels", ",").alias("missing"), known.alias("known"), F.coalesce("send_ok", F.lit(False)).alias("ok"))
+    runs = c.groupBy("target", digest8(F.col("names")).alias("digest")).agg(F.sort_array(F.collect_list(run)).alias("runs"))
+    out_type = "array<struct<run_at:timestamp,missing:string,decision:string,expired:boolean,last_sent:timestamp>>"
+    acc_type = f"struct<last:timestamp,out:{out_type}>"
+
+    def step(acc, r):
+        live = acc["last"].isNotNull() & (acc["last"] >= r["run_at"] - F.expr(f"INTERVAL {int(retention_days)} DAYS"))
+        decision = F.when(r["known"].isNotNull(), r["known"]).when(live, "already_sent").otherwise("send")
+        last = F.when((decision == "send") & r["ok"], r["run_at"]).otherwise(acc["last"])
+        row = F.struct(r["run_at"].alias("run_at"), r["missing"].alias("missing"), decision.alias("decision"),
+                       ((decision == "send") & acc["last"].isNotNull()).alias("expired"), last.alias("last_sent"))
+        return F.struct(last.alias("last"), F.concat(acc["out"], F.array(row)).alias("out")).cast(acc_type)
+
+    start = F.struct(F.lit(None).cast("timestamp").alias("last"), F.array().cast(out_type).alias("out")).cast(acc_type)
+    folded = runs.select("target", "digest", F.explode(F.aggregate("runs", start, step, lambda a: a["out"])).alias("r"))
+    return folded.select("r.run_at", "target", "r.missing", "digest", "r.decision", "r.expired", "r.last_sent")

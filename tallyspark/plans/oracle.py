@@ -666,3 +666,52 @@ UNION ALL SELECT d, 'raw_item(data_check_failed)' FROM status WHERE tbl = 'raw_i
 SQL["day_verdict"] = with_ctes("""
 SELECT d.d, COALESCE(string_agg(w.label, ',' ORDER BY w.label), '') AS labels, count(w.label) AS n_wrong, count(w.label) = 0 AS complete
 FROM (SELECT DISTINCT d FROM status) d LEFT JOIN wrong w ON w.d = d.d GROUP BY d.d""", "status", "wrong")
+
+
+# Q7-Q9 replayed: one recursion step per run of a (target, digest)
+def _replay_cte(kind: str, kinds: str, hours: int, runs: str, first: int, days: int, missing: str, names: str, zero_day: str, exempt: str, order: str) -> str:
+    exempted = f"WHEN list_has_all([{exempt}], names) AND COALESCE(is_zero, false) THEN 'exempt_zero_delivery'"
+    early = "WHEN hour < 15 THEN 'hold'"
+    return f"""
+{kind}_a AS (
+  SELECT CAST(ts AS DATE) AS day, CASE event_type {kinds} END AS label, sum(event_id) % CASE WHEN event_type = 'error' THEN 1000 ELSE {hours} END AS h
+  FROM events GROUP BY 1, 2, event_type HAVING label IS NOT NULL),
+{kind}_r AS (
+  SELECT day, k, hour, (k + {first} - 1) * 24 + hour AS after, (k * 7 + hour) % 5 <> 0 AS ok
+  FROM (SELECT DISTINCT day FROM {kind}_a), range({days}) t(k), (SELECT unnest([{runs}]) AS hour)),
+{kind}_m AS (
+  SELECT r.day, r.hour, r.after, r.ok, list_sort(COALESCE(list({missing}) FILTER (WHERE a.h > r.after + {24 if first == 0 else 0}), [])) AS labels
+  FROM {kind}_r r JOIN {kind}_a a ON a.day = r.day GROUP BY r.day, r.k, r.hour, r.after, r.ok),
+{kind}_n AS (SELECT m.*, {names} AS names FROM {kind}_m m),
+{kind}_k AS (
+  SELECT n.day, n.after, n.ok, array_to_string(labels, ',') AS missing, substr(md5(array_to_string(names, '|')), 1, 8) AS digest,
+         CASE WHEN len(names) = 0 THEN 'complete' {early if order == 'hour_first' else exempted} {exempted if order == 'hour_first' else early} END AS known
+  FROM {kind}_n n LEFT JOIN zero_days z ON z.day = n.day - {zero_day}),
+{kind}_o AS (SELECT *, row_number() OVER (PARTITION BY day, digest ORDER BY after) AS i FROM {kind}_k),
+{kind}_f AS (
+  SELECT day, digest, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS last, CAST(NULL AS VARCHAR) AS decision, false AS expired,
+         CAST(NULL AS VARCHAR) AS missing, CAST(NULL AS BIGINT) AS after
+  FROM (SELECT DISTINCT day, digest FROM {kind}_o)
+  UNION ALL
+  SELECT o.day, o.digest, o.i, CASE WHEN d.decision = 'send' AND o.ok THEN o.after ELSE f.last END,
+         d.decision, d.decision = 'send' AND f.last IS NOT NULL, o.missing, o.after
+  FROM {kind}_f f JOIN {kind}_o o ON o.day = f.day AND o.digest = f.digest AND o.i = f.i + 1,
+       LATERAL (SELECT CASE WHEN o.known IS NOT NULL THEN o.known WHEN f.last >= o.after - 168 THEN 'already_sent' ELSE 'send' END AS decision) d)"""
+
+
+def _replay_sql() -> str:
+    at = "strftime(CAST(day AS TIMESTAMP) + INTERVAL 1 HOUR * ({x} + 24), '%Y-%m-%d %H:%M:%S')"
+    tables = _replay_cte(
+        "t", "WHEN 'view' THEN 'raw_shohin_betsu' WHEN 'click' THEN 'raw_keyword' WHEN 'purchase' THEN 'raw_rppexp' WHEN 'signup' THEN 'raw_item' WHEN 'error' THEN 'raw_affi'",
+        60, "9, 15, 18", 1, 10, "CASE WHEN a.label = 'raw_affi' THEN 'raw_affi(stale ' || CAST(r.after + 24 AS VARCHAR) || '.0h)' ELSE a.label END",
+        "list_sort([split_part(x, '(', 1) for x in m.labels])", "0", "'raw_shohin_betsu', 'raw_keyword'", "hour_first")
+    files = _replay_cte(
+        "f", "WHEN 'view' THEN '商品別RPP' WHEN 'click' THEN 'KW実績' WHEN 'purchase' THEN 'RPP費用' WHEN 'signup' THEN 'カルテ'",
+        20, "9, 15, 17, 20", 0, 1, "a.label", "m.labels", "1", "'商品別RPP', 'KW実績'", "exempt_first")
+    parts = [f"SELECT '{kind}' AS kind, {at.format(x='after')} AS run_at, strftime(day, '%Y-%m-%d') AS target, missing, digest, decision, expired, "
+             f"{at.format(x='last')} AS last_sent FROM {name}_f WHERE i > 0" for kind, name in (("tables", "t"), ("files", "f"))]
+    zero = "zero_days AS (SELECT CAST(ts AS DATE) AS day, count(*) % 3 = 0 AS is_zero FROM events WHERE event_type = 'purchase' GROUP BY 1)"
+    return f"WITH RECURSIVE {zero},{tables},{files}\n" + "\nUNION ALL\n".join(parts)
+
+
+SQL["alert_replay"] = _replay_sql()

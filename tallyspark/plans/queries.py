@@ -560,6 +560,55 @@ def alert_policy_files(spark, d):
     return AL.alerts_due(sets, zero, ledger, NOW_EARLY, order="exempt_first")
 
 
+REPLAY_TABLES = ("raw_shohin_betsu", "raw_keyword", "raw_rppexp", "raw_item", "raw_affi")
+REPLAY_FILES = ("商品別RPP", "KW実績", "RPP費用", "カルテ")
+
+
+def _arrivals(spark, d, labels, hours):
+    """(target, arrived): per day the hour, counted from the day's end, at which each label's rows are there.
+
+    The n-th event type stands for the n-th label; its hour comes from the day's event ids (the last one's may
+    lie weeks ahead).
+    """
+    kinds = ("view", "click", "purchase", "signup", "error")
+    e = A.read(spark, d, "events").where(F.col("event_type").isin(*kinds[:len(labels)]))
+    per = e.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.pmod(F.sum("event_id"), F.when(F.col("event_type") == "error", 1000).otherwise(hours)).alias("h"))
+    label = F.create_map(*[x for k, n in zip(kinds, labels) for x in (F.lit(k), F.lit(n))])[F.col("event_type")]
+    return per.groupBy("day").agg(F.collect_list(F.struct(label.alias("label"), "h")).alias("arrived"))
+
+
+def _run_rows(days, run_days, hours, first_day):
+    """One row per day and run: ``hours`` o'clock on each of ``run_days`` days from ``first_day`` days after the day."""
+    run = F.explode(F.sequence(F.lit(0), F.lit(run_days - 1)))
+    runs = days.select("*", run.alias("k")).select("*", F.explode(F.array(*[F.lit(h) for h in hours])).alias("hour"))
+    after = (F.col("k") + first_day - 1) * 24 + F.col("hour")           # hours since the day's end
+    at = F.timestamp_seconds(F.unix_seconds(F.to_timestamp("day")) + (after + 24) * 3600)
+    return runs.select(at.alias("run_at"), F.date_format("day", "yyyy-MM-dd").alias("target"), "arrived", after.alias("after"),
+                       ((F.col("k") * 7 + F.col("hour")) % 5 != 0).alias("send_ok"))
+
+
+def alert_replay(spark, d):
+    """Q7-Q9 replayed: three runs a day for ten days after each day (tables), four runs on the day itself (files).
+
+    The affiliate table's label carries a changing suffix (``raw_affi(stale 40.0h)``).
+    """
+    zero = (A.read(spark, d, "events").where(F.col("event_type") == "purchase").groupBy(F.to_date("ts").alias("day"))
+            .agg((F.count("*") % 3 == 0).alias("is_zero")))
+    tables = _run_rows(_arrivals(spark, d, REPLAY_TABLES, 60), 10, (9, 15, 18), 1)
+    named = F.transform(F.filter("arrived", lambda x: x["h"] > F.col("after")), lambda x: F.when(
+        x["label"] == "raw_affi", F.concat(F.lit("raw_affi(stale "), (F.col("after") + 24).cast("string"), F.lit(".0h)"))).otherwise(x["label"]))
+    files = _run_rows(_arrivals(spark, d, REPLAY_FILES, 20), 1, (9, 15, 17, 20), 0)
+    late = F.transform(F.filter("arrived", lambda x: x["h"] > F.col("after") + 24), lambda x: x["label"])
+    by_day = zero.select(F.date_format("day", "yyyy-MM-dd").alias("target"), "is_zero")
+    by_next = zero.select(F.date_format(F.date_add("day", 1), "yyyy-MM-dd").alias("target"), "is_zero")
+    t = AL.replay(tables.select("run_at", "target", named.alias("labels"), "send_ok"), by_day)
+    f = AL.replay(files.select("run_at", "target", late.alias("labels"), "send_ok"), by_next, order="exempt_first", normalize=False,
+                  exemptible=("商品別RPP", "KW実績"))
+    out = t.withColumn("kind", F.lit("tables")).unionByName(f.withColumn("kind", F.lit("files")))
+    text = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("run_at", "last_sent")]
+    return out.select("kind", text[0], "target", "missing", "digest", "decision", "expired", text[1])
+
+
 QUERIES: dict[str, Query] = {
     "unmatched_sku_all": unmatched_sku_all,
     "match_status_day": match_status_day,
@@ -612,4 +661,5 @@ QUERIES: dict[str, Query] = {
     "column_probe": column_probe,
     "alert_policy": alert_policy,
     "alert_policy_files": alert_policy_files,
+    "alert_replay": alert_replay,
 }
