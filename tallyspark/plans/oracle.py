@@ -638,6 +638,27 @@ SELECT row_no, {_cell('date_text')} AS date_text, {_cell('sku')} AS sku,
                   WHEN row_no % 5 = 0 THEN chr(10) || 'line, ' || chr(10) || chr(10) || ' end' ELSE '' END AS kw,
        {_cell('guide')} AS guide
 FROM kw_a""", "kw_a")
+SQL["affiliate_ingest"] = with_ctes("""
+SELECT order_no, occurred, 'n, "x"' AS name, CAST(length(occurred) AS VARCHAR) AS amount, '' AS reward, status, 'pending_6.csv' AS path
+FROM affi_a WHERE CAST(order_no AS BIGINT) % 10 = 6 AND CAST(order_no AS BIGINT) % 3 <> 0""", "affi_a")
+SQL["affiliate_status"] = with_ctes("""
+SELECT 'pending_' || k || '.csv' AS path, CASE WHEN k IN ('0', '6') THEN 'ok' ELSE 'rejected' END AS state,
+       CASE k WHEN '7' THEN 'columns 12 < 13' WHEN '8' THEN 'quoted line break' WHEN '9' THEN 'no data lines' END AS reason
+FROM (SELECT DISTINCT CASE WHEN CAST(order_no AS BIGINT) % 10 < 6 THEN '0' ELSE CAST(CAST(order_no AS BIGINT) % 10 AS VARCHAR) END AS k FROM affi_a)""", "affi_a")
+_EXPANSION = """
+WITH e AS (SELECT event_id, CAST(ts AS DATE) AS day, 'u' || CAST(user_id % 50 AS VARCHAR) AS item, user_id % 50 AS u,
+                  CASE WHEN event_id % 3 = 0 THEN '1000' ELSE '0900' END AS gen
+           FROM events WHERE event_type = 'purchase'),
+f AS (SELECT *, 'RPPEXP商品別_' || strftime(day, '%Y%m%d') || '_' || gen || '.csv' AS path FROM e)"""
+SQL["expansion_ingest"] = _EXPANSION + """,
+t AS (SELECT DISTINCT day, item FROM e WHERE day <= DATE '2024-01-07' AND u % 2 = 0),
+new AS (SELECT * FROM f WHERE day <> DATE '2024-01-05' AND NOT EXISTS (SELECT 1 FROM t WHERE t.day = f.day AND t.item = f.item)),
+won AS (SELECT day, item, min(gen) AS gen FROM new GROUP BY 1, 2)
+SELECT strftime(new.day, '%Y-%m-%d') AS date_text, new.item, CAST(event_id AS VARCHAR) AS amount, path
+FROM new JOIN won ON won.day = new.day AND won.item = new.item AND won.gen = new.gen"""
+SQL["expansion_status"] = _EXPANSION + """
+SELECT DISTINCT path, CASE WHEN day = DATE '2024-01-05' THEN 'rejected' ELSE 'ok' END AS state,
+       CASE WHEN day = DATE '2024-01-05' THEN 'columns 3 < 18' END AS reason FROM f"""
 SQL["report_status"] = with_ctes("""
 SELECT 'RPPキーワード別12h_' || strftime(d, '%Y%m%d') || '_0900.csv' AS path,
        CASE WHEN d = DATE '2024-01-05' THEN 'rejected' ELSE 'ok' END AS state,

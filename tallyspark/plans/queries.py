@@ -378,6 +378,95 @@ def report_status(spark, d):
     return C.screen_files(_report_lines(_report_files(spark, d)), ["日付"])
 
 
+def _content(df, file_cols, order, head, part_lines=PART_LINES):
+    """Report files as content cells: (path, part, modificationTime, length, content); part 0 is ``head`` (text per file).
+
+    ``df`` has path, mtime, ``order`` and line; other parts hold about ``part_lines`` lines each.
+    """
+    files = df.groupBy("path").agg(F.max("mtime").alias("mtime"), F.ceil(F.count("*") / part_lines).alias("parts"), *file_cols)
+    lines = df.join(files.select(F.col("path").alias("_p"), "parts", F.col("mtime").alias("_m")), F.col("path") == F.col("_p"))
+    part = (F.pmod(F.xxhash64(order), F.col("parts")) + 1).alias("part")
+    text = F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct(order, "line"))), lambda x: x["line"]))
+    body = lines.groupBy("path", part).agg(F.max("_m").alias("mtime"), text.alias("t"))
+    every = body.unionByName(files.select("path", F.lit(0).cast("bigint").alias("part"), "mtime", head.alias("t")))
+    return every.select("path", "part", F.col("mtime").alias("modificationTime"), F.length("t").cast("bigint").alias("length"), F.encode("t", "UTF-8").alias("content"))
+
+
+def _affiliate_files(spark, d):
+    """Affiliate files by the last digit of the order: 0-5 and 6 whole (6 is the newest), 7 a column short, 8 a cell with a line break, 9 preamble only."""
+    from tallyspark.sources.csv_reports import AFFILIATE_SKIPROWS
+    k = F.col("order_no").cast("bigint") % 10
+    a = A.affi_a(spark, d).withColumn("kind", F.when(k < 6, F.lit(0)).otherwise(k))
+    text = [F.col("occurred"), F.lit("a"), F.lit('"n, ""x"""'), F.lit("g"), F.concat(F.lit(" "), F.col("order_no"), F.lit(" ")), F.lit(""),
+            F.length("occurred").cast("string"), F.lit("1%"), F.lit("N/A"), F.col("status"), F.lit("pc"), F.lit("sp")]
+    line = F.concat_ws(",", *text, F.when(F.col("kind") != 7, F.lit("item")))
+    line = F.when(F.col("kind") == 8, F.concat(line, F.lit('"open'))).otherwise(line)
+    rows = a.select(F.concat(F.lit("pending_"), F.col("kind").cast("string"), F.lit(".csv")).alias("path"),
+                    F.timestamp_seconds(F.lit(1_700_000_000) + F.when(F.col("kind") == 6, 60).otherwise(F.col("kind"))).alias("mtime"),
+                    "kind", "order_no", F.when(F.col("kind") != 9, line).alias("line"))
+    head = F.lit("\n".join(f"preamble {i}" for i in range(AFFILIATE_SKIPROWS)))
+    return _report_lines(_content(rows, [], "order_no", head))
+
+
+def affiliate_ingest(spark, d):
+    """The newest affiliate file that can be read; order numbers not loaded yet (every third one is)."""
+    from tallyspark.sources import csv_reports as C
+    from tallyspark.sources.files import latest_file
+    lines = _affiliate_files(spark, d)
+    newest = latest_file(lines.groupBy("path").agg(F.max("mtime").alias("mtime"))).select("path")
+    rows, _ = C.affiliate_from_lines(lines.join(newest, "path", "left_semi"))
+    target = A.affi_a(spark, d).where(F.col("order_no").cast("bigint") % 3 == 0).select(F.col("order_no").alias("受注番号"))
+    new = DD.dedup_by_key(rows, target, "受注番号")
+    return new.select(F.col("受注番号").alias("order_no"), F.col("成果発生日時").alias("occurred"), F.col("商品名").alias("name"),
+                      F.col("売上金額").alias("amount"), F.col("成果報酬").alias("reward"), F.col("ステータス").alias("status"), F.col("source_file").alias("path"))
+
+
+def affiliate_status(spark, d):
+    """One row for every affiliate file, also for those without a data line."""
+    from tallyspark.sources import csv_reports as C
+    return C.affiliate_from_lines(_affiliate_files(spark, d))[1]
+
+
+def _expansion_files(spark, d):
+    """Expansion files: two generations a day, dates in four spellings, a header that is replaced; one day's files have short rows."""
+    from tallyspark.sources.csv_reports import EXPANSION_COLUMNS, EXPANSION_SKIPROWS
+    e = A.read(spark, d, "events").where("event_type = 'purchase'").withColumn("day", F.to_date("ts"))
+    k = F.col("event_id") % 4
+    date = (F.when(k == 0, F.date_format("day", "yyyy年M月d日")).when(k == 1, D.jp_range_text("day"))
+            .when(k == 2, F.date_format("day", "yyyy/M/d 9:05")).otherwise(D.iso_text("day")))
+    gen = F.when(F.col("event_id") % 3 == 0, F.lit("1000")).otherwise(F.lit("0900"))
+    cells = [date, F.lit("url"), F.concat(F.lit(" u"), (F.col("user_id") % 50).cast("string")), F.col("event_id").cast("string")]
+    line = F.concat_ws(",", *cells, *[F.lit(str(i)) for i in range(len(EXPANSION_COLUMNS) - len(cells) - 1)],
+                       F.when(F.col("day") != F.to_date(F.lit(BROKEN_DAY)), F.lit("end")))
+    rows = e.select(F.concat(F.lit("RPPEXP商品別_"), F.date_format("day", "yyyyMMdd"), F.lit("_"), gen, F.lit(".csv")).alias("path"),
+                    F.to_timestamp(F.concat(D.iso_text("day"), F.lit(" "), gen), "yyyy-MM-dd HHmm").alias("mtime"), "event_id", line.alias("line"), "day")
+    # the header line comes right after the preamble
+    head = F.concat(F.lit("\n".join(f"p{i}" for i in range(EXPANSION_SKIPROWS))), F.lit("\n"),
+                    F.concat_ws(",", *[F.lit(f"h{i}") for i in range(len(EXPANSION_COLUMNS))]))
+    short = F.concat(F.lit("\n".join(f"p{i}" for i in range(EXPANSION_SKIPROWS))), F.lit("\nh0,h1,h2"))
+    return _report_lines(_content(rows, [F.max("day").alias("day")], "event_id", F.when(F.col("day") == F.to_date(F.lit(BROKEN_DAY)), short).otherwise(head)))
+
+
+def expansion_ingest(spark, d):
+    """Expansion files of all days; (date, item) pairs not loaded yet, each to the first file that has it."""
+    from tallyspark.sources import csv_reports as C
+    from tallyspark.sources.files import with_file_rank
+    lines = _expansion_files(spark, d)
+    rows, _ = C.expansion_from_lines(lines)
+    ranked = with_file_rank(lines.groupBy("path").agg(F.max("mtime").alias("mtime"))).select(F.col("path").alias("source_file"), "file_rank")
+    target = (A.read(spark, d, "events").where("event_type = 'purchase'").where(F.to_date("ts") <= F.to_date(F.lit(LOADED_UNTIL)))
+              .select(D.iso_text(F.to_date("ts")).alias("日付"), F.concat(F.lit("u"), (F.col("user_id") % 50).cast("string")).alias("商品管理番号")))
+    target = target.where(F.expr("substr(`商品管理番号`, 2) % 2 = 0"))
+    new = DD.dedup_by_composite(rows.join(ranked, "source_file"), target, "日付", "商品管理番号", file_rank="file_rank")
+    return new.select(F.col("日付").alias("date_text"), F.col("商品管理番号").alias("item"), F.col("実績額").alias("amount"), F.col("source_file").alias("path"))
+
+
+def expansion_status(spark, d):
+    """One row for every expansion file."""
+    from tallyspark.sources import csv_reports as C
+    return C.expansion_from_lines(_expansion_files(spark, d))[1]
+
+
 def report_records(spark, d):
     """S1 on written files whose cells hold line breaks, quotes and commas: one file a day and part, read by byte blocks."""
     import uuid
@@ -645,6 +734,10 @@ QUERIES: dict[str, Query] = {
     "report_ingest": report_ingest,
     "report_status": report_status,
     "report_records": report_records,
+    "affiliate_ingest": affiliate_ingest,
+    "affiliate_status": affiliate_status,
+    "expansion_ingest": expansion_ingest,
+    "expansion_status": expansion_status,
     "new_files": new_files,
     "replace_by_date": replace_by_date,
     "upsert_plan": upsert_plan,

@@ -239,42 +239,57 @@ def parse_header_lines(lines: DataFrame, required: Sequence[str] = (), sep: str
 
 
 def _preamble_files(lines: DataFrame, skiprows: int, expected: int, header: bool):
-    """Per file: first non-blank line after ``skiprows`` and its field count."""
-    body = lines.where((F.col("pos") >= skiprows) & (F.col("line") != ""))
-    first = body.groupBy("path").agg(F.min_by(F.struct("pos", "line"), F.col("pos")).alias("f"))
-    first = first.select("path", F.col("f.pos").alias("first_pos"), field_count("f.line").alias("n_fields"))
-    status = first.select("path", F.when(F.col("n_fields") < expected, "rejected").otherwise("ok").alias("state"),
-                          F.when(F.col("n_fields") < expected,
-                                 F.concat(F.lit("columns "), F.col("n_fields").cast("string"), F.lit(" < "),
-                                          F.lit(str(expected)))).alias("reason"))
-    good = first.where(F.col("n_fields") >= expected)
+    """(data lines, status of every file): a file is judged by its lines after ``skiprows``.
+
+    ``rejected``: no line after the preamble, a first line of too few fields, or a quoted line break.
+    """
+    body = (F.col("pos") >= skiprows) & (F.col("line") != "")
+    first = F.min_by(F.when(body, F.struct("pos", "line")), F.when(body, F.col("pos")))
+    per = lines.groupBy("path").agg(first.alias("f"), F.max(F.when(body, _odd_quotes(F.col("line")).cast("int"))).alias("odd"))
+    n = field_count("f.line")
+    reason = (F.when(F.col("f").isNull(), "no data lines")
+              .when(n < expected, F.concat(F.lit("columns "), n.cast("string"), F.lit(" < "), F.lit(str(expected))))
+              .when(F.col("odd") == 1, "quoted line break"))
+    per = per.select("path", F.col("f.pos").alias("first_pos"), reason.alias("reason"))
     start = F.col("pos") > F.col("first_pos") if header else F.col("pos") >= F.col("first_pos")
-    data = body.join(good, "path").where(start)
-    return data, status
+    data = lines.where(body).join(per.where(F.col("reason").isNull()).select("path", "first_pos"), "path").where(start)
+    return data, per.select("path", F.when(F.col("reason").isNull(), "ok").otherwise("rejected").alias("state"), "reason")
+
+
+def _preamble_rows(lines: DataFrame, skiprows: int, columns: Sequence[str], header: bool):
+    data, status = _preamble_files(lines, skiprows, len(columns), header)
+    return data.select(*parse_fields("line", columns), F.col("path").alias("source_file"), F.col("mtime").alias("source_mtime")), status
+
+
+def affiliate_from_lines(lines: DataFrame, skiprows: int = AFFILIATE_SKIPROWS, columns: Sequence[str] = AFFILIATE_COLUMNS):
+    """S2 on numbered lines: skip the preamble, no header, name by position; (rows, status of every file); extra fields are cut."""
+    return _preamble_rows(lines, skiprows, columns, header=False)
+
+
+def expansion_from_lines(lines: DataFrame, skiprows: int = EXPANSION_SKIPROWS, columns: Sequence[str] = EXPANSION_COLUMNS):
+    """S3 on numbered lines: skip the preamble, drop the file's header line, name by position; (rows, status of every file)."""
+    return _preamble_rows(lines, skiprows, columns, header=True)
 
 
 def read_affiliate(spark: SparkSession, paths, encoding: str = "UTF-8",
                    skiprows: int = AFFILIATE_SKIPROWS, columns: Sequence[str] = AFFILIATE_COLUMNS):
-    """Skip the preamble, no header, name by position; (rows, file status).
-
-    A file whose first data line has fewer fields than expected is rejected;
-    extra fields are cut.
-    """
-    lines = read_lines(spark, paths, encoding)
-    data, status = _preamble_files(lines, skiprows, len(columns), header=False)
-    rows = data.select(*parse_fields("line", columns), F.col("path").alias("source_file"),
-                       F.col("mtime").alias("source_mtime"))
-    return rows, status
+    """S2 on files."""
+    return affiliate_from_lines(read_lines(spark, paths, encoding), skiprows, columns)
 
 
 def read_expansion(spark: SparkSession, paths, encoding: str = "UTF-8",
                    skiprows: int = EXPANSION_SKIPROWS, columns: Sequence[str] = EXPANSION_COLUMNS):
-    """S3: skip the preamble, drop the file's header line, name by position; (rows, file status)."""
-    lines = read_lines(spark, paths, encoding)
-    data, status = _preamble_files(lines, skiprows, len(columns), header=True)
-    rows = data.select(*parse_fields("line", columns), F.col("path").alias("source_file"),
-                       F.col("mtime").alias("source_mtime"))
-    return rows, status
+    """S3 on files."""
+    return expansion_from_lines(read_lines(spark, paths, encoding), skiprows, columns)
+
+
+def _screened(lines: DataFrame, status: DataFrame, header_pos: int = 0):
+    """(lines of files that stay, status) after the data lines of the ``ok`` files were screened against their header."""
+    ok = lines.join(status.where("state = 'ok'").select("path"), "path", "left_semi")
+    found = screen_files(ok, header_pos=header_pos).where("state = 'rejected'").select("path", F.col("reason").alias("_why"))
+    status = status.join(found, "path", "left").select(
+        "path", F.when(F.col("_why").isNotNull(), "rejected").otherwise(F.col("state")).alias("state"), F.coalesce("_why", "reason").alias("reason"))
+    return lines.join(status.where("state <> 'rejected'").select("path"), "path", "left_semi"), status
 
 
 def clean_report_lines(lines: DataFrame, marker: str = AD_HEADER_MARKER):
@@ -292,57 +307,70 @@ def clean_report_lines(lines: DataFrame, marker: str = AD_HEADER_MARKER):
                        "line"), status
 
 
-def read_ad_report(spark: SparkSession, paths, encoding: str = "MS932", sep: str = ","):
-    """S4 + S1: cp932 ad report as downloaded -> parsed rows and file status."""
-    kept, status = clean_report_lines(read_lines(spark, paths, encoding))
+def ad_report_from_lines(lines: DataFrame, sep: str = ","):
+    """S4 + S1 on numbered lines: (rows, status); a file without the marker is kept whole, one with too wide a line is rejected."""
+    kept, status = clean_report_lines(lines)
+    kept, status = _screened(kept, status.withColumn("reason", F.lit(None).cast("string")))
     return parse_with_headers(kept, header_at(kept, 0), sep), status
 
 
-def read_page_analysis(spark: SparkSession, paths, encoding: str = "UTF-8", sep: str = ","):
-    """Date from line 3 field 2, header line 6, data from line 7, each row prefixed with the date.
+def read_ad_report(spark: SparkSession, paths, encoding: str = "MS932", sep: str = ","):
+    """S4 + S1 on files: cp932 ad reports as downloaded."""
+    return ad_report_from_lines(read_lines(spark, paths, encoding), sep)
+
+
+def page_analysis_from_lines(lines: DataFrame, sep: str = ","):
+    """S5 on numbered lines: date from line 3 field 2, header line 6, data from line 7, each row prefixed with the date.
 
-    Files with fewer than 7 lines or without a date are rejected.
+    Files with fewer than 7 lines, without a date or with a line wider than the header are rejected.
     """
-    lines = read_lines(spark, paths, encoding)
     per_file = lines.groupBy("path").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.max(F.when(F.col("pos") == 2, F.regexp_extract(F.split_part(F.col("line"), F.lit(","), F.lit(2)),
                                                         r"(\d{4}年\d{2}月\d{2}日)", 1))).alias("jp"))
     d = F.try_to_date(F.nullif(F.col("jp"), F.lit("")), "yyyy年MM月dd日")
     per_file = per_file.withColumn("report_date", iso_text(d))
-    status = per_file.select("path", F.when(F.col("n_lines") < 7, "rejected").when(F.col("report_date").isNull(),
-                                                                                       "rejected").otherwise("ok")
-                             .alias("state"),
-                             F.when(F.col("n_lines") < 7, "fewer than 7 lines")
-                              .when(F.col("report_date").isNull(), "no date in line 3").alias("reason"))
+    reason = F.when(F.col("n_lines") < 7, "fewer than 7 lines").when(F.col("report_date").isNull(), "no date in line 3")
+    status = per_file.select("path", F.when(reason.isNull(), "ok").otherwise("rejected").alias("state"), reason.alias("reason"))
     good = per_file.where((F.col("n_lines") >= 7) & F.col("report_date").isNotNull()).select("path", "report_date")
     j = lines.join(good, "path")
     prefixed = j.select("path", "mtime", "size", "pos",
                         F.when(F.col("pos") == 5, F.concat(F.lit(PAGE_DATE_COLUMN + sep), F.col("line")))
                          .otherwise(F.concat(F.col("report_date"), F.lit(sep), F.col("line"))).alias("line"))
-    body = prefixed.where(F.col("pos") >= 5)
+    body, status = _screened(prefixed.where(F.col("pos") >= 5), status, 5)
     return parse_with_headers(body, header_at(body, 5), sep), status
 
 
-def read_action_list(spark: SparkSession, paths, report_date: str | None = None, encoding: str = "MS932",
-                     sep: str = ","):
-    """Header line 3, data from line 4, rows prefixed with the report date.
+def read_page_analysis(spark: SparkSession, paths, encoding: str = "UTF-8", sep: str = ","):
+    """S5 on files."""
+    return page_analysis_from_lines(read_lines(spark, paths, encoding), sep)
+
+
+def action_list_from_lines(lines: DataFrame, report_date: str | None = None, sep: str = ","):
+    """S6 on numbered lines: header line 3, data from line 4, rows prefixed with the report date.
 
     The date comes from ``report_date`` or else the first ``_yyyymmdd`` in the
-    file name.  Files with fewer than 4 lines are rejected.
+    file name.  Files with fewer than 4 lines or a line wider than the header are rejected.
     """
-    lines = read_lines(spark, paths, encoding)
     if report_date is not None:
         d = F.lit(report_date)
     else:
         d = iso_text(F.try_to_date(F.regexp_extract(F.col("path"), r"_(\d{8})", 1), "yyyyMMdd"))
     n = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n_lines"))
-    status = n.select("path", F.when(F.col("n_lines") < 4, "rejected").otherwise("ok").alias("state"))
+    reason = F.when(F.col("n_lines") < 4, "fewer than 4 lines")
+    status = n.select("path", F.when(reason.isNull(), "ok").otherwise("rejected").alias("state"), reason.alias("reason"))
     j = lines.join(n.where(F.col("n_lines") >= 4), "path").where(F.col("pos") >= 2)
     prefixed = j.select("path", "mtime", "size", "pos",
                         F.when(F.col("pos") == 2, F.concat(F.lit(PAGE_DATE_COLUMN + sep), F.col("line")))
                          .otherwise(F.concat(d, F.lit(sep), F.col("line"))).alias("line"))
-    return parse_with_headers(prefixed, header_at(prefixed, 2), sep), status
+    body, status = _screened(prefixed, status, 2)
+    return parse_with_headers(body, header_at(body, 2), sep), status
+
+
+def read_action_list(spark: SparkSession, paths, report_date: str | None = None, encoding: str = "MS932",
+                     sep: str = ","):
+    """S6 on files."""
+    return action_list_from_lines(read_lines(spark, paths, encoding), report_date, sep)
 
 
 def daily_totals_scan(spark: SparkSession, paths, encoding: str = "MS932") -> DataFrame:

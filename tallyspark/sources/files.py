@@ -19,7 +19,10 @@ REPORT_TZ = "Asia/Tokyo"
 
 
 def list_files(spark: SparkSession, glob_path: str, recursive: bool = False) -> DataFrame:
-    """(path, name, mtime, size) of matching files; file contents are not read."""
+    """(path, name, mtime, size) of matching files; file contents are not read.
+
+    Files of 0 bytes are not listed: Spark's file sources give no rows for them.
+    """
     r = spark.read.format("binaryFile")
     if recursive:
         r = r.option("recursiveFileLookup", "true")
