@@ -10,6 +10,7 @@ built with generators (``explode(sequence)`` x ``explode(array)``), not joins.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.dates import age_days, as_date, date_spine, iso_text, parse_iso_only
 from tallyspark.functions.numbers import safe_bigint
 from tallyspark.functions.text import non_blank
+from tallyspark.session import materialized
 
 DateParser = Callable[[str], Column]
 
@@ -82,6 +84,33 @@ def missing_dates(spark: SparkSession, tables: Mapping[str, tuple[DataFrame | No
     return out.orderBy("tbl", "missing_date")     # O6: a handful of rows
 
 
+def checked_missing_dates(spark: SparkSession, tables: Mapping[str, tuple[Callable[[], DataFrame | None], str, DateParser]],
+                          as_of, days_back: int = 7, attempts: int = 1) -> DataFrame:
+    """Q1 with errors as rows: (tbl, missing_date, state, message), state also ``error``.
+
+    A table is given by a function that opens it (None: there is none).  Each table's days of the window (at
+    most ``days_back``) are written aside on their own, so whatever goes wrong there -- a broken file, a missing
+    column, text that a strict parser refuses -- is that table's row, and the others' plans hold only what is
+    known to read.
+    """
+    days, bad = {}, []
+    lo = F.date_sub(as_date(as_of), days_back)
+    for name, (open_table, col, parse) in tables.items():
+        for left in reversed(range(attempts)):
+            try:
+                df = open_table()
+                days[name] = None if df is None else (materialized(df.select(
+                    F.explode(F.filter(F.array(parse(col)), lambda x: x.isNotNull() & (x >= lo))).alias("pd")).distinct()), "pd", F.col)
+                break
+            except Exception as e:  # noqa: BLE001 -- reported as the table's row
+                if not left:
+                    condition = re.search(r"\[([A-Z][A-Z0-9_]+)", str(e))      # Spark names its errors so
+                    bad.append((name, None, "error", condition.group(1) if condition else type(e).__name__))
+    good = missing_dates(spark, {n: v or (None, "pd", F.col) for n, v in days.items()}, as_of, days_back) if days else None
+    out = spark.createDataFrame(bad, "tbl string, missing_date string, state string, message string")
+    return out if good is None else good.withColumn("message", F.lit(None).cast("string")).unionByName(out)
+
+
 def completeness(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, str, DateParser]],
                  date_from, date_to, required: Sequence[str] | None = None) -> DataFrame:
     """(d, tbl, present) for every day in [date_from, date_to] x required table."""

@@ -736,3 +736,41 @@ def _replay_sql() -> str:
 
 
 SQL["alert_replay"] = _replay_sql()
+
+SQL["schema_history"] = with_ctes("""
+SELECT 'newest' AS version, line_id, sku, order_date,
+       CASE WHEN order_date >= '1997-01-01' THEN CAST(line_id % 24 AS VARCHAR) || ':05' END AS "注文時間" FROM orders_a
+UNION ALL
+SELECT 'first', line_id, sku, order_date, 'not there' FROM orders_a WHERE order_date < '1997-01-01'""", "orders_a")
+
+
+def _missing_states_sql() -> str:
+    spine = ("spine AS (SELECT CAST(x AS DATE) AS md FROM "
+             "generate_series(DATE '2024-01-24', DATE '2024-01-30', INTERVAL 1 DAY) s(x))")
+    parts, selects = [], []
+    for tbl, src, parse in (("raw_item", "item_a", iso_or_slash), ("raw_keyword", "kw_a", mixed)):
+        parts.append(f"m_{tbl} AS (SELECT strftime(md, '%Y-%m-%d') AS d FROM spine WHERE md NOT IN "
+                     f"(SELECT {parse('date_text')} FROM {src} WHERE {parse('date_text')} IS NOT NULL))")
+        selects += [f"SELECT '{tbl}' AS tbl, d AS missing_date, 'missing' AS state, CAST(NULL AS VARCHAR) AS message FROM m_{tbl}",
+                    f"SELECT '{tbl}', NULL, 'none', NULL WHERE NOT EXISTS (SELECT 1 FROM m_{tbl})"]
+    selects += ["SELECT 'raw_affi', NULL, 'no_table', NULL", "SELECT 'raw_rppexp', NULL, 'error', 'FAILED_READ_FILE'",
+                "SELECT 'raw_review', NULL, 'error', 'UNRESOLVED_COLUMN'"]
+    return with_ctes("", "item_a", "kw_a") + ",\n" + spine + ",\n" + ",\n".join(parts) + "\n" + "\nUNION ALL ".join(selects)
+
+
+SQL["missing_dates_states"] = _missing_states_sql()
+
+
+def _sketch_sql() -> str:
+    parts = []
+    for c, t in PROFILE_COLS:
+        v = f"CAST({c} AS VARCHAR)"
+        parts.append(f"""SELECT '{c}' AS "column", '{t}' AS type, CAST(count(*) AS BIGINT) AS rows,
+  CAST(count(*) FILTER (WHERE {v} IS NOT NULL AND trim({v}) <> '') AS BIGINT) AS non_blank, min({v}) AS min_value, max({v}) AS max_value,
+  (SELECT string_agg(v, '|' ORDER BY k) FROM (
+     SELECT substr(md5(v), 1, 1) AS k, arg_min(v, md5(v)) AS v FROM (SELECT {v} AS v FROM orders_a) WHERE v IS NOT NULL GROUP BY 1)) AS samples
+FROM orders_a""")
+    return with_ctes("\nUNION ALL\n".join(parts), "orders_a")
+
+
+SQL["column_sketch"] = _sketch_sql()

@@ -21,6 +21,7 @@ from tallyspark.operators import quality as QL
 from tallyspark.operators import reports as R
 from tallyspark.operators import upsert as U
 from tallyspark.operators.profile import column_profile as _column_profile
+from tallyspark.operators.profile import column_sketch as _column_sketch
 from tallyspark.plans import analogues as A
 
 # Fixed parameters shared with the oracle SQL.
@@ -225,6 +226,27 @@ def missing_dates_not_in(spark, d):
                             null_semantics="not_in")
 
 
+def missing_dates_states(spark, d):
+    """Q1 / I6 with every state: missing, none, no_table, and error (a stored table whose file is no Parquet)."""
+    import uuid
+
+    from tallyspark.session import work_dir
+    from tallyspark.sources.catalog import table_or_none
+    t = _report_tables(spark, d)
+    broken = f"{work_dir(spark)}/broken-{uuid.uuid4().hex}"
+    A.item_a(spark, d).select("date_text").write.text(broken)
+
+    def opened(name, change=lambda df: df):
+        df, col, parse = t[name]
+        return lambda: change(df), col, parse
+
+    return QL.checked_missing_dates(spark, {
+        "raw_item": opened("raw_item"), "raw_keyword": opened("raw_keyword"),
+        "raw_rppexp": (lambda: spark.read.schema("date_text string").parquet(broken), "date_text", D.parse_mixed_date),
+        "raw_affi": (lambda: table_or_none(spark, f"{broken}/none"), "date_text", D.parse_mixed_date),
+        "raw_review": (lambda: t["raw_item"][0], "no_such_column", D.parse_mixed_date)}, AS_OF, 7)
+
+
 def _status(spark, d):
     return QL.completeness(spark, _report_tables(spark, d), "2024-01-01", AS_OF)
 
@@ -605,6 +627,26 @@ def schema_evolve(spark, d):
     return add_columns_if_missing(base, {"注文時間": "string", "sku": "string"})
 
 
+def schema_history(spark, d):
+    """K6 on stored partitions: rows loaded before and after the order-time column was added, read as one table.
+
+    Two versions are read: the newest one and the one before the column.
+    """
+    import uuid
+
+    from tallyspark.session import work_dir
+    from tallyspark.sources import snapshots as S
+    o = A.order_lines(spark, d).select("line_id", "sku", "order_date", "order_day", F.concat((F.col("line_id") % 24).cast("string"), F.lit(":05")).alias("注文時間"))
+    cut = F.to_date(F.lit(SINCE))
+    table = f"{work_dir(spark)}/orders-{uuid.uuid4().hex}"
+    year = F.concat(F.substring("order_date", 1, 4), F.lit("-01-01")).alias("year")       # one partition a year
+    S.append(spark, table, o.where(F.col("order_day") < cut).select("line_id", "sku", "order_date", year), "year")
+    S.add_column(spark, table, "注文時間", "string")
+    S.append(spark, table, o.where(F.col("order_day") >= cut).select("line_id", "sku", "order_date", year, "注文時間"), "year")
+    before = S.read(spark, table, 1).withColumn("注文時間", F.lit("not there")).withColumn("version", F.lit("first"))
+    return S.read(spark, table).withColumn("version", F.lit("newest")).unionByName(before).select("version", "line_id", "sku", "order_date", "注文時間")
+
+
 def target_month(spark, d):
     o = A.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("od")).distinct()
     return o.select(D.iso_text("od").alias("order_date"), D.target_month("od").alias("target_month"))
@@ -622,6 +664,12 @@ def column_profile(spark, d):
     return _column_profile(A.orders_a(spark, d))
 
 
+def column_sketch(spark, d):
+    """The one-scan profile with sample values (the approximate distinct counts are tested, not compared)."""
+    p = _column_sketch(A.orders_a(spark, d))
+    return p.select("column", "type", "rows", "non_blank", "min_value", "max_value", F.array_join("samples", "|").alias("samples"))
+
+
 def column_probe(spark, d):
     return R.project_by_name(A.orders_a(spark, d))
 
@@ -720,6 +768,7 @@ QUERIES: dict[str, Query] = {
     "spike_guard_multi_file": spike_guard_multi_file,
     "missing_dates": missing_dates,
     "missing_dates_not_in": missing_dates_not_in,
+    "missing_dates_states": missing_dates_states,
     "completeness_status": completeness_status,
     "completeness_verdict": completeness_verdict,
     "data_age": data_age,
@@ -748,9 +797,11 @@ QUERIES: dict[str, Query] = {
     "file_presence": file_presence,
     "orders_view": orders_view,
     "schema_evolve": schema_evolve,
+    "schema_history": schema_history,
     "target_month": target_month,
     "trailing_window": trailing_window,
     "column_profile": column_profile,
+    "column_sketch": column_sketch,
     "column_probe": column_probe,
     "alert_policy": alert_policy,
     "alert_policy_files": alert_policy_files,

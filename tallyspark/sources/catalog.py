@@ -29,6 +29,11 @@ def table_columns(spark: SparkSession, path_or_table: str) -> list[str] | None:
         raise
 
 
+def table_or_none(spark: SparkSession, path_or_table: str) -> DataFrame | None:
+    """The table, or None when it does not exist; any other error surfaces."""
+    return None if table_columns(spark, path_or_table) is None else spark.read.parquet(path_or_table) if "/" in path_or_table else spark.table(path_or_table)
+
+
 def table_or_empty(spark: SparkSession, path_or_table: str, schema: T.StructType | str) -> DataFrame:
     """The table, or an empty frame with ``schema`` when it does not exist.
 
