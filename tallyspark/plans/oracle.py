@@ -768,7 +768,7 @@ def _sketch_sql() -> str:
         parts.append(f"""SELECT '{c}' AS "column", '{t}' AS type, CAST(count(*) AS BIGINT) AS rows,
   CAST(count(*) FILTER (WHERE {v} IS NOT NULL AND trim({v}) <> '') AS BIGINT) AS non_blank, min({v}) AS min_value, max({v}) AS max_value,
   (SELECT string_agg(v, '|' ORDER BY k) FROM (
-     SELECT substr(md5(v), 1, 1) AS k, arg_min(v, md5(v)) AS v FROM (SELECT {v} AS v FROM orders_a) WHERE v IS NOT NULL GROUP BY 1)) AS samples
+     SELECT (position(substr(md5(v), 1, 1) IN '0123456789abcdef') - 1) // 2 AS k, arg_min(v, md5(v)) AS v FROM (SELECT {v} AS v FROM orders_a) WHERE v IS NOT NULL GROUP BY 1)) AS samples
 FROM orders_a""")
     return with_ctes("\nUNION ALL\n".join(parts), "orders_a")
 
