@@ -737,6 +737,7 @@ def _replay_sql() -> str:
 
 SQL["alert_replay"] = _replay_sql()
 
+SQL["daily_totals"] = with_ctes("SELECT path, n_cols, clicks_text, cost_text FROM daily_a", "daily_a")
 SQL["schema_history"] = with_ctes("""
 SELECT 'newest' AS version, line_id, sku, order_date,
        CASE WHEN order_date >= '1997-01-01' THEN CAST(line_id % 24 AS VARCHAR) || ':05' END AS "注文時間" FROM orders_a

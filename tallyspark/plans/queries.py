@@ -286,6 +286,26 @@ def _daily_totals(spark, d):
     return QL.daily_totals_latest(A.daily_a(spark, d))
 
 
+def daily_totals(spark, d):
+    """S7 from contents: the files' first two lines out of thousands, then the newest valid file of a day.
+
+    A file has a header, its row and a line for every event of its day and type; some headers are longer than
+    the bytes read first.
+    """
+    from tallyspark.sources import csv_reports as C
+    listed = A.daily_a(spark, d)
+    n = A.read(spark, d, "events").groupBy(F.date_format("ts", "yyyyMMdd").alias("_day"), F.col("event_type").alias("_kind")).count()
+    day, kind = F.regexp_extract("path", r"12h_(\d{8})_", 1), F.split_part("path", F.lit("/"), F.lit(1))
+    listed = listed.withColumn("_day", day).withColumn("_kind", kind).join(n, ["_day", "_kind"])
+    column = F.concat(F.lit('"c, '), F.repeat(F.lit("x"), F.when(kind == "click", 100).otherwise(0)), F.lit('"'))
+    header = F.array_join(F.array_repeat(column, F.col("n_cols")), ",")
+    row = F.concat_ws(",", F.lit('"day, one"'), F.lit("a"), F.lit("b"), "clicks_text", "cost_text", F.array_join(F.array_repeat(F.lit("0"), F.col("n_cols") - 5), ","))
+    # lines that nobody needs, 1,000 at most: a content cell stays bounded
+    rest = F.repeat(F.lit("\r\nmore,lines,1,2,3"), F.least("count", F.lit(1000)).cast("int"))
+    content = listed.select("path", F.encode(F.concat(header, F.lit("\r\n"), row, rest), "UTF-8").alias("content"))
+    return C.daily_totals_from_heads(content, "UTF-8", head_bytes=2048)
+
+
 def zero_delivery(spark, d):
     dates = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit("2024-01-01")),
                                                        F.to_date(F.lit(AS_OF)))).alias("d"))
@@ -774,6 +794,7 @@ QUERIES: dict[str, Query] = {
     "data_age": data_age,
     "day_verdict": day_verdict,
     "freshness": freshness,
+    "daily_totals": daily_totals,
     "zero_delivery": zero_delivery,
     "maturation_uplift": maturation_uplift,
     "dedup_by_date": dedup_by_date,

@@ -373,21 +373,33 @@ def read_action_list(spark: SparkSession, paths, report_date: str | None = None,
     return action_list_from_lines(read_lines(spark, paths, encoding), report_date, sep)
 
 
-def daily_totals_scan(spark: SparkSession, paths, encoding: str = "MS932") -> DataFrame:
-    """(path, n_cols, clicks_text, cost_text) per file -- header field count, cells 3 and 4 of row 1."""
-    lines = read_lines(spark, paths, encoding)
-    return daily_totals_from_lines(lines)
-
-
-def daily_totals_from_lines(lines: DataFrame) -> DataFrame:
-    rec = F.from_csv(F.col("line"), _positional(5), {"mode": "PERMISSIVE", **CSV_OPTIONS})
-    g = lines.where(F.col("pos") <= 1).groupBy("path").agg(
-        F.max(F.when(F.col("pos") == 0, field_count("line"))).alias("n_cols"),
-        F.max(F.when(F.col("pos") == 1, F.coalesce(rec.getField("_c3"), F.lit("")))).alias("clicks_text"),
-        F.max(F.when(F.col("pos") == 1, F.coalesce(rec.getField("_c4"), F.lit("")))).alias("cost_text"),
-        F.count(F.lit(1)).alias("n_lines"))
-    # fewer than two rows: no data row, the file says nothing
-    return g.where(F.col("n_lines") >= 2).drop("n_lines")
+#: bytes of a file that normally hold its first two lines
+HEAD_BYTES = 64 << 10
+
+
+def daily_totals_scan(spark: SparkSession, paths, encoding: str = "MS932", head_bytes: int = HEAD_BYTES) -> DataFrame:
+    """S7 on files: (path, n_cols, clicks_text, cost_text) per file."""
+    return daily_totals_from_heads(spark.read.format("binaryFile").load(paths), encoding, head_bytes)
+
+
+def daily_totals_from_heads(bf: DataFrame, encoding: str = "MS932", head_bytes: int = HEAD_BYTES) -> DataFrame:
+    """Header field count and cells 3 and 4 of the first row of every (path, content) file; files without a row are left out.
+
+    Only the first ``head_bytes`` bytes are decoded and split, one row a file; where they end before the second
+    line does, the whole content is.  A file of millions of lines costs what one of two lines costs.
+    """
+    def first_lines(content):
+        return F.split(F.regexp_replace(F.decode(content, encoding), "^\ufeff", ""), "\r\n|\n|\r", 3)
+
+    # the head's second line is whole if a line break follows it; a lone \r at the very end may be half of one
+    head = F.transform(F.array(first_lines(F.substring("content", 1, head_bytes))), lambda h: F.when(
+        (F.octet_length("content") <= head_bytes) | ((F.size(h) == 3) & (F.element_at(h, 3) != "")), h))
+    lines = F.coalesce(F.element_at(head, 1), first_lines(F.col("content")))
+    two = bf.select("path", F.explode(F.array(lines)).alias("l"))                 # split once
+    two = two.where((F.size("l") >= 2) & ~((F.size("l") == 2) & (F.element_at("l", 2) == "")))
+    rec = F.from_csv(F.element_at("l", 2), _positional(5), {"mode": "PERMISSIVE", **CSV_OPTIONS})
+    return two.select("path", field_count(F.element_at("l", 1)).alias("n_cols"), F.coalesce(rec.getField("_c3"), F.lit("")).alias("clicks_text"),
+                      F.coalesce(rec.getField("_c4"), F.lit("")).alias("cost_text"))
 
 
 _ZIP_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("member", T.StringType()),
