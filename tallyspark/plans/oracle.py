@@ -737,6 +737,30 @@ def _replay_sql() -> str:
 
 SQL["alert_replay"] = _replay_sql()
 
+_DAYS = "WITH e AS (SELECT *, CAST(ts AS DATE) AS day, strftime(ts, '%Y%m%d') AS d8 FROM events)"
+SQL["ad_report"] = _DAYS + """
+SELECT 'RPP商品別_' || d8 || '.csv' AS path, CAST(event_id AS VARCHAR) AS no,
+       strftime(day, '%Y年%m月%d日') || '～' || strftime(day, '%Y年%m月%d日') AS date_text,
+       CASE WHEN day(day) % 2 = 0 THEN '1.5' ELSE '' END AS ctr,
+       CASE WHEN day(day) % 2 = 0 THEN '' ELSE '鳩, ' || CAST(user_id AS VARCHAR) END AS item
+FROM e WHERE day(day) <> 9 AND day <> DATE '2024-01-05'"""
+SQL["ad_report_status"] = _DAYS + """
+SELECT DISTINCT 'RPP商品別_' || d8 || '.csv' AS path,
+       CASE WHEN day = DATE '2024-01-05' THEN 'rejected' WHEN day(day) = 9 THEN 'header_not_found' ELSE 'ok' END AS state,
+       CASE WHEN day = DATE '2024-01-05' THEN 'fields 5 > 4' END AS reason FROM e"""
+SQL["page_analysis"] = _DAYS + """
+SELECT strftime(day, '%Y-%m-%d') AS d, 'u' || CAST(user_id AS VARCHAR) AS sku, CAST(event_id AS VARCHAR) AS pv,
+       '店舗カルテ_商品ページ分析_' || d8 || '.csv' AS path
+FROM e WHERE day <> DATE '2024-01-05'"""
+SQL["page_analysis_status"] = _DAYS + """
+SELECT DISTINCT '店舗カルテ_商品ページ分析_' || d8 || '.csv' AS path, CASE WHEN day = DATE '2024-01-05' THEN 'rejected' ELSE 'ok' END AS state,
+       CASE WHEN day = DATE '2024-01-05' THEN 'no date in line 3' END AS reason FROM e"""
+SQL["action_list"] = _DAYS + """
+SELECT strftime(day, '%Y-%m-%d') AS d, '鳩よけ' AS kw, CAST(event_id AS VARCHAR) AS n, '店舗カルテ_自然検索_' || d8 || '.csv' AS path FROM e"""
+SQL["newest_of_day"] = with_ctes("""
+SELECT path, strftime(mtime, '%Y-%m-%d %H:%M:%S.%f') AS mtime FROM (
+  SELECT *, row_number() OVER (PARTITION BY contains(path, '_summary_') ORDER BY mtime DESC, path DESC) AS rn
+  FROM listing WHERE CAST(mtime + INTERVAL 9 HOUR AS DATE) = DATE '2024-01-20') WHERE rn = 1""", "listing")
 SQL["daily_totals"] = with_ctes("SELECT path, n_cols, clicks_text, cost_text FROM daily_a", "daily_a")
 SQL["schema_history"] = with_ctes("""
 SELECT 'newest' AS version, line_id, sku, order_date,

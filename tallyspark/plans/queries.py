@@ -393,10 +393,10 @@ def _report_files(spark, d, part_lines=PART_LINES):
                         F.encode("t", "UTF-8").alias("content"))
 
 
-def _report_lines(files):
+def _report_lines(files, charset="UTF-8"):
     """Numbered lines of report files in parts: the lines of a part come after those of the parts before it."""
     from tallyspark.sources import csv_reports as C
-    lines = C.lines_from_binary(files.withColumn("path", F.concat_ws("#", "part", "path")))
+    lines = C.lines_from_binary(files.withColumn("path", F.concat_ws("#", "part", "path")), charset)
     part, path = F.substring_index("path", "#", 1).cast("bigint"), F.expr("substr(path, instr(path, '#') + 1)")
     return lines.select(path.alias("path"), "mtime", "size", (F.col("pos") + F.shiftleft(part, 32)).alias("pos"), "line")
 
@@ -420,7 +420,7 @@ def report_status(spark, d):
     return C.screen_files(_report_lines(_report_files(spark, d)), ["日付"])
 
 
-def _content(df, file_cols, order, head, part_lines=PART_LINES):
+def _content(df, file_cols, order, head, part_lines=PART_LINES, charset="UTF-8"):
     """Report files as content cells: (path, part, modificationTime, length, content); part 0 is ``head`` (text per file).
 
     ``df`` has path, mtime, ``order`` and line; other parts hold about ``part_lines`` lines each.
@@ -431,7 +431,7 @@ def _content(df, file_cols, order, head, part_lines=PART_LINES):
     text = F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct(order, "line"))), lambda x: x["line"]))
     body = lines.groupBy("path", part).agg(F.max("_m").alias("mtime"), text.alias("t"))
     every = body.unionByName(files.select("path", F.lit(0).cast("bigint").alias("part"), "mtime", head.alias("t")))
-    return every.select("path", "part", F.col("mtime").alias("modificationTime"), F.length("t").cast("bigint").alias("length"), F.encode("t", "UTF-8").alias("content"))
+    return every.select("path", "part", F.col("mtime").alias("modificationTime"), F.length("t").cast("bigint").alias("length"), F.encode("t", charset).alias("content"))
 
 
 def _affiliate_files(spark, d):
@@ -509,6 +509,78 @@ def expansion_status(spark, d):
     return C.expansion_from_lines(_expansion_files(spark, d))[1]
 
 
+def _day_files(spark, d, prefix, line, head, charset="UTF-8"):
+    """Numbered lines of one file a day of ``events``: ``head`` (by day), then ``line`` of every event."""
+    if charset != "UTF-8":
+        for k in ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction"):      # as the library's sessions have it
+            spark.conf.set(k, "true")
+    e = A.read(spark, d, "events").withColumn("day", F.to_date("ts"))
+    rows = e.select(F.concat(F.lit(prefix), F.date_format("day", "yyyyMMdd"), F.lit(".csv")).alias("path"), F.to_timestamp("day").alias("mtime"), "event_id", line.alias("line"), "day")
+    return _report_lines(_content(rows, [F.max("day").alias("day")], "event_id", head, charset=charset), charset)
+
+
+def _broken():
+    return F.col("day") == F.to_date(F.lit(BROKEN_DAY))
+
+
+def _ad_lines(spark, d):
+    """cp932 ad reports in two layouts by even and odd days; one day without the header marker, one with a line too wide."""
+    even = F.dayofmonth("day") % 2 == 0
+    n, sku = F.col("event_id").cast("string"), F.concat(F.lit('"鳩, '), F.col("user_id").cast("string"), F.lit('"'))
+    line = F.when(even, F.concat_ws(",", D.jp_range_text("day"), n, F.lit("1.5"))).otherwise(F.concat_ws(",", n, D.jp_range_text("day"), F.lit("NA"), sku))
+    line = F.when(_broken() & (F.col("event_id") % 50 == 0), F.concat(line, F.lit(",EXTRA"))).otherwise(line)
+    header = F.when(F.dayofmonth("day") == 9, F.lit("日付,番号,CTR")).when(even, F.lit('"日付","番号","CTR(%)"')).otherwise(F.lit('"番号","日付","CTR(%)","商品"'))
+    return _day_files(spark, d, "RPP商品別_", line, F.concat(F.lit("レポート,商品別\n期間,2024\n\n"), header), "MS932")
+
+
+def ad_report(spark, d):
+    """S4 + U2: cleaned cp932 ad reports of two layouts as one table (rows of the file without a header marker hold no number)."""
+    from tallyspark.sources import csv_reports as C
+    rows, _ = C.ad_report_from_lines(_ad_lines(spark, d))
+    return rows.where(F.col("番号") != "").select(F.col("source_file").alias("path"), F.col("番号").alias("no"), F.col("日付").alias("date_text"),
+                                                F.col("CTR(%)").alias("ctr"), F.col("商品").alias("item"))
+
+
+def ad_report_status(spark, d):
+    from tallyspark.sources import csv_reports as C
+    return C.ad_report_from_lines(_ad_lines(spark, d))[1]
+
+
+def _page_lines(spark, d):
+    date = F.when(_broken(), F.lit("?")).otherwise(F.date_format("day", "yyyy'年'MM'月'dd'日'"))
+    head = F.concat(F.lit("t\nx\n期間,"), date, F.lit("\n\n\n商品管理番号,PV"))
+    return _day_files(spark, d, "店舗カルテ_商品ページ分析_", F.concat_ws(",", F.concat(F.lit("u"), F.col("user_id").cast("string")), F.col("event_id").cast("string")), head)
+
+
+def page_analysis(spark, d):
+    """Page reports with their day from the preamble; the file whose preamble has none is rejected."""
+    from tallyspark.sources import csv_reports as C
+    rows, _ = C.page_analysis_from_lines(_page_lines(spark, d))
+    return rows.select(F.col("対象日").alias("d"), F.col("商品管理番号").alias("sku"), F.col("PV").alias("pv"), F.col("source_file").alias("path"))
+
+
+def page_analysis_status(spark, d):
+    from tallyspark.sources import csv_reports as C
+    return C.page_analysis_from_lines(_page_lines(spark, d))[1]
+
+
+def action_list(spark, d):
+    """cp932 action lists with their day from the file name."""
+    from tallyspark.sources import csv_reports as C
+    line = F.concat_ws(",", F.lit("鳩よけ"), F.col("event_id").cast("string"))
+    rows, _ = C.action_list_from_lines(_day_files(spark, d, "店舗カルテ_自然検索_", line, F.lit("t\nx\nkw,n"), "MS932"))
+    return rows.select(F.col("対象日").alias("d"), "kw", "n", F.col("source_file").alias("path"))
+
+
+def newest_of_day(spark, d):
+    """S8 + S9: the newest summary and the newest dated report of the files modified on a Tokyo day."""
+    from tallyspark.sources.files import latest_file, modified_on
+    day = modified_on(A.report_listing(spark, d), "2024-01-20", "Asia/Tokyo")
+    summary = F.col("path").contains("_summary_")
+    return latest_file(day.where(summary)).unionByName(latest_file(day.where(~summary))).select(
+        "path", F.date_format("mtime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mtime"))
+
+
 def report_records(spark, d):
     """S1 on written files whose cells hold line breaks, quotes and commas: one file a day and part, read by byte blocks."""
     import uuid
@@ -803,6 +875,12 @@ QUERIES: dict[str, Query] = {
     "first_writer_wins": first_writer_wins,
     "report_ingest": report_ingest,
     "report_status": report_status,
+    "ad_report": ad_report,
+    "ad_report_status": ad_report_status,
+    "page_analysis": page_analysis,
+    "page_analysis_status": page_analysis_status,
+    "action_list": action_list,
+    "newest_of_day": newest_of_day,
     "report_records": report_records,
     "affiliate_ingest": affiliate_ingest,
     "affiliate_status": affiliate_status,
