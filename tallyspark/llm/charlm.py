@@ -22,7 +22,10 @@ from tallyspark.llm.common import portions, worker_cache
 U = np.uint64
 BOS, EOS = "\x02", "\x03"
 _STEP = U(0x9E3779B97F4A7C15)
-LETTERS = re.compile(r"[^\W\d_]+")
+#: word characters that are numbers but no letters (superscripts, fractions, ...): \d is decimal digits only
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+#: runs of letters (Unicode categories L*)
+LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 GRAM_SCHEMA = "o int, cls int, k long, ctx long, suf long, bos boolean, n long"
 
 

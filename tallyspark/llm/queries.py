@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import crc_mod
+from tallyspark.llm.common import crc_mod, saved
 from tallyspark.llm.urlfilter import oracle_sql as url_oracle
 
 
@@ -29,7 +29,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, truncated totals and quantiles for every encoded length of documents taken as context limit."""
     from tallyspark.llm.tokens import context_limits, histogram
-    return context_limits(histogram(_table(spark, sf_dir, "documents")))
+    return context_limits(saved(histogram(_table(spark, sf_dir, "documents"))))  # read twice, encoded once
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,7 +50,6 @@ class Encoder:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
             from tokenizers import Tokenizer
             tok = Tokenizer.from_file(path)
-            tok.encode_special_tokens = True
             # ids of a text's first cut, and of cuts after a space (kept without that space)
             self.state.update(tok=tok, first={}, rest={})
 

@@ -9,7 +9,8 @@ curve fitted on labelled texts the models have not seen turns it into a score.
 
 Cases: a null or empty text, or one without letters, has no evidence (all
 features 0) and gets the curve's value there; repeated rows are scored each;
-null labels and labels of unknown documents teach nothing; with only one class
+null labels and labels of unknown documents teach nothing; contradicting labels
+of one document count as toxic; with only one class
 labelled every score is 0.0 (nothing toxic known) or the class share; extra
 columns are ignored; very long texts are read whole.
 """
@@ -105,11 +106,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER_CLASS)
 
 
 def score(docs: DataFrame, fitted: dict, keep: dict[str, str]) -> DataFrame:
-    """Columns ``keep`` (name: type) of every row of ``docs`` with ``llr`` (per 10 characters), ``score`` and ``predicted``."""
+    """Columns ``keep`` (name: type) of every row of ``docs`` with ``score``, ``predicted`` and ``llr`` (per 10 characters)."""
     mean, sd, beta = (F.array(*[F.lit(float(v)) for v in fitted[k]]) for k in ("mean", "sd", "beta"))
     f = _feature_rows(docs, list(keep), ", ".join(f"{k} {t}" for k, t in keep.items()), fitted["shared"])
     z = sum((((F.col(f"f{j}") - mean[j]) / sd[j]) * beta[j] for j in range(N_FEATURES)), beta[N_FEATURES])
-    return f.select(*keep, F.col("f0").alias("llr"), (1 / (1 + F.exp(-z))).alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    scored = f.select(*keep, (1 / (1 + F.exp(-z))).alias("score"), F.col("f0").alias("llr"))
+    return scored.select(*keep, "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "llr")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, train: Column, held_out: Column | None = None) -> DataFrame:

@@ -121,3 +121,20 @@ def test_log_probs_match_plain_python(spark, docs):
         s = "\x02" + w + "\x03"
         want = sum(math.log(p(a, b)) for a, b in zip(s, s[1:]))
         assert charlm.log_probs(m, [w])[0][0, 0] == pytest.approx(want, rel=1e-4)
+
+
+def test_numbers_are_no_letters(spark, docs):
+    import unicodedata
+
+    assert charlm.LETTERS.findall("a½b²cⅧ一x1_y") == ["a", "b", "c", "一x", "y"]
+    letters = [c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] == "L"]
+    assert all(charlm.LETTERS.fullmatch(c) for c in letters[::97]) and not charlm.LETTERS.search("½ ² Ⅷ 3 _")
+    d = docs([(i, prose(random.Random(i), "en", 20), "en") for i in range(40)] + [(100, "½ ²", "en"), (101, "3 Ⅷ _", "en")])
+    out = {r.doc_id: r.lang_pred for r in langid.language_id(d, F.col("doc_id") < 40).collect()}
+    assert out[100] == out[101] == "und" and out[1] == "en"
+
+
+def test_extra_columns_follow(spark, docs):
+    rows, labels = corpus(60)
+    out = toxicity.toxicity(docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), F.lit(True))
+    assert out.columns[:4] == ["doc_id", "held_out", "score", "predicted"]

@@ -14,9 +14,7 @@ CASES = [(1, "Hello world, don't   stop"), (2, ""), (3, None), (None, "a b"), (4
 
 @pytest.fixture(scope="module")
 def tok():
-    t = Tokenizer.from_file(tokens.vocabulary_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokens.vocabulary_path())        # as it comes: special tokens in a text are special
 
 
 def test_encoder_equals_whole_text_encoding(tok):
@@ -92,3 +90,19 @@ def test_cuts_put_together_equal_whole_encoding(tok):
     for s in range(0, len(texts), 500):
         for t, g in zip(texts[s : s + 500], enc(texts[s : s + 500])):
             assert np.frombuffer(g, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_special_tokens_as_the_tokenizer_gives_them():
+    from tokenizers import Tokenizer
+
+    from tallyspark.llm.tokens import Encoder, vocabulary_path
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|>b  <|endoftext|>", " <|endoftext|> <|endoftext|>x ", "<|endo ftext|>", "no. special"]
+    plain = Tokenizer.from_file(vocabulary_path())
+    assert [list(memoryview(x).cast("I")) for x in Encoder(vocabulary_path())(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_token_counts_encode_a_document_once(spark):
+    """The plan reads a saved histogram: no Python is left in it, however often it is used."""
+    from tallyspark.llm.queries import op3_token_counts
+    plan = op3_token_counts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Scan parquet" in plan
