@@ -471,6 +471,9 @@ FROM casts""", "casts"),
 SELECT row_no, date_text, sku, kw, CASE WHEN spike THEN '' ELSE guide END AS guide FROM spk""", "spk"),
     "spike_report": with_ctes("""
 SELECT row_no, sku, kw, prior, nv AS new_value, nv / prior AS ratio FROM spk WHERE spike
+ORDER BY nv / prior DESC, row_no LIMIT 10""", "spk"),
+    "spike_log": with_ctes("""
+SELECT row_no, sku, kw, round(nv / prior, 1) AS ratio_1dp FROM spk WHERE spike
 ORDER BY nv / prior DESC, row_no LIMIT 10""", "spk"),
     "spike_summary": with_ctes("""
 SELECT count(*) AS new_rows, count(prior) AS with_baseline, count(*) FILTER (WHERE spike) AS spikes,

@@ -184,6 +184,12 @@ def spike_report(spark, d):
     return top.select("row_no", "sku", "kw", "prior", "new_value", "ratio")
 
 
+def spike_log(spark, d):
+    """The log lines of the greatest spikes, ratio to one decimal."""
+    _, spikes = _guard(spark, d)
+    return G.spike_sample(spikes, 10, [F.desc("ratio"), F.asc("row_no")]).select("row_no", "sku", "kw", "ratio_1dp")
+
+
 def spike_guard_multi_file(spark, d):
     """Q10 across files: each day of the new batch is one file, loaded in date order.
 
@@ -856,6 +862,7 @@ QUERIES: dict[str, Query] = {
     "baseline_latest": baseline_latest,
     "spike_guard": spike_guard,
     "spike_report": spike_report,
+    "spike_log": spike_log,
     "spike_summary": spike_summary,
     "spike_guard_multi_file": spike_guard_multi_file,
     "missing_dates": missing_dates,
