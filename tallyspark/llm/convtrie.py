@@ -215,8 +215,8 @@ def _merge(rows: DataFrame, fresh: bool, whole: bool) -> DataFrame:
     def run(batches):
         block, turns = [], 0
         for p in _paths(batches, fresh):
-            # both outer paths of a contracted block stay in one block
-            if not whole and block and (len(block) >= BLOCK or turns >= BLOCK_TURNS):
+            # at least four paths, so that blocks of the longest conversations become fewer from round to round too
+            if not whole and (len(block) >= BLOCK or (turns >= BLOCK_TURNS and len(block) >= 4)):
                 yield from flush(block)
                 block, turns = [], 0
             block.append(p)

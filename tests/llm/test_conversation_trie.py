@@ -73,6 +73,15 @@ def test_many_blocks_and_rounds(spark, monkeypatch):
     assert as_they_are == plain_trie(own_turns(rows))
 
 
+def test_blocks_of_long_conversations_shrink(spark, monkeypatch):
+    """Every path is longer than a block's turns: rounds still end."""
+    monkeypatch.setattr(convtrie, "BLOCK", 16)
+    monkeypatch.setattr(convtrie, "BLOCK_TURNS", 2)
+    rows = [(c, t, "user", f"{t if t < c % 7 else (c, t)}") for c in range(90) for t in range(12)]
+    got = {tuple(r) for r in convtrie.trie_report(convtrie.turn_lists(table(spark, rows))).collect()}
+    assert got == plain_trie(own_turns(rows))
+
+
 def test_odd_rows(spark):
     rows = [(None, 1, "user", "lost"), (1, None, "user", "first"), (1, 0, None, None), (1, 0, "user", "tie"), (1, 0, "user", "tie"),
             (2, 5, "user", "x" * 100_000), (3, 1, "", ""), (200, 1, "user", "head"), (201, 1, "user", "own")]
