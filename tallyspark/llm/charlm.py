@@ -24,11 +24,17 @@ BOS, EOS = "\x02", "\x03"
 _STEP = U(0x9E3779B97F4A7C15)
 #: word characters that are numbers but no letters (superscripts, fractions, ...): \d is decimal digits only
 _NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-#: runs of letters (Unicode categories L*)
-LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+#: runs of letters (Unicode categories L*), and the quicker pattern that also takes those numbers
+LETTERS, _MOSTLY_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+"), re.compile(r"[^\W\d_]+")
 GRAM_SCHEMA = "o int, cls int, k long, ctx long, suf long, bos boolean, n long"
 
 
+def letter_runs(text: str) -> list[str]:
+    """The runs of letters in ``text``."""
+    runs = _MOSTLY_LETTERS.findall(text)
+    return runs if not runs or "".join(runs).isalpha() else LETTERS.findall(text)
+
+
 def gram_hashes(words: list[str], order: int):
     """For every predicted character: its word's index, and per order o the gram hash (0 where the word is too short)."""
     s = np.frombuffer("".join(f"{BOS}{w}{EOS}" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -53,7 +59,7 @@ def word_counts(docs: DataFrame, max_words: int = 400_000) -> DataFrame:
             cls, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             by: dict[int, Counter] = {}
             for c, t in zip(cls, texts):
-                by.setdefault(c, Counter()).update(LETTERS.findall((t or "").lower()))
+                by.setdefault(c, Counter()).update(letter_runs((t or "").lower()))
             for c, n in by.items():
                 w = list(n)
                 for i in range(0, len(w), max_words):
@@ -189,7 +195,7 @@ class ChunkScorer:
 
     def _learn(self, chunks: list[str]):
         # a chunk may hold several letter runs, or none
-        runs = [LETTERS.findall(c.lower()) for c in chunks]
+        runs = [letter_runs(c.lower()) for c in chunks]
         flat = sorted({w for r in runs for w in r})
         at = {w: i for i, w in enumerate(flat)}
         lp, n = log_probs(self.model, flat) if flat else (np.zeros((0, self.model["classes"])), np.zeros(0, np.int64))

@@ -129,6 +129,8 @@ def test_numbers_are_no_letters(spark, docs):
     assert charlm.LETTERS.findall("a½b²cⅧ一x1_y") == ["a", "b", "c", "一x", "y"]
     letters = [c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] == "L"]
     assert all(charlm.LETTERS.fullmatch(c) for c in letters[::97]) and not charlm.LETTERS.search("½ ² Ⅷ 3 _")
+    for text in ("a½b²cⅧ一x1_y", "plain words é", "", "½", "x ½ y"):
+        assert charlm.letter_runs(text) == charlm.LETTERS.findall(text)
     d = docs([(i, prose(random.Random(i), "en", 20), "en") for i in range(40)] + [(100, "½ ²", "en"), (101, "3 Ⅷ _", "en")])
     out = {r.doc_id: r.lang_pred for r in langid.language_id(d, F.col("doc_id") < 40).collect()}
     assert out[100] == out[101] == "und" and out[1] == "en"
