@@ -75,6 +75,22 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_only_the_query_row_itself_is_left_out(spark):
+    """Copies of the query and other vectors of its id are candidates; every row of a repeated query id has its own ranks."""
+    rng = np.random.default_rng(6)
+    rows = [(int(i), [float(x) for x in np.round(rng.normal(0, 0.3, 6), 2)]) for i in range(120)]
+    rows += [rows[50], rows[50], rows[7], (100, [0.9] * 6), (100, [-0.9] * 6), (7, [1.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0, 5, shard=30, block=2).collect())
+    vec = [(i, np.floor(256.0 * np.float32(v).astype(float)).astype(int)) for i, v in rows]
+    want = []
+    for a, (q, x) in enumerate(vec):
+        if q % 50 == 0:
+            s = sorted((-int(x @ v), i) for b, (i, v) in enumerate(vec) if b != a)[:5]
+            want += [(q, r + 1, i, -y) for r, (y, i) in enumerate(s)]
+    assert got == sorted(want) and len(got) == 5 * 7
+
+
 def test_approximation_bounds_hold_for_any_integers():
     rng = np.random.default_rng(4)
     c = rng.integers(-5000, 5000, (300, 6))
