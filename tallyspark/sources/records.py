@@ -79,8 +79,9 @@ def read_records(spark: SparkSession, paths, encoding: str = "UTF-8", max_bytes:
     # written once: blocks and positions depend on how one scan splits the files, so no second scan may meet them
     raw = materialized(physical_lines(spark, paths).withColumn("q", _quotes(F.col("raw"))).withColumn("raw", F.col("raw").cast("binary")))
     facts = _file_facts(raw)
-    whole = facts.where("odd = 0").select("path", "first_pos")
-    broken = facts.where("odd = 1 and quotes % 2 = 0").select("path", "first_pos")
+    # a row per file: broadcast, so that lines stay where they are read and a big file is not one task's
+    whole = F.broadcast(facts.where("odd = 0").select("path", "first_pos"))
+    broken = F.broadcast(facts.where("odd = 1 and quotes % 2 = 0").select("path", "first_pos"))
 
     def text(c):
         return F.decode(c, encoding)
@@ -90,7 +91,7 @@ def read_records(spark: SparkSession, paths, encoding: str = "UTF-8", max_bytes:
                           .select("path", "mtime", "size", "pos", "rec", "alone", "raw"))
     alone = marked.where("alone").select("path", "mtime", "size", "pos", text(F.col("raw")).alias("line"))
     several = marked.where("not alone")
-    too_long = several.groupBy("path", "rec").agg(F.sum(F.octet_length("raw") + 1).alias("n")).where(F.col("n") > max_bytes + 1).select("path").distinct()
+    too_long = F.broadcast(several.groupBy("path", "rec").agg(F.sum(F.octet_length("raw") + 1).alias("n")).where(F.col("n") > max_bytes + 1).select("path").distinct())
     gathered = (several.join(too_long, "path", "left_anti").groupBy("path", F.col("rec").alias("pos"))
                 .agg(F.first("mtime").alias("mtime"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("pos", text(F.col("raw")).alias("t")))).alias("_l")))
     gathered = gathered.select("path", "mtime", "size", "pos", F.array_join(F.transform("_l", lambda x: x["t"]), "\n").alias("line"))

@@ -67,6 +67,23 @@ def test_files_of_every_kind_together(spark, tmpdir_path, small_blocks):
     assert {r.source_file[-5] for r in rows.select("source_file").distinct().collect()} == set("abcd")
 
 
+def test_lines_stay_where_they_are_read(spark, tmpdir_path, small_blocks):
+    """No join moves the lines, also when none would be broadcast by itself."""
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")
+    try:
+        want = {x: report(f"{tmpdir_path}/{x}.csv", 300, wild, seed=i) for i, (x, wild) in enumerate([("a", True), ("b", False), ("c", True)])}
+        lines, _ = RC.read_records(spark, [f"{tmpdir_path}/{x}.csv" for x in "abc"])
+        assert "SortMergeJoin" not in lines._jdf.queryExecution().executedPlan().toString()
+        rows, _ = RC.read_report_records(spark, [f"{tmpdir_path}/{x}.csv" for x in "abc"], required=["no"])
+        for x, w in want.items():
+            assert got(rows, f"{x}.csv") == w, x
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_cp932(spark, tmpdir_path):
     want = report(f"{tmpdir_path}/s.csv", 40, True, encoding="cp932", seed=6)
     rows, _ = RC.read_report_records(spark, [f"{tmpdir_path}/s.csv"], "MS932")
