@@ -1,16 +1,16 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages (32 words, every 16) are TF-IDF vectors over hashed words.  A
-randomised SVD of a bounded sample of passages, run as two distributed passes
-over that sample, gives a latent space; every passage of every document and
+randomised SVD of all half-passages, run as two distributed passes over all
+texts, gives a latent space; every passage of every document and
 every benchmark passage is projected into it, and cosine search (blocks of
 passages against all benchmark passages) finds candidates.  A candidate is then
 read again as words: the longest common subsequence of the item with the
 document around the passage must hold most of the item, and the answer (the
 item's last sentence) must be there too.
 
-Statistics (document frequencies) cover all passages.  The index space is fitted
-on a bounded sample, but every passage is searched.
+Document frequencies and the index space cover all passages, and every passage
+is searched.
 
 Cases: null and empty texts contain nothing; items without words match nothing;
 repeated rows and items are judged each; an empty benchmark or table gives no
@@ -26,20 +26,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm import bytewords
-from tallyspark.llm.common import portions, saved, worker_cache
+from tallyspark.llm.common import portions, worker_cache
 
 U = np.uint64
 FEATURES = 1 << 14
 DIMENSIONS = 64
 WIDTH, STRIDE = 32, 16
-#: passages the latent space is fitted on, at most about so many
-SAMPLE_PASSAGES = 40_000
-SAMPLE_TASKS = 4
 COSINE = 0.4
 #: share of an item's words that the common subsequence must hold, and of its last sentence's words
 COMMON, ANSWER = 0.75, 0.5
 #: candidates whose surrounding words are counted at once
 COUNTED = 1024
+#: texts of more words are not held against their words in any order before the candidates' spans are
+WHOLE_TEXT = 1 << 16
 #: benchmark rows held by each task at once; more are searched in several blocks
 ITEM_BLOCK = 500
 
@@ -98,8 +97,8 @@ def _project(f: np.ndarray, counts: np.ndarray, table: np.ndarray) -> tuple[np.n
     inside = span < np.minimum(at + STRIDE, np.cumsum(counts)[text])[:, None]
     index = np.where(inside, f[np.minimum(span, len(f) - 1)], len(table) - 1)  # the last row of the table is zero
     half = np.empty((len(at), table.shape[1]), np.float32)
-    for s in range(0, len(at), 2048):
-        half[s : s + 2048] = np.einsum("ijk->ik", table[index[s : s + 2048]])
+    for s in range(0, len(at), 512):
+        half[s : s + 512] = np.einsum("ijk->ik", table.take(index[s : s + 512], 0))
     vec = half.copy()
     same = np.flatnonzero(text[1:] == text[:-1])
     vec[same] += half[same + 1]
@@ -107,14 +106,36 @@ def _project(f: np.ndarray, counts: np.ndarray, table: np.ndarray) -> tuple[np.n
     return vec / np.maximum(norm, 1e-12)[:, None], at, text
 
 
-def _gram_pass(sample: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """A' A basis, where A holds the sampled half-passages as unit TF-IDF rows; summed by Spark."""
-    shared = sample.sparkSession.sparkContext.broadcast((idf, (idf[:, None] * basis).astype(np.float32)))
+def _group_sums(values: np.ndarray, order: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sum of values[order[s : s + n]] for every (s, n) of ``start`` and ``count`` (1 to STRIDE); the last row of ``values`` is zero."""
+    out = np.zeros((len(start), values.shape[1]), np.float32)
+    width = 1
+    while width <= STRIDE:  # groups of like size together
+        like = np.flatnonzero((count <= width) & (count > width // 2))
+        for s in range(0, len(like), 512):
+            g = like[s : s + 512]
+            i = np.arange(width)[None, :]
+            at = np.where(i < count[g][:, None], order[np.minimum(start[g][:, None] + i, len(order) - 1)], len(values) - 1)
+            out[g] = np.einsum("ijk->ik", values.take(at, 0))
+        width *= 2
+    return out
+
+
+def _gram_pass(texts: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """A' A basis, where A holds all half-passages as unit TF-IDF rows; summed by Spark, a row per word comes back."""
+    table = np.r_[idf[:, None] * basis, np.zeros((1, DIMENSIONS))].astype(np.float32)
+    shared = texts.sparkSession.sparkContext.broadcast((idf, table))
+
+    def rows(out):
+        hit = np.flatnonzero(np.abs(out).sum(1))
+        for s in range(0, len(hit), 4096):
+            v = out[hit[s : s + 4096]].astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(hit[s : s + 4096].astype(np.int32)), pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), DIMENSIONS).cast(pa.list_(pa.float32()))], ["f", "v"])
 
     def run(batches):
         weight, table = shared.value
         cache = worker_cache("bytewords")
-        out = np.zeros((FEATURES, DIMENSIONS), np.float64)
+        out = np.zeros((FEATURES, DIMENSIONS))
         for b in batches:
             texts = [t or b"" for t in b.column(0).to_pylist()]
             for s, e in portions(texts):
@@ -122,39 +143,46 @@ def _gram_pass(sample: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndar
                 if not len(f):
                     continue
                 at, _ = _chunks(counts)
-                y = np.add.reduceat(table[f], at, axis=0) / np.maximum(np.add.reduceat(weight[f] ** 2, at), 1e-9)[:, None]
-                row = np.repeat(np.arange(len(at)), np.diff(np.concatenate((at, [len(f)]))))
-                by = np.argsort(f, kind="stable")
-                new = np.flatnonzero(np.concatenate(([True], f[by][1:] != f[by][:-1])))
-                out[f[by][new]] += np.add.reduceat(y[row[by]], new, axis=0)
-        hit = np.flatnonzero(np.abs(out).sum(1))
-        values = (out[hit] * weight[hit, None]).astype(np.float32)
-        for s in range(0, len(hit), 4096):
-            v = values[s : s + 4096]
-            yield pa.RecordBatch.from_arrays([pa.array(hit[s : s + 4096].astype(np.int32)), pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), DIMENSIONS).cast(pa.list_(pa.float32()))], ["f", "v"])
+                size = np.diff(np.concatenate((at, [len(f)])))
+                y = _group_sums(table, f, at, size) / np.maximum(np.add.reduceat(weight[f] ** 2, at), 1e-9)[:, None]
+                by = np.argsort(f.astype(np.uint16), kind="stable")
+                half = np.repeat(np.arange(len(at)), size)[by]
+                n = np.bincount(f, minlength=FEATURES)
+                per = -(-n // STRIDE)  # a word's rows are added up in groups of STRIDE, then the groups
+                word = np.repeat(np.arange(FEATURES), per)
+                first = (np.cumsum(n) - n)[word] + STRIDE * (np.arange(len(word)) - np.repeat(np.cumsum(per) - per, per))
+                part = _group_sums(np.r_[y, np.zeros((1, DIMENSIONS))].astype(np.float32), half, first, np.minimum(STRIDE, np.cumsum(n)[word] - first))
+                new = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+                out[word[new]] += np.add.reduceat(part, new, axis=0)
+        yield from rows(out * weight[:, None])
+
+    def total(batches):
+        out = np.zeros((FEATURES, DIMENSIONS))
+        for b in batches:
+            np.add.at(out, b.column(0).to_numpy(), b.column(1).flatten().to_numpy().reshape(-1, DIMENSIONS))
+        yield from rows(out)
 
-    rows = sample.mapInArrow(run, "f int, v array<float>").toArrow()
+    schema = "f int, v array<float>"
+    sums = texts.mapInArrow(run, schema).repartition("f").mapInArrow(total, schema).toArrow()
     y = np.zeros((FEATURES, DIMENSIONS))
-    if rows.num_rows:
-        np.add.at(y, rows.column(0).to_numpy(), rows.column(1).combine_chunks().flatten().to_numpy().reshape(-1, DIMENSIONS))
+    if sums.num_rows:
+        y[sums.column(0).to_numpy()] = sums.column(1).combine_chunks().flatten().to_numpy().reshape(-1, DIMENSIONS)
     return y
 
 
-def latent_space(docs: DataFrame, benchmark: DataFrame, passages: int = SAMPLE_PASSAGES, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """(IDF of each hashed word, word vectors): a randomised SVD of the TF-IDF matrix of sampled and benchmark passages.
+def latent_space(docs: DataFrame, benchmark: DataFrame, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """(IDF of each hashed word, word vectors): a randomised SVD of the TF-IDF matrix of all half-passages.
 
-    Two passes over the sample: the range of A'A from random vectors, then the singular vectors and values within
+    Two passes over the texts: the range of A'A from random vectors, then the singular vectors and values within
     it (Rayleigh-Ritz).  A word's vector is its row of V scaled by 1 / singular value, the usual folding-in.
-    FEATURES x DIMENSIONS matrices (one of each of SAMPLE_TASKS tasks) are all the driver gets, whatever the
-    number of documents.
+    One FEATURES x DIMENSIONS matrix a pass is all the driver gets, whatever the number of documents.
     """
-    df, n = document_frequencies(docs.select("text").unionByName(benchmark.select("text")))
+    texts = docs.select("text").unionByName(benchmark.select("text"))
+    df, n = document_frequencies(texts)
     idf = (np.log((n + 1) / (df + 1)) + 0.1).astype(np.float32)
-    share = min(1.0, passages / max(n, 1))
-    sample = docs.select("text").where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) < int(share * (1 << 30))).unionByName(benchmark.select("text"))
-    sample = saved(sample.select(_bytes())).coalesce(SAMPLE_TASKS)
-    basis = np.linalg.qr(_gram_pass(sample, idf, np.random.default_rng(seed).standard_normal((FEATURES, DIMENSIONS))))[0]
-    square, turn = np.linalg.eigh(basis.T @ _gram_pass(sample, idf, basis))
+    texts = texts.select(_bytes())
+    basis = np.linalg.qr(_gram_pass(texts, idf, np.random.default_rng(seed).standard_normal((FEATURES, DIMENSIONS))))[0]
+    square, turn = np.linalg.eigh(basis.T @ _gram_pass(texts, idf, basis))
     good = square > 1e-9 * max(square.max(), 1e-9)
     vectors = basis @ (turn * np.where(good, 1 / np.sqrt(np.where(good, square, 1)), 0))
     return idf, np.r_[idf[:, None] * vectors, np.zeros((1, DIMENSIONS))].astype(np.float32)
@@ -191,10 +219,12 @@ def _items(rows: list[tuple[int, str]], table: np.ndarray) -> dict:
     vec, item = vec[whole], item[whole]
     member = np.zeros((len(rows), FEATURES), bool)
     member[np.repeat(np.arange(len(rows)), n), (words % U(FEATURES)).astype(np.int64)] = True
-    return {"ids": ids, "words": cut(words, n), "answer": cut(aw, an), "vec": vec.astype(np.float32), "item": item, "member": member, "n": n}
+    listed = np.full((len(rows), max(n.max(initial=0), 1)), FEATURES)  # each item's words, filled up with one that no text has
+    listed[np.repeat(np.arange(len(rows)), n), np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n)] = words % U(FEATURES)
+    return {"ids": ids, "words": cut(words, n), "answer": cut(aw, an), "vec": vec.astype(np.float32), "item": item, "member": member, "listed": listed, "n": n}
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, common: float = COMMON, answer: float = ANSWER, passages: int = SAMPLE_PASSAGES) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, common: float = COMMON, answer: float = ANSWER) -> DataFrame:
     """One row per document and item it contains: doc_id, item_id, cosine, common (share of the item's words found in order)."""
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, cosine double, common double"
@@ -202,7 +232,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
     total = bench.count()
     if not total:
         return spark.createDataFrame([], schema)
-    idf, table = latent_space(docs.select(F.col("text").cast("string").alias("text")), bench, passages)
+    idf, table = latent_space(docs.select(F.col("text").cast("string").alias("text")), bench)
     blocks = -(-total // ITEM_BLOCK)
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _bytes())
@@ -233,6 +263,23 @@ def _may_hold(items: dict, f: np.ndarray, start: np.ndarray, text: np.ndarray, i
     return hits / n >= common
 
 
+def _text_may_hold(items: dict, f: np.ndarray, text: np.ndarray, it: np.ndarray, ends: np.ndarray, counts: np.ndarray, common: float) -> np.ndarray:
+    """Whether each candidate's whole text has ``common`` of its item's words at all: an upper bound of the common subsequence."""
+    texts, row = np.unique(text, return_inverse=True)
+    short = np.flatnonzero(counts[texts] <= WHOLE_TEXT)
+    has = np.zeros((len(texts), FEATURES + 1), bool)
+    n = counts[texts[short]]
+    at = np.arange(n.sum()) + np.repeat((ends - counts)[texts[short]] - (np.cumsum(n) - n), n)
+    has[np.repeat(short, n), f[at]] = True
+    pairs, back = np.unique(row * len(items["n"]) + it, return_inverse=True)
+    r, i = np.divmod(pairs, len(items["n"]))
+    hits = np.empty(len(pairs), np.int64)
+    for s in range(0, len(pairs), COUNTED):
+        k = slice(s, s + COUNTED)
+        hits[k] = has[r[k][:, None], items["listed"][i[k]]].sum(1)
+    return ((hits / items["n"][i] >= common) | (counts[texts] > WHOLE_TEXT)[r])[back]
+
+
 def _search(shared, cosine: float, common: float, answer: float):
     def run(batches):
         part, table = shared.value
@@ -255,18 +302,26 @@ def _search(shared, cosine: float, common: float, answer: float):
                     if not len(w):
                         continue
                     value, w, it = sim[w, j], w + p, items["item"][j]
+                    go = _text_may_hold(items, f, text[w], it, ends, counts, common)
+                    value, w, it = value[go], w[go], it[go]
                     for q in np.flatnonzero(_may_hold(items, f, at[w], text[w], it, ends, counts, common)).tolist():
                         best.setdefault((int(text[w[q]]), int(it[q])), []).append((int(at[w[q]]), float(value[q])))
                 for (d, i), where in best.items():
                     n = int(items["n"][i])
                     lo, hi = int(ends[d] - counts[d]), int(ends[d])
-                    top = 0.0
+                    top, spans = 0.0, set()
                     for start, _ in sorted(where, key=lambda x: -x[1]):
                         if top == 1.0:
                             break
                         a, z = max(lo, start - n), min(hi, start + WIDTH + n)
+                        if (a, z) in spans:
+                            continue
+                        spans.add((a, z))
                         near = h[a:z]
-                        got = common_subsequence(items["words"][i], near[items["member"][i, f[a:z]]].tolist()) / n
+                        listed = near.tolist()
+                        if sum(map(set(listed).__contains__, items["words"][i])) / n < common:  # an upper bound, without the order
+                            continue
+                        got = common_subsequence(items["words"][i], listed) / n
                         if got > top and got >= common:
                             m = items["answer"][i]
                             if not m or common_subsequence(m, near.tolist()) >= answer * len(m):

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.llm import bytewords, decontam, neardup
@@ -160,6 +161,38 @@ def test_decontamination_finds_copies_and_paraphrases(spark, docs):
     assert left == {d for d, _ in rows} - {d for d, _ in truth}
 
 
+def test_latent_space_comes_from_all_passages(spark):
+    """Word vectors against two plain passes over every half-passage, of more texts than a sample would hold."""
+    from tallyspark.llm import bytewords
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.4, n).clip(max=900)) for n in rng.integers(1, 520, 2800)]
+    frame = lambda t: spark.createDataFrame([(x,) for x in t], "text string")
+    idf, table = decontam.latent_space(frame(texts[:-3]).repartition(5), frame(texts[-3:]), seed=7)
+    halves = []
+    for t in texts:
+        f = (bytewords.words([t.encode()], {})[0] % np.uint64(decontam.FEATURES)).astype(int)
+        halves += [f[k : k + 16] for k in range(0, len(f), 16)]
+    assert len(halves) > 45_000
+    used = np.unique(np.concatenate(halves))  # all other rows of the matrix are zero
+    place = np.zeros(decontam.FEATURES, int)
+    place[used] = np.arange(len(used))
+    count = np.zeros((len(halves), len(used)))
+    for i, f in enumerate(halves):
+        np.add.at(count[i], place[f], 1)
+    want_idf = np.log((len(halves) + 1) / ((count > 0).sum(0) + 1)) + 0.1
+    assert idf[used] == pytest.approx(want_idf, rel=1e-5)
+    # half-passages as the operator weighs them: a word's vector once per occurrence, over the sum of squared weights
+    size = (count * want_idf**2).sum(1)
+    m = want_idf[:, None] * (count.T @ (count / size[:, None])) * want_idf[None, :]
+    omega = np.random.default_rng(7).standard_normal((decontam.FEATURES, decontam.DIMENSIONS))[used]
+    basis = np.linalg.qr(m @ omega)[0]
+    folded = want_idf[:, None] * basis
+    want = folded @ np.linalg.inv(basis.T @ m @ basis) @ folded.T  # the words' inner products: free of signs and turns
+    got = table[used].astype(float) @ table[used].T.astype(float)
+    assert np.abs(got - want).max() < 1e-3 * np.abs(want).max()
+
+
 def test_cosine_candidates_recall(spark, docs):
     """The latent space against brute force: every true (document, item) reaches the cosine limit (recall 0.9 asked)."""
     rows, items, truth = leaks(9)
