@@ -138,6 +138,20 @@ def test_host_runs_without_article_markup(spark):
     assert htmltext.main_text(df.limit(0)).count() == 0
 
 
+def test_host_runs_over_pages_with_and_without_article_markup(spark):
+    """Every page counts in its host's runs: a menu known from marked pages goes, a print version's article stays."""
+    rng = random.Random(8)
+    menu = " ".join(f"menu{i}" for i in range(14))
+    para = lambda: " ".join("w%d" % rng.randrange(10**6) for _ in range(18))
+    arts = [para() for _ in range(6)]
+    rows = [(i, "http://h.org/a", f"<div>{menu}</div><article><p>{a}</p><p>{arts[0]}</p></article><div>{para()}</div>", "t") for i, a in enumerate(arts)]
+    plain = para()
+    rows += [(10, "http://h.org/b", f"<div>{menu}</div><p>{plain}</p>", "t"), (11, "http://h.org/print", f"<div>{menu}</div><p>{arts[3]}</p>", "t")]
+    rows += [(12, "http://other.org/b", f"<div>{menu}</div><p>{plain}</p>", "t")]
+    out = {r.page_id: r.text for r in htmltext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
+    assert out == {i: f"{a}\n\n{arts[0]}" for i, a in enumerate(arts)} | {10: plain, 11: arts[3], 12: f"{menu}\n\n{plain}"}
+
+
 def test_covered_blocks_equal_brute_force():
     rng = random.Random(5)
     streams = [[" ".join(rng.choice("abcd") for _ in range(rng.randint(1, 14))) for _ in range(rng.randint(0, 4))] for _ in range(12)]
