@@ -37,7 +37,7 @@ from tallyspark.llm.common import saved
 
 U = np.uint64
 DEPTH = 5
-BLOCK_BYTES = 48_000_000
+BLOCK_BYTES = 36_000_000
 #: strings sorted at once while counting
 SORT_AT_ONCE = 3_000_000
 END = b"\n"
@@ -172,23 +172,25 @@ def _gather(docs: DataFrame) -> DataFrame:
         held: dict[int, tuple] = {}
 
         def counted(raw: list, learn: bool) -> tuple[np.ndarray, np.ndarray]:
-            g = np.sort(np.concatenate(raw))
+            g = np.concatenate(raw)
+            raw.clear()
+            g.sort()
             first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
             n = np.diff(np.concatenate((first, [len(g)]))) if learn else np.zeros(len(first), np.int64)
-            raw.clear()
             return g[first], n
 
+        def merged(done: list) -> tuple[np.ndarray, np.ndarray]:
+            g, n = np.concatenate([x for x, _ in done]), np.concatenate([x for _, x in done])
+            done.clear()
+            by = np.argsort(g, kind="stable")
+            g, n = g[by], n[by]
+            first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
+            return g[first], np.add.reduceat(n, first)
+
         def rows(block):
             words, raw, done = held.pop(block)
             done += [counted(r, k) for k, r in raw.items() if r]
-            if done:
-                g = np.concatenate([x for x, _ in done])
-                by = np.argsort(g, kind="stable")
-                g, n = g[by], np.concatenate([x for _, x in done])[by]
-                first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
-                g, n = g[first], np.add.reduceat(n, first)
-            else:
-                g, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            g, n = merged(done) if done else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             w = list(words)
             for s in range(0, len(w), 100_000):
                 part = w[s : s + 100_000]
@@ -220,6 +222,8 @@ def _gather(docs: DataFrame) -> DataFrame:
                     raw[learn].append(strings_of(split)[0])
                     if sum(map(len, raw[learn])) > SORT_AT_ONCE:
                         done.append(counted(raw[learn], learn))
+                        if sum(len(x) for x, _ in done[1:]) > SORT_AT_ONCE:  # the counts so far never grow beyond their distinct strings by more
+                            done.append(merged(done))
         for old in list(held):
             yield from rows(old)
 
@@ -265,14 +269,20 @@ def score(docs: DataFrame, held_out: Column, block_bytes: int = BLOCK_BYTES) ->
     floor = math.log10(n_train + kinds + 1) if n_train else 0.0
 
     def block_scores(left: pa.Table, right: pa.Table) -> pa.Table:
-        w = right.column("w").combine_chunks()
-        is_word = w.is_valid().to_numpy(zero_copy_only=False)
-        v = right.column("v").to_numpy()
-        known = dict(zip(w.filter(pa.array(is_word)).to_pylist(), v[is_word].tolist()))
-        g = right.column("g").combine_chunks().filter(pa.array(~is_word)).to_numpy(zero_copy_only=False).view(np.uint64)
-        gv = v[~is_word]
+        known: dict[bytes, float] = {}
+        found, values = [np.zeros(0, np.uint64)], [np.zeros(0)]
+        for b in right.select(["w", "g", "v"]).to_batches():  # batch by batch: no second copy of the whole table
+            is_word = b.column(0).is_valid()
+            words_ = b.filter(is_word)
+            known.update(zip(words_.column(0).to_pylist(), words_.column(2).to_pylist()))
+            rest = b.filter(b.column(1).is_valid())
+            found.append(rest.column(1).to_numpy().view(np.uint64))
+            values.append(rest.column(2).to_numpy())
+        g, gv = np.concatenate(found), np.concatenate(values)
+        del found, values
         by = np.argsort(g)
         g, gv = g[by], gv[by]
+        del by
         slot = np.zeros(1 << 22, np.int32)  # where a string probably is; the few that clash are searched
         slot[_slot(g)] = np.arange(len(g), dtype=np.int32)
         texts = left.column("text")
