@@ -105,6 +105,74 @@ def test_pairs_inside_a_family_that_shares_a_passage(spark, docs):
     assert got == {d: (d - d % 2, 2 if d // 2 < pairs else 1) for d, _ in rows}
 
 
+def family(n, pairs, seed=11):
+    """Texts of pairwise similarity 0.75; the first ``pairs`` ones have a partner of 0.81."""
+    rng = random.Random(seed)
+    shared, rows = words(rng, 103), []
+    for i in range(n):
+        own = words(rng, 17, 10**6)
+        rows.append((2 * i, " ".join(shared + own)))
+        if i < pairs:
+            rows.append((2 * i + 1, " ".join(shared + own[:5] + words(rng, 12, 10**6))))
+    return rows
+
+
+def test_family_in_many_tiles(spark, docs, monkeypatch):
+    monkeypatch.setattr(neardup, "TILE_ROWS", 60)
+    rows = family(300, 40)
+    got = {r.doc_id: (r.class_id, r.class_size, r.links) for r in neardup.near_duplicates(docs(rows)).collect()}
+    assert got == {d: (d - d % 2, 2, 1) if d // 2 < 40 else (d, 1, 0) for d, _ in rows}
+
+
+def test_rows_written_grow_with_the_texts_of_a_family(spark, docs, monkeypatch):
+    """No table of pairs: a family of four times the texts writes four times the rows, at most a little more."""
+    written = {}
+    for n in (150, 600):
+        counts = []
+
+        def counted(df, save=neardup.saved):
+            out = save(df)
+            counts.append(out.count())
+            return out
+
+        with monkeypatch.context() as m:
+            m.setattr(neardup, "saved", counted)
+            assert neardup.near_duplicates(docs(family(n, 0))).where("class_size > 1").count() == 0
+        written[n] = max(counts), sum(counts)
+    assert all(b <= 5 * a for a, b in zip(written[150], written[600])), written
+
+
+def test_open_pairs_are_each_given_once(spark):
+    """Over all keys and tiles: the pairs that share a key, agree and differ in class, each in one tile."""
+    rng = np.random.default_rng(3)
+    n, base = 90, rng.integers(0, 256, neardup.REGISTERS)
+    sig = np.where(rng.random((n, neardup.REGISTERS)) < 0.8, base, rng.integers(0, 256, (n, neardup.REGISTERS))).astype(np.uint8)
+    keys = np.stack([1000 * k + rng.integers(0, 3, n) for k in range(5)], 1)
+    root, own, got = rng.integers(0, 40, n), rng.integers(0, 3, n), []
+    for key in np.unique(keys):
+        for i in range(3):
+            for j in range(i, 3):
+                at = np.flatnonzero((keys == key).any(1) & ((own == i) | (own == j)))
+                if len(at):
+                    for x, y in neardup.open_pairs((key, i, j), own[at], root[at], sig[at], keys[at]):
+                        got += zip(at[x].tolist(), at[y].tolist())
+    want = [(x, y) for x in range(n) for y in range(x + 1, n)
+            if root[x] != root[y] and (keys[x] == keys[y]).any() and (sig[x] == sig[y]).sum() >= neardup.AGREE]
+    assert len(want) > 500 and sorted(got) == want
+
+
+def test_bound_of_both_jaccard_values():
+    rng = np.random.default_rng(8)
+    for top in (1, 6):
+        bags = [(np.sort(rng.choice(60, k, replace=False)), rng.integers(1, top + 1, k).astype(float)) for k in rng.integers(1, 50, 40)]
+        for ids, w in bags[:10]:
+            weight = np.zeros(60)
+            weight[ids] = w
+            bound = neardup.at_most(weight, np.concatenate([b[0] for b in bags]), np.concatenate([b[1] for b in bags]), np.array([len(b[0]) for b in bags]))
+            exact = np.array([max(neardup.jaccard(ids, w, *b)) for b in bags])
+            assert (bound >= exact - 1e-12).all() and (top > 1 or np.abs(bound - exact).max() < 1e-12)
+
+
 def test_signature_agreement_estimates_probability_jaccard():
     rng = np.random.default_rng(5)
     ids = rng.integers(0, 1 << 63, 600).astype(np.uint64)
