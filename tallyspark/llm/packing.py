@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import portions, saved
-from tallyspark.llm.tokens import END_ID, Encoder, vocabulary_path
+from tallyspark.llm.tokens import END_ID, PORTION, Encoder, vocabulary_path
 
 CAPACITY = 1024
 ROUNDS = 400
@@ -50,7 +50,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
         end = np.array([END_ID], "<u4").tobytes()
         for b in batches:
             docs_, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-            for s, e in portions(texts):
+            for s, e in portions(texts, PORTION):
                 rows: list[tuple] = []
                 for d, ids in zip(docs_[s:e], enc(texts[s:e])):
                     ids += end

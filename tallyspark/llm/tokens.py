@@ -2,9 +2,11 @@
 
 Encoding goes through ``tokenizers`` and a public vocabulary file (its path is a
 parameter).  A byte-level BPE vocabulary with the usual splitting pattern starts a
-new piece at every space that follows no white space, so a text is cut there and
-the ids of each cut are worked out once per worker and kept;
-texts with a space after other white space are encoded whole.
+new piece at every space that follows no white space, so texts are cut there, by
+Arrow and for a whole portion of them at once.  Each distinct cut of a portion is looked
+up or encoded once; cuts of several runs (letters, points, line ends) are put
+together from their runs, and the ids of the others are kept by the worker.
+Texts with a space after other white space are encoded whole.
 
 Token counts: documents are aggregated by encoded length (an exact histogram),
 and two-level suffix sums over the histogram answer totals, quantiles and
@@ -23,6 +25,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +35,12 @@ END_ID = 2
 # a space after white space: the splitting pattern may take both into one piece
 # and runs that the vocabulary's splitting pattern never joins with their neighbours (no digits, apostrophes, rare letters)
 UNSAFE = re.compile(r"\s ")
-RUNS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[.,!?;:#$%&*]+|\n")
+LETTERS, SIGNS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", ".,!?;:#$%&*"
+RUN = f"([{LETTERS}]+|[{SIGNS}]+|\n)"
+#: a cut of two or more runs (and no empty line, which is looked for apart)
+SEVERAL = f"^(?:[{LETTERS}]+[{SIGNS}\n]|[{SIGNS}]+[{LETTERS}\n])[{LETTERS}{SIGNS}\n]*$"
+#: characters of texts that are encoded together
+PORTION = 4_000_000
 
 
 def vocabulary_path() -> str:
@@ -56,31 +64,36 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.state["tok"].encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, known: dict, cuts: set[str], lead: str) -> None:
-        new = list(cuts)
-        for s in range(0, len(new), 20_000):
-            part = new[s : s + 20_000]
-            known.update(zip(part, self._encode([lead + x for x in part])))
-
-    def _learn_cuts(self, cuts: set[str]) -> None:
-        """Cuts after a space; one of plain letters, points and line ends is put together from its runs."""
-        first, rest = self.state["first"], self.state["rest"]
-        made = []
-        new_rest: set[str] = set()
-        new_first: set[str] = set()
-        for c in cuts:
-            runs = [] if c.isalpha() else RUNS.findall(c)
-            if len(runs) > 1 and runs[0] != "\n" and "\n\n" not in c and sum(map(len, runs)) == len(c):
-                made.append((c, runs))
-                if runs[0] not in rest:
-                    new_rest.add(runs[0])
-                new_first.update([r for r in runs[1:] if r not in first])
-            else:
-                new_rest.add(c)
-        self._learn(first, new_first, "")
-        self._learn(rest, new_rest, " ")
-        for c, runs in made:
-            rest[c] = rest[runs[0]] + b"".join([first[r] for r in runs[1:]])
+    def _ids(self, known: dict, cuts: pa.Array, lead: str) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all ``cuts`` one after the other, number of ids of each); new ones are encoded after ``lead`` and kept."""
+        texts = cuts.to_pylist()
+        ids = list(map(known.get, texts))
+        if None in ids:
+            at = [i for i, x in enumerate(ids) if x is None]
+            for s in range(0, len(at), 20_000):
+                part = at[s : s + 20_000]
+                for i, x in zip(part, self._encode([lead + texts[i] for i in part])):
+                    ids[i] = x
+                    if len(texts[i]) <= 200:
+                        known[texts[i]] = x
+        return np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+
+    def _made(self, cuts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_ids`` for cuts of several runs after a space: the first run follows the space, the others nothing."""
+        runs = pc.split_pattern(pc.replace_substring_regex(cuts, RUN, "\\1\x01"), "\x01")
+        offsets = runs.offsets.to_numpy()
+        tail = np.ones(len(runs.values), bool)
+        tail[offsets[:-1]] = tail[offsets[1:] - 1] = False  # nothing follows the last mark
+        heads = runs.values.take(pa.array(offsets[:-1])).dictionary_encode()
+        tails = runs.values.filter(pa.array(tail)).dictionary_encode()
+        tables = [self._ids(self.state["rest"], heads.dictionary, " "), self._ids(self.state["first"], tails.dictionary, "")]
+        code = np.empty(len(tail), np.int64)
+        code[offsets[:-1]] = heads.indices.to_numpy()
+        code[tail] = tails.indices.to_numpy() + len(heads.dictionary)
+        own = np.ones(len(tail), bool)
+        own[offsets[1:] - 1] = False
+        ids, n = _gather(tables, code[own])
+        return ids, np.add.reduceat(n, offsets[:-1] - np.arange(len(cuts))) if len(cuts) else n
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         first, rest = self.state["first"], self.state["rest"]
@@ -88,37 +101,47 @@ class Encoder:
             first.clear()
             rest.clear()
         out: list[bytes] = [b""] * len(texts)
-        whole, later = [], []
-        new_first: set[str] = set()
-        new_rest: set[str] = set()
-        for i, t in enumerate(texts):
-            if UNSAFE.search(t):
-                whole.append(i)
-                continue
-            cuts = t.split(" ")
-            ids = list(map(rest.get, cuts))
-            ids[0] = first.get(cuts[0])
-            if None in ids:
-                later.append((i, cuts))
-                if ids[0] is None:
-                    new_first.add(cuts[0])
-                new_rest.update([c for c, x in zip(cuts[1:], ids[1:]) if x is None])
-            else:
-                out[i] = b"".join(ids)
-        self._learn(first, new_first, "")
-        self._learn_cuts(new_rest)
-        for i, cuts in later:
-            ids = [rest[c] for c in cuts[1:]]
-            out[i] = first[cuts[0]] + b"".join(ids)
+        whole = [i for i, t in enumerate(texts) if UNSAFE.search(t)]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
             out[i] = ids
-        for known, cuts in ((first, new_first), (rest, new_rest)):
-            for c in cuts:
-                if len(c) > 200:
-                    known.pop(c, None)
+        rare = set(whole)
+        plain = [i for i in range(len(texts)) if i not in rare]
+        if not plain:
+            return out
+        cuts = pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
+        offsets = cuts.offsets.to_numpy()
+        begin = offsets[:-1]
+        heads = cuts.values.take(pa.array(begin)).dictionary_encode()
+        every = cuts.values.dictionary_encode()
+        code = every.indices.to_numpy().astype(np.int64)
+        later = np.ones(len(code), bool)
+        later[begin] = False
+        used = np.bincount(code[later], minlength=len(every.dictionary)) > 0
+        several = np.asarray(pc.match_substring_regex(every.dictionary, SEVERAL)) & ~np.asarray(pc.match_substring(every.dictionary, "\n\n"))
+        groups = [np.flatnonzero(used & ~several), np.flatnonzero(used & several)]
+        tables = [self._ids(rest, every.dictionary.take(pa.array(groups[0])), " "), self._made(every.dictionary.take(pa.array(groups[1]))),
+                  self._ids(first, heads.dictionary, "")]
+        place = np.zeros(len(used), np.int64)
+        place[np.concatenate(groups)] = np.arange(used.sum())
+        code = place[code]
+        code[begin] = heads.indices.to_numpy() + used.sum()
+        ids, n = _gather(tables, code)
+        end = np.concatenate(([0], np.cumsum(n)))[offsets] * 4
+        raw = ids.tobytes()
+        for k, i in enumerate(plain):
+            out[i] = raw[end[k] : end[k + 1]]
         return out
 
 
+def _gather(tables: list[tuple[np.ndarray, np.ndarray]], code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, number of ids of each) of the entries ``code`` of the joined ``tables`` (ids, number of ids of each entry)."""
+    ids, size = (np.concatenate(x) for x in zip(*tables))
+    n = size[code]
+    end = np.cumsum(n)
+    shift = (np.cumsum(size) - size)[code] - (end - n)
+    return ids[np.arange(n.sum()) + np.repeat(shift, n)], n
+
+
 def lengths(docs: DataFrame, path: str | None = None, end: bool = True) -> DataFrame:
     """(n_tokens) of every row of ``docs``."""
     path = path or vocabulary_path()
@@ -127,7 +150,7 @@ def lengths(docs: DataFrame, path: str | None = None, end: bool = True) -> DataF
         enc = Encoder(path)
         for b in batches:
             texts = [t or "" for t in b.column(0).to_pylist()]
-            for s, e in portions(texts):
+            for s, e in portions(texts, PORTION):
                 n = np.fromiter((len(x) // 4 for x in enc(texts[s:e])), np.int64, e - s) + int(end)
                 yield pa.RecordBatch.from_arrays([pa.array(n)], ["n_tokens"])
 

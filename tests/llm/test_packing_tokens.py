@@ -106,3 +106,15 @@ def test_token_counts_encode_a_document_once(spark):
     from tallyspark.llm.queries import op3_token_counts
     plan = op3_token_counts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan and "Scan parquet" in plan
+
+
+def test_encoder_keeps_runs_not_their_combinations(tok):
+    """Cuts such as ``one,two`` are made from their runs each time: the cache grows with words, not with pairs of words."""
+    names = ["".join(p) for p in zip("abcdefghijklmnopqrst", "tsrqponmlkjihgfedcba")]
+    texts = ["go " + " ".join(f"{x}.\n{y}" for y in names) + " 4.0.\nx A1,b" for x in names]
+    enc = tokens.Encoder(tokens.vocabulary_path())
+    enc.state["first"].clear()
+    enc.state["rest"].clear()
+    for got in (enc(texts), enc(texts[::-1])[::-1]):
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(enc.state["first"]) + len(enc.state["rest"]) <= 2 * len(names) + 10
