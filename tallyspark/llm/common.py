@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,12 +45,23 @@ def worker_cache(name: str) -> dict:
     """
     holder = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__.setdefault("caches", {})
     if name not in holder:
-        for old in list(holder):
-            holder.pop(old).clear()
+        if holder:
+            for old in list(holder):
+                holder.pop(old).clear()
+            _give_back()
         holder[name] = {}
     return holder[name]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, where allocators would keep it for this process."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def portions(texts: list, max_chars: int = 1_000_000):
     """(start, end) slices of ``texts`` with about ``max_chars`` characters each, at least one text."""
     start = n = 0

@@ -40,7 +40,7 @@ RUN = f"([{LETTERS}]+|[{SIGNS}]+|\n)"
 #: a cut of two or more runs (and no empty line, which is looked for apart)
 SEVERAL = f"^(?:[{LETTERS}]+[{SIGNS}\n]|[{SIGNS}]+[{LETTERS}\n])[{LETTERS}{SIGNS}\n]*$"
 #: characters of texts that are encoded together
-PORTION = 4_000_000
+PORTION = 3_000_000
 
 
 def vocabulary_path() -> str:
@@ -51,7 +51,7 @@ def vocabulary_path() -> str:
 class Encoder:
     """ids of texts as little-endian unsigned 32-bit bytes; keeps the ids of recent cuts (at most ``keep``)."""
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 500_000):
         self.keep = keep
         self.state = worker_cache(f"encoder-{path}")
         if "tok" not in self.state:

@@ -118,3 +118,24 @@ def test_encoder_keeps_runs_not_their_combinations(tok):
     for got in (enc(texts), enc(texts[::-1])[::-1]):
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
     assert len(enc.state["first"]) + len(enc.state["rest"]) <= 2 * len(names) + 10
+
+
+def test_next_job_gets_the_memory_of_the_last_ones_cache():
+    """Freed blocks below one that stays would otherwise remain with the process."""
+    import os
+    import subprocess
+    import sys
+
+    code = """
+from tallyspark.llm.common import worker_cache
+held = lambda: int(next(x for x in open("/proc/self/status") if x.startswith("VmRSS")).split()[1]) // 1024
+first = worker_cache("one")
+first.update({i: b"x" * 60_000 for i in range(3000)})
+stays = [b"y" * 60_000 for _ in range(3)]
+full = held()
+assert worker_cache("one") is first and len(first) == 3000
+worker_cache("two")
+assert not first and full - held() > 100, (full, held())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    subprocess.run([sys.executable, "-c", code], check=True, env={**os.environ, "PYTHONPATH": root}, timeout=120)
